@@ -267,11 +267,16 @@ def outcome_group(grade: Column, histology: Column, histotype_: Column) -> Colum
 
 
 def marker_value(
-    result: Column, value: Column, low: Column, high: Column, indicator: Column
+    result: Column,
+    value: Column,
+    low: Column,
+    high: Column,
+    indicator: Column,
+    lexical: bool = False,
 ) -> Column:
     """Readable marker result: the label, or the value with its interpretation."""
     number = F.when(result == "Value", value)
-    meaning = x.in_range_label(number, low, high, indicator)
+    meaning = x.in_range_label(number, low, high, indicator, lexical=lexical)
     text = F.coalesce(x.concat_strict(number, meaning, sep=" : "), number, meaning)
     return F.coalesce(x.na_if(result, "Value"), text)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kohorta.functions.exprs import fmt_num
 from kohorta.operators.keys import as_list, equi_join, order_names
 from kohorta.operators.ordered import event_sequence
 from kohorta.session import large_groups, rows_per_task
@@ -39,12 +40,14 @@ def collapse(
     )
 
 
-def _sorted_values(column: str, order: list[str]) -> Column:
-    """Values of the group in order, missing ones kept in place."""
+def _sorted_values(df: DataFrame, column: str, order: list[str]) -> Column:
+    """Values of the group as texts in order, missing ones kept in place."""
+    real = dict(df.dtypes)[column] in ("double", "float")
+    text = fmt_num(column) if real else F.col(column).cast("string")
     # A missing order value sorts last: its flag comes before the value.
     place = [p for o in order for p in (F.col(o).isNull().alias(f"n_{o}"), F.col(o).alias(f"o_{o}"))]
-    rows = F.array_sort(F.collect_list(F.struct(*place, F.col(column).alias("v"))))
-    return F.transform(rows, lambda r: r["v"].cast("string"))
+    rows = F.array_sort(F.collect_list(F.struct(*place, text.alias("v"))))
+    return F.transform(rows, lambda r: r["v"])
 
 
 def _join(values: Column, complete: Column, sep: str, nulls: str) -> Column:
@@ -58,7 +61,7 @@ def _join(values: Column, complete: Column, sep: str, nulls: str) -> Column:
 
 def _one_level(df, keys, columns, order, sep, nulls) -> DataFrame:
     lists = df.groupBy(*keys).agg(
-        *[_sorted_values(c, order).alias(c) for c in columns],
+        *[_sorted_values(df, c, order).alias(c) for c in columns],
         *[(F.count(c) == F.count(F.lit(1))).alias(f"__all_{c}") for c in columns],
     )
     return lists.select(
