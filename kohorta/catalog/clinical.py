@@ -11,6 +11,7 @@ from kohorta.operators import association as a, summary as s, survival as sv
 from kohorta.operators.joins import attribute
 from kohorta.operators.keys import equi_join
 from kohorta.plans import endpoints as ep, therapy as th
+from kohorta.session import durable
 from kohorta.sources.tables import read_table
 
 _FILL = """coalesce(
@@ -88,7 +89,7 @@ def exposure_before_anchor(spark, d):
 def therapy_phase(spark, d):
     rows = v.med(spark, d).select("o_custkey", "start", "drug", "class", "line")
     index = v.idx_site(spark, d).select("o_custkey", "site")
-    placed = equi_join(rows, index, "o_custkey")
+    placed = durable(equi_join(rows, index, "o_custkey"))
     inside = F.col("class").eqNullSafe(F.col("site"))
     mine = placed.filter(inside).withColumn(
         "regimen_line", F.coalesce(F.col("line").cast("bigint"), F.lit(999))

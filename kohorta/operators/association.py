@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kohorta.functions import tails
 from kohorta.operators.ordered import running_totals
+from kohorta.session import durable
 
 
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -25,7 +26,7 @@ def chi_square_statistic(df: DataFrame, row: str, col: str) -> DataFrame:
 
     Written as n * (sum of n_ij^2 / (r_i c_j)) - n, which needs no empty cells.
     """
-    cells = contingency(df, row, col)
+    cells = durable(contingency(df, row, col))
     rows = cells.groupBy(row).agg(F.sum("n").alias("__r"))
     cols = cells.groupBy(col).agg(F.sum("n").alias("__c"))
     o, r, c = F.col("n").cast("double"), F.col("__r"), F.col("__c")

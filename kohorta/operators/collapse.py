@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.functions.exprs import fmt_num
-from kohorta.operators.keys import as_list, equi_join, order_names
+from kohorta.operators.keys import as_list, keyed_join, order_names, split_by
 from kohorta.operators.ordered import event_sequence
 from kohorta.session import large_groups, rows_per_task
 
@@ -32,9 +32,7 @@ def collapse(
     large = large_groups(df, keys)
     if large is None:
         return _one_level(df, keys, columns, order, sep, nulls)
-    names = large.select(*keys)
-    small_part = equi_join(df, names, keys, "left_anti", na_matches=True)
-    large_part = equi_join(df, names, keys, "left_semi", na_matches=True)
+    small_part, large_part = split_by(df, large, keys)
     return _one_level(small_part, keys, columns, order, sep, nulls).unionByName(
         _two_level(large_part, keys, columns, order, sep, nulls)
     )
@@ -85,7 +83,7 @@ def collapse_to_rows(
     """Collapse and show the text on every row of the group."""
     keys, columns = as_list(keys), as_list(columns)
     texts = collapse(df, keys, columns, order_by, sep, nulls)
-    return equi_join(df.drop(*columns), texts, keys, "left", na_matches=True).select(*df.columns)
+    return keyed_join(df.drop(*columns), texts, keys, "left", na_matches=True).select(*df.columns)
 
 
 def collapse_two_level(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kohorta.functions.exprs import group_min_strict
-from kohorta.operators.keys import as_list, attach, equi_join, sort_columns
+from kohorta.operators.keys import as_list, attach, equi_join, keyed_join, sort_columns
 from kohorta.operators.ordered import event_sequence
 
 
@@ -56,12 +56,10 @@ def ever_flags(
     """Several ``ever`` flags from one aggregate."""
     keys = as_list(keys)
     any_hit = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions.values()])
-    flagged = attach(
-        df, keys, {n: F.max(F.when(c, F.lit(yes))) for n, c in conditions.items()}, where=any_hit
+    flagged = attach(df, keys, {n: F.bool_or(c) for n, c in conditions.items()}, where=any_hit)
+    return flagged.withColumns(
+        {n: F.when(F.col(n), F.lit(yes)).otherwise(F.lit(no)) for n in conditions}
     )
-    if no is None:
-        return flagged
-    return flagged.withColumns({n: F.coalesce(F.col(n), F.lit(no)) for n in conditions})
 
 
 def first_in_group(df: DataFrame, keys, order_by, columns: Mapping[str, str]) -> DataFrame:
@@ -70,7 +68,7 @@ def first_in_group(df: DataFrame, keys, order_by, columns: Mapping[str, str]) ->
     first = keep_first(df, keys, order_by).select(
         *keys, *[F.col(c).alias(n) for n, c in columns.items()]
     )
-    return equi_join(df, first, keys, "left", na_matches=True)
+    return keyed_join(df, first, keys, "left", na_matches=True)
 
 
 def last_non_null(df: DataFrame, keys, order_by, column: str, name: str) -> DataFrame:
@@ -83,7 +81,7 @@ def last_non_null(df: DataFrame, keys, order_by, column: str, name: str) -> Data
         .filter(F.col("__n") == 1)
         .select(*keys, F.col(column).alias(name))
     )
-    return equi_join(df, last, keys, "left", na_matches=True)
+    return keyed_join(df, last, keys, "left", na_matches=True)
 
 
 def fallback_first_row(
@@ -92,7 +90,7 @@ def fallback_first_row(
     """All wanted rows; for keys with none, the first ``k`` fallback rows."""
     keys = as_list(keys)
     have = df.filter(wanted).select(*keys).distinct()
-    others = equi_join(df.filter(fallback), have, keys, "left_anti", na_matches=True)
+    others = keyed_join(df.filter(fallback), have, keys, "left_anti", na_matches=True)
     return df.filter(wanted).unionByName(first_rows(others, keys, order_by, k))
 
 
@@ -157,7 +155,7 @@ def index_event_with_history(
     order = [time, *as_list(order_by)]
     index = index_event(df, key, time, qualifies, order_by)
     t0 = index.select(key, F.col(time).alias("__t0"))
-    others = equi_join(df, t0, key, "inner").filter(
+    others = keyed_join(df, t0, key, "inner").filter(
         ~F.coalesce(qualifies & (F.col(time) == F.col("__t0")), F.lit(False))
     )
     texts = others.withColumns(

@@ -1,7 +1,8 @@
 """Cohort restriction, attribution to an index event, anchor comparisons, merge.
 
-No broadcast hints: cohort and index tables grow with the data, so the optimizer
-decides by their measured size, and large partitions are split at run time.
+Cohort and index tables grow with the data, so they are not broadcast as a whole:
+the optimizer decides by their size, and only the share of very large keys, which
+is counted first, is sent to the rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.events import keep_first
-from kohorta.operators.keys import as_list, equi_join, pairs
+from kohorta.operators.keys import as_list, equi_join, keyed_join, pairs
 
 
 def restrict(
@@ -26,10 +27,10 @@ def restrict(
         raise ValueError("how must be 'semi' or 'anti'")
     (left, right), *more = pairs(on)
     if not substring:
-        return equi_join(df, keys.select(*[r for _, r in pairs(on)]), on, f"left_{how}")
+        return keyed_join(df, keys.select(*[r for _, r in pairs(on)]).distinct(), on, f"left_{how}")
     if more:
         raise ValueError("substring membership takes one key")
-    return equi_join(df, _containing(df, left, keys, right), left, f"left_{how}")
+    return keyed_join(df, _containing(df, left, keys, right), left, f"left_{how}")
 
 
 def _containing(df: DataFrame, left: str, keys: DataFrame, right: str) -> DataFrame:
@@ -58,7 +59,7 @@ def semi_or_anti(df: DataFrame, absent: DataFrame, present: DataFrame, on: str)
     """Rows whose key is not in ``absent`` or is in ``present``."""
     a = absent.select(on).distinct().withColumn("__absent", F.lit(True))
     p = present.select(on).distinct().withColumn("__present", F.lit(True))
-    flagged = equi_join(equi_join(df, a, on, "left"), p, on, "left")
+    flagged = keyed_join(keyed_join(df, a, on), p, on)
     return flagged.filter(F.col("__absent").isNull() | F.col("__present")).select(*df.columns)
 
 
@@ -76,7 +77,7 @@ def full_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     A full outer join cannot split a large key at run time; these two joins can.
     """
     keys = pairs(on)
-    both = equi_join(left, right, on, "left", na_matches=True)
+    both = keyed_join(left, right, on, "left", na_matches=True)
     seen = left.select(*[l for l, _ in keys]).distinct()
     only = equi_join(
         right.withColumnsRenamed({r: l for l, r in keys}), seen, [l for l, _ in keys],
@@ -93,10 +94,10 @@ def lookup(df: DataFrame, dimension: DataFrame, on: Mapping[str, str], normalize
     """
     (left, right), = on.items()
     if normalize is None:
-        return equi_join(df, dimension, on, "left", na_matches=True)
+        return keyed_join(df, dimension, on, "left", na_matches=True)
     probe = df.withColumn("__probe", normalize(F.col(left)))
     build = dimension.withColumn(right, normalize(F.col(right)))
-    return equi_join(probe, build, {"__probe": right}, "left", na_matches=True).drop("__probe")
+    return keyed_join(probe, build, {"__probe": right}, "left", na_matches=True).drop("__probe")
 
 
 def resolve_pairs(
@@ -126,8 +127,8 @@ def resolve_pairs(
     out = cohort
     for df, on, tag in ((left, left_on, "left"), (right, right_on, "right")):
         joined_on, taken, some = side(df, on, tag)
-        out = equi_join(out, taken, joined_on, "left", na_matches=True)
-        out = equi_join(out, some, key, "left", na_matches=True)
+        out = keyed_join(out, taken, joined_on, "left", na_matches=True)
+        out = keyed_join(out, some, key, "left", na_matches=True)
 
     def present(on: Mapping[str, str], tag: str) -> Column:
         unnamed = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in on])
@@ -155,7 +156,7 @@ def attribute(
 ) -> DataFrame:
     """Events that carry the key and site of the index event."""
     side = index.select(*[r for _, r in pairs(on)], *columns)
-    return equi_join(events, side, on, "inner", na_matches)
+    return keyed_join(events, side, on, "inner", na_matches)
 
 
 def attribute_fallback(
@@ -183,7 +184,7 @@ def attribute_fallback(
     if unknown is not None:
         open_events = open_events.filter(unknown)
     single = index.filter(F.col(count) == 1).select(key)
-    return equi_join(open_events, single, key, "inner")
+    return keyed_join(open_events, single, key, "inner")
 
 
 def pick_nearest(
@@ -204,7 +205,7 @@ def pick_nearest(
     after the anchor, then rows before it or without a time. Rows without a
     distance come last.
     """
-    joined = equi_join(df, anchor.select(key, anchor_time), key, how)
+    joined = keyed_join(df, anchor.select(key, anchor_time), key, how)
     gap = F.col(time) - F.col(anchor_time)
     gap = F.abs(gap) if direction == "both" else F.when(gap >= 0, gap)
     name = distance or "__gap"
@@ -224,7 +225,7 @@ def label_sequence(
     name: str,
 ) -> DataFrame:
     """Label events as up to the anchor time or after it."""
-    joined = equi_join(df, anchor.select(key, anchor_time), key, "left")
+    joined = keyed_join(df, anchor.select(key, anchor_time), key, "left")
     t, t0 = F.col(time), F.col(anchor_time)
     label = F.when(t <= t0, F.lit(labels[0])).when(t > t0, F.lit(labels[1]))
     return joined.withColumn(name, label).drop(anchor_time)

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kohorta.session import large_groups, rows_per_task
+
 Keys = Sequence[str]
 On = Sequence[str] | Mapping[str, str]
 
@@ -77,6 +79,48 @@ def equi_join(
     return joined.drop(*[f"__right_{i}" for i in range(len(keys))])
 
 
+def split_by(
+    df: DataFrame, large: DataFrame, keys: Keys
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys and rows of the listed large keys.
+
+    The list is broadcast: ``large_groups`` bounds it to rows / rows per task.
+    """
+    names = F.broadcast(large.select(*keys))
+    return (
+        equi_join(df, names, keys, "left_anti", na_matches=True),
+        equi_join(df, names, keys, "left_semi", na_matches=True),
+    )
+
+
+def keyed_join(
+    rows: DataFrame,
+    keyed: DataFrame,
+    on: str | On,
+    how: str = "left",
+    na_matches: bool = False,
+) -> DataFrame:
+    """Join many rows per key to a table with few rows per key, at any skew.
+
+    Rows of ordinary keys are shuffled by key. Keys with more rows than one task
+    should take are few, so their share of ``keyed`` is small: it is counted,
+    and broadcast to the rows where they are.
+    """
+    left = [l for l, _ in pairs(on)]
+    right = [r for _, r in pairs(on)]
+    large = large_groups(rows, left)
+    if large is None:
+        return equi_join(rows, keyed, on, how, na_matches)
+    names = large.select(*[F.col(l).alias(r) for l, r in zip(left, right)])
+    theirs = equi_join(keyed, F.broadcast(names), right, "left_semi", na_matches=True)
+    if theirs.count() > rows_per_task(rows.sparkSession):
+        return equi_join(rows, keyed, on, how, na_matches)
+    ordinary, heavy = split_by(rows, large, left)
+    return equi_join(ordinary, keyed, on, how, na_matches).unionByName(
+        equi_join(heavy, F.broadcast(theirs), on, how, na_matches)
+    )
+
+
 def attach(
     df: DataFrame,
     keys: str | Keys,
@@ -87,11 +131,10 @@ def attach(
     """Add group aggregates to every row.
 
     The aggregate is combined map-side and joined back, so one very large group
-    is never gathered in one task: the row side of the join is not aggregated,
-    and a large partition of it can be split at run time.
+    is never gathered in one task.
     """
     keys = as_list(keys)
     source = df if where is None else df.filter(where)
     totals = source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
     kept = df.drop(*aggregates)
-    return equi_join(kept, totals, keys, "left", na_matches)
+    return keyed_join(kept, totals, keys, "left", na_matches)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from kohorta.operators.keys import as_list, equi_join, order_names, sort_columns
+from kohorta.operators.keys import as_list, equi_join, keyed_join, order_names, sort_columns, split_by
 from kohorta.session import durable, fits_one_task, large_groups, rows_per_task
 
 SLICE = "__slice"
@@ -106,9 +106,7 @@ def scan(
     if large is None:
         return _whole(df, keys, order_by, ops)
     total = large.agg(F.sum("n")).first()[0]
-    names = large.select(*keys)
-    small_part = equi_join(df, names, keys, "left_anti", na_matches=True)
-    large_part = equi_join(df, names, keys, "left_semi", na_matches=True)
+    small_part, large_part = split_by(df, large, keys)
     return _whole(small_part, keys, order_by, ops).unionByName(
         _sliced(large_part, keys, order_by, ops, total)
     )
@@ -209,7 +207,7 @@ def dense_rank_valid(
         # Number the distinct values instead of the rows, then look them up.
         values = df.filter(valid).select(*keys, *columns).distinct()
         numbered = event_sequence(values, keys, order_by, name)
-        ranked = equi_join(df, numbered, [*keys, *columns], "left", na_matches=True)
+        ranked = keyed_join(df, numbered, [*keys, *columns], "left", na_matches=True)
     if fallback is None:
         return ranked
     return ranked.withColumn(name, F.coalesce(F.col(name), F.col(fallback).cast("bigint")))

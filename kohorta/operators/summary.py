@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.ordered import running_totals
+from kohorta.session import durable
 
 OVERALL = "Overall"
 
@@ -69,7 +70,7 @@ def summary_categorical(
     df: DataFrame, columns: Sequence[str], by: str | None = None, overall: bool = False
 ) -> DataFrame:
     """n and percent of the known values per level, plus the number missing."""
-    counts = value_counts(df, columns, by, overall)
+    counts = durable(value_counts(df, columns, by, overall))
     known = F.col("value").isNotNull()
     base = counts.groupBy("stratum", "variable").agg(
         F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_known"),
@@ -125,7 +126,7 @@ def summary_continuous(
     df: DataFrame, columns: Sequence[str], by: str | None = None, overall: bool = False
 ) -> DataFrame:
     """Known and missing rows, median and quartiles per variable (and stratum)."""
-    counts = value_counts(df, columns, by, overall, "double")
+    counts = durable(value_counts(df, columns, by, overall, "double"))
     known = F.col("value").isNotNull()
     base = counts.groupBy("stratum", "variable").agg(
         F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_known"),

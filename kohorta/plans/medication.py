@@ -92,7 +92,7 @@ def regimens_long(drugs: DataFrame, cohort: DataFrame) -> DataFrame:
     ).withColumnRenamed("Medication", "regimen_drugs")
     return durable(
         therapy.exposure_flags(
-            durable(long), cohort, KEY, START, "germline_collection_age", EXPOSURES, SPECIMEN_LABELS
+            long, cohort, KEY, START, "germline_collection_age", EXPOSURES, SPECIMEN_LABELS
         )
     )
 

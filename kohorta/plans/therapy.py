@@ -10,8 +10,9 @@ from kohorta.functions.recode import ordinal
 from kohorta.operators.collapse import collapse_two_level
 from kohorta.operators.events import ever_flags
 from kohorta.operators.joins import label_sequence
-from kohorta.operators.keys import as_list, equi_join
+from kohorta.operators.keys import as_list, keyed_join
 from kohorta.operators.ordered import dense_rank_valid, fill
+from kohorta.session import durable
 
 # Codes of the therapy line labels.
 UNKNOWN_LINES = ("Unknown/Not Applicable", "Unknown/Not Reported")
@@ -109,13 +110,20 @@ def exposure_flags(
     ``contains`` maps a flag to (column, text): any regimen up to the anchor
     whose column holds the text makes the flag "Yes" on all rows of the key.
     """
-    labelled = label_sequence(df, anchor, key, start, anchor_time, labels, sequence)
+    labelled = durable(label_sequence(df, anchor, key, start, anchor_time, labels, sequence))
     before = F.col(sequence) == labels[0]
     return ever_flags(
         labelled, key, {n: before & F.col(c).contains(text) for n, (c, text) in contains.items()}
     )
 
 
+def phase_of(start: Column, first: Column, labels: tuple[str, str, str] = PHASE_LABELS) -> tuple[Column, Column]:
+    """Label and line code of a row outside the index therapy."""
+    label = F.when(start < first, F.lit(labels[0])).when(start > first, F.lit(labels[2]))
+    code = F.when(start < first, F.lit(PHASE_CODES[0])).when(start > first, F.lit(PHASE_CODES[1]))
+    return label, code.cast("bigint")
+
+
 def therapy_phase(
     other: DataFrame,
     index_rows: DataFrame,
@@ -132,16 +140,9 @@ def therapy_phase(
     ``other`` are all rows of the same keys that are not index rows; the index
     rows are added with their own label.
     """
-    joined = equi_join(other, first_start.select(key, first), key, "left")
-    t, t0 = F.col(start), F.col(first)
-    outside = joined.withColumns(
-        {
-            phase: F.when(t < t0, F.lit(labels[0])).when(t > t0, F.lit(labels[2])),
-            line: F.when(t < t0, F.lit(PHASE_CODES[0]))
-            .when(t > t0, F.lit(PHASE_CODES[1]))
-            .cast("bigint"),
-        }
-    ).drop(first)
+    joined = keyed_join(other, first_start.select(key, first), key, "left")
+    label, code = phase_of(F.col(start), F.col(first), labels)
+    outside = joined.withColumns({phase: label, line: code}).drop(first)
     inside = index_rows.withColumn(phase, F.lit(labels[1]))
     return outside.unionByName(inside, allowMissingColumns=True)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,19 +36,22 @@ def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_TASK, str(ROWS_PER_TASK_DEFAULT)))
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Size that the optimizer plans with, or None where it cannot be read."""
+def source_bytes(df: DataFrame) -> int | None:
+    """Size of the tables that the frame reads, or None where it cannot be told.
+
+    Sizes of join results are not used: the optimizer multiplies both sides.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None
 
 
 def fits_one_task(df: DataFrame) -> bool:
-    size = planned_bytes(df)
-    spark = df.sparkSession
-    limit = int(spark.conf.get(BYTES_PER_TASK, str(BYTES_PER_TASK_DEFAULT)))
+    """True when even the whole input would be a fair share of one task."""
+    size = source_bytes(df)
+    limit = int(df.sparkSession.conf.get(BYTES_PER_TASK, str(BYTES_PER_TASK_DEFAULT)))
     return size is not None and size <= limit
 
 
@@ -66,9 +70,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and continue from the written table.
+
+    Later steps read only the columns they need, know the table's size, and
+    survive lost executors without computing ``df`` again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:

@@ -1,5 +1,7 @@
 """Small raw clinical tables that hold the awkward cases."""
 
+from kohorta.sources.tables import read_tables
+
 UNKNOWN = "Unknown/Not Applicable"
 OVARY = ("C56.9", "Ovary")
 BREAST = ("C50.9", "Breast")
@@ -144,5 +146,7 @@ ROWS = {
 MARKERS = ["ca-125", "her2neu", "flow_panel_cd_4", "flow_panel_cd_8"]
 
 
-def load(spark):
-    return {n: spark.createDataFrame(ROWS[n], s) for n, s in SCHEMAS.items()}
+def load(spark, folder):
+    for name, schema in SCHEMAS.items():
+        spark.createDataFrame(ROWS[name], schema).write.parquet(f"{folder}/{name}.parquet")
+    return read_tables(spark, folder, SCHEMAS)

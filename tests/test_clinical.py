@@ -12,8 +12,9 @@ from kohorta.session import durable
 
 
 @pytest.fixture(scope="module")
-def built(spark):
-    return build_patient_tables(ct.load(spark), ct.MARKERS, ["t(4;14)", "del17"])
+def built(spark, tmp_path_factory):
+    tables = ct.load(spark, str(tmp_path_factory.mktemp("clinical")))
+    return build_patient_tables(tables, ct.MARKERS, ["t(4;14)", "del17"])
 
 
 @pytest.fixture(scope="module")

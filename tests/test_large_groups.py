@@ -80,3 +80,35 @@ def test_statistics(events, small_tasks):
     same(small_tasks, lambda: survival.cox_univariable(data, "time", "e", "t"), 4)
     same(small_tasks, lambda: association.rank_sums(data, "t", "g"), 3)
     same(small_tasks, lambda: summary.summary_continuous(data, ["x", "t"], "g", overall=True), 10)
+
+
+def test_joins_at_skew(events, small_tasks):
+    """A key that holds a third of all rows is joined where its rows are."""
+    from kohorta.operators import events as ev, joins as j
+
+    anchor = events.groupBy("k").agg(F.min("t").alias("t0"), F.max("cat").alias("site")).filter("k is null or k < 20")
+    named = anchor.filter("k is not null").cache()
+    order = ["t", "id"]
+    same(small_tasks, lambda: ev.group_count(events, "k"))
+    same(small_tasks, lambda: ev.ever(events, "k", F.col("x") > 9.5, "high", no="No"))
+    same(small_tasks, lambda: ev.first_in_group(events, "k", order, {"f": "cat"}))
+    same(small_tasks, lambda: ev.last_non_null(events, "k", order, "cat", "l"))
+    same(small_tasks, lambda: ev.fallback_first_row(events, "k", ["id"], F.col("cat") == "a", F.col("cat") == "b"))
+    same(small_tasks, lambda: ev.index_event(events, "k", "t", F.col("cat") == "a", ["id"]))
+    same(small_tasks, lambda: ev.event_or_censor(events, "k", "t", "x", carry=["cat"], order_by=["id"]))
+    same(small_tasks, lambda: j.pick_nearest(events, named, "k", "t", "t0", ["id"]))
+    same(small_tasks, lambda: j.pick_nearest(events, named, "k", "x", "t0", ["id"], "forward", by=["cat"]))
+    same(small_tasks, lambda: j.label_sequence(events, named, "k", "x", "t0", ("b", "a"), "s"))
+    same(small_tasks, lambda: j.attribute(events, anchor, {"k": "k", "cat": "site"}, ["t0"]))
+    same(small_tasks, lambda: j.restrict(events, named.filter("t0 < 3"), "k", "anti"))
+    same(small_tasks, lambda: j.restrict(events, named.filter("t0 < 3"), "k"))
+    same(small_tasks, lambda: j.semi_or_anti(events, named, named.filter("k < 4"), "k"))
+    same(small_tasks, lambda: j.full_join(events, anchor, "k"))
+
+
+def test_joins_without_broadcast(events, small_tasks):
+    """The other side of the large keys is too big to send: shuffled after all."""
+    from kohorta.operators.keys import keyed_join
+
+    many = events.select("k", F.col("id").alias("other")).cache()
+    same(small_tasks, lambda: keyed_join(events, many, "k", "inner", na_matches=True), 30)
