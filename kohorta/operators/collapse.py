@@ -38,14 +38,9 @@ def collapse(
     )
 
 
-def _sorted_values(df: DataFrame, column: str, order: list[str]) -> Column:
-    """Values of the group as texts in order, missing ones kept in place."""
+def _as_text(df: DataFrame, column: str) -> Column:
     real = dict(df.dtypes)[column] in ("double", "float")
-    text = fmt_num(column) if real else F.col(column).cast("string")
-    # A missing order value sorts last: its flag comes before the value.
-    place = [p for o in order for p in (F.col(o).isNull().alias(f"n_{o}"), F.col(o).alias(f"o_{o}"))]
-    rows = F.array_sort(F.collect_list(F.struct(*place, text.alias("v"))))
-    return F.transform(rows, lambda r: r["v"])
+    return fmt_num(column) if real else F.col(column).cast("string")
 
 
 def _join(values: Column, complete: Column, sep: str, nulls: str) -> Column:
@@ -57,14 +52,24 @@ def _join(values: Column, complete: Column, sep: str, nulls: str) -> Column:
     return F.when(F.exists(values, lambda v: v.isNotNull()), text)
 
 
-def _one_level(df, keys, columns, order, sep, nulls) -> DataFrame:
-    lists = df.groupBy(*keys).agg(
-        *[_sorted_values(df, c, order).alias(c) for c in columns],
-        *[(F.count(c) == F.count(F.lit(1))).alias(f"__all_{c}") for c in columns],
+def _lists(df, keys, columns, order) -> DataFrame:
+    # A missing order value sorts last: its flag comes before the value. All
+    # columns share one list, so a group is shuffled and sorted once.
+    place = [p for o in order for p in (F.col(o).isNull().alias(f"n_{o}"), F.col(o).alias(f"o_{o}"))]
+    texts = [_as_text(df, c).alias(f"v_{i}") for i, c in enumerate(columns)]
+    return df.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(*place, *texts))).alias("__rows"),
+        *[(F.count(c) == F.count(F.lit(1))).alias(f"__all_{i}") for i, c in enumerate(columns)],
     )
-    return lists.select(
+
+
+def _one_level(df, keys, columns, order, sep, nulls) -> DataFrame:
+    return _lists(df, keys, columns, order).select(
         *keys,
-        *[_join(F.col(c), F.col(f"__all_{c}"), sep, nulls).alias(c) for c in columns],
+        *[
+            _join(F.col(f"__rows.v_{i}"), F.col(f"__all_{i}"), sep, nulls).alias(c)
+            for i, c in enumerate(columns)
+        ],
     )
 
 
@@ -91,8 +96,28 @@ def collapse_two_level(
 ) -> DataFrame:
     """Collapse per (keys, inner), then over ``inner``, which is collapsed too.
 
-    The inner groups are taken in the order of ``inner``, missing last.
+    The inner groups are taken in the order of ``inner``, missing last. With one
+    separator both steps give the text of one collapse ordered by inner first,
+    so ordinary groups need a single aggregate.
     """
-    keys, columns = as_list(keys), as_list(columns)
-    first = collapse(df, [*keys, inner], columns, order_by, sep)
-    return collapse(first, keys, [*columns, inner], [inner], sep)
+    keys, columns, order = as_list(keys), as_list(columns), order_names(order_by)
+    large = large_groups(df, keys)
+    if large is None:
+        return _two_level_at_once(df, keys, inner, columns, order, sep)
+    small_part, large_part = split_by(df, large, keys)
+    first = collapse(large_part, [*keys, inner], columns, order_by, sep)
+    heavy = collapse(first, keys, [*columns, inner], [inner], sep)
+    return _two_level_at_once(small_part, keys, inner, columns, order, sep).unionByName(heavy)
+
+
+def _two_level_at_once(df, keys, inner, columns, order, sep) -> DataFrame:
+    lists = _lists(df, keys, [*columns, inner], [inner, *order])
+    inner_values = F.array_distinct(F.col(f"__rows.v_{len(columns)}"))
+    return lists.select(
+        *keys,
+        *[
+            _join(F.col(f"__rows.v_{i}"), F.col(f"__all_{i}"), sep, "strict").alias(c)
+            for i, c in enumerate(columns)
+        ],
+        _join(inner_values, F.col(f"__all_{len(columns)}"), sep, "strict").alias(inner),
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from kohorta.operators import association, ordered, summary, survival
-from kohorta.operators.collapse import collapse
+from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.session import large_groups
 
 
@@ -70,6 +70,10 @@ def test_collapse(events, small_tasks, nulls):
     same(small_tasks, lambda: collapse(events, "k", ["cat", "t"], ["t", "id"], "; ", nulls))
 
 
+def test_two_level_collapse(events, small_tasks):
+    same(small_tasks, lambda: collapse_two_level(events, "k", "t", ["cat"], ["id"]))
+
+
 def test_statistics(events, small_tasks):
     data = events.select(
         F.coalesce("cat", F.lit("d")).alias("g"), F.floor("x").alias("time"), (F.col("id") % 3 == 0).cast("int").alias("e"), "x", "t"
