@@ -404,10 +404,10 @@ def log_rank(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("expected", "variance")})
 
 
-def _cox_sql(steps: int = 7) -> str:
-    """Newton steps for one numeric covariate, written out one after the other."""
+def _cox_sql(x: str, select: str, steps: int = 7) -> str:
+    """Newton steps for one covariate ``x``, written out one after the other."""
     parts = [
-        "z AS (SELECT time, event, (c_acctbal - (SELECT avg(c_acctbal) FROM surv)) / 1000 AS x FROM surv)",
+        f"z AS (SELECT time, event, {x} AS x FROM surv)",
         "b0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS v)",
     ]
     for i in range(1, steps + 1):
@@ -423,18 +423,40 @@ def _cox_sql(steps: int = 7) -> str:
                                 FROM (SELECT z.*, exp(b * x) AS e FROM z, b{i - 1}) GROUP BY time)
                             WINDOW w AS (ORDER BY time DESC)) WHERE d > 0))))"""
         )
-    return f"""WITH {', '.join(parts)}
-        SELECT 'balance' AS covariate, (SELECT count(*) FROM z) AS n, (SELECT CAST(sum(event) AS BIGINT) FROM z) AS n_event,
-               round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(sqrt(v), 6) AS std_err FROM b{steps}"""
+    return f"WITH {', '.join(parts)} " + select.format(last=f"b{steps}")
 
 
-@query("cox_univariable", _cox_sql())
+_COX = ("coef", "hazard_ratio", "std_err")
+
+
+@query(
+    "cox_univariable",
+    _cox_sql(
+        "(c_acctbal - (SELECT avg(c_acctbal) FROM surv)) / 1000",
+        """SELECT 'balance' AS covariate, (SELECT count(*) FROM z) AS n, (SELECT CAST(sum(event) AS BIGINT) FROM z) AS n_event,
+                  round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(sqrt(v), 6) AS std_err FROM {last}""",
+    ),
+)
 def cox_univariable(spark, d):
     rows = v.surv(spark, d).withColumn("balance", F.col("c_acctbal") / 1000)
     fit = sv.cox_univariable(rows, "time", "event", "balance")
-    return fit.select(
-        "covariate", "n", "n_event", *[F.round(c, 6).alias(c) for c in ("coef", "hazard_ratio", "std_err")]
-    )
+    return fit.select("covariate", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX])
+
+
+@query(
+    "cox_two_levels",
+    _cox_sql(
+        "CASE WHEN c_acctbal > 3000 THEN 1.0 ELSE 0.0 END",
+        """SELECT CASE x WHEN 1 THEN 'over' ELSE 'low' END AS level, count(*) AS n, CAST(sum(event) AS BIGINT) AS n_event,
+                  CASE x WHEN 1 THEN any_value(round(b, 6)) ELSE 0 END AS coef,
+                  CASE x WHEN 1 THEN any_value(round(exp(b), 6)) ELSE 1 END AS hazard_ratio,
+                  CASE x WHEN 1 THEN any_value(round(sqrt(v), 6)) END AS std_err FROM z, {last} GROUP BY x""",
+    ),
+)
+def cox_two_levels(spark, d):
+    rows = v.surv(spark, d).withColumn("balance", F.when(F.col("c_acctbal") > 3000, "over").otherwise("low"))
+    fit = sv.cox_univariable(rows, "time", "event", "balance")
+    return fit.select("level", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX])
 
 
 @query("cox_univariable_levels")

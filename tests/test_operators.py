@@ -202,6 +202,32 @@ def test_cox_by_brute_force(spark):
     assert (levels["yes"]["n"], levels["yes"]["n_event"]) == (4, 2)
 
 
+def test_cox_three_levels_by_brute_force(spark):
+    """The fitted coefficients are a stationary point of the written-out likelihood."""
+    import random
+
+    rng = random.Random(3)
+    data = [(float(rng.randint(1, 8)), rng.choice([0, 1, 1]), rng.choice("abc")) for _ in range(60)]
+    fit = sv.cox_univariable(spark.createDataFrame(data, "t double, e int, g string"), "t", "e", "g")
+    beta = {r["level"]: r["coef"] for r in fit.collect()}
+
+    def likelihood(b):
+        total = 0.0
+        for t in {t for t, ev, _ in data if ev}:
+            dead = [b[g] for u, ev, g in data if u == t and ev]
+            risk = sum(math.exp(b[g]) for u, _, g in data if u >= t)
+            tied = sum(map(math.exp, dead))
+            total += sum(dead) - sum(math.log(risk - i / len(dead) * tied) for i in range(len(dead)))
+        return total
+
+    for level in "bc":
+        up, down = dict(beta), dict(beta)
+        up[level] += 1e-4
+        down[level] -= 1e-4
+        assert likelihood(beta) >= max(likelihood(up), likelihood(down))
+        assert (likelihood(up) - likelihood(down)) / 2e-4 == pytest.approx(0.0, abs=1e-5)
+
+
 def test_log_rank_by_hand(spark):
     df = spark.createDataFrame([(1.0, 1, "a"), (2.0, 1, "b"), (3.0, 0, "a"), (4.0, 1, "b")], "t double, e int, g string")
     table = {r["g"]: r for r in sv.log_rank(df, "t", "e", "g").collect()}
