@@ -63,14 +63,21 @@ def pivot_occurrence(
     n = F.col("__n")
     take = k + 1 if overflow == "error" else k
     numbered = first_rows(df, key, order_by, take, "__n")
-    wide = numbered.groupBy(*key, *lhs).agg(
-        *[F.max(F.when(n == i, F.col(v))).alias(f"{v}_{i}") for v in values for i in range(1, k + 1)],
-        F.max(n).alias("__n"),
-    )
+    # At most ``take`` rows per key are left: one small map instead of k tests per row.
+    cells = F.map_from_entries(F.collect_list(F.struct(n, F.struct(*values))))
+    wide = numbered.groupBy(*key, *lhs).agg(cells.alias("__cells"), F.max(n).alias("__n"))
     if overflow == "error":
         check = F.assert_true(n <= k, F.lit(f"a key has more than {k} rows"))
         wide = wide.filter(check.isNull())
-    return wide.drop("__n")
+    return wide.select(
+        *key,
+        *lhs,
+        *[
+            F.try_element_at("__cells", F.lit(i)).getField(v).alias(f"{v}_{i}")
+            for v in values
+            for i in range(1, k + 1)
+        ],
+    )
 
 
 def unpivot(

@@ -18,15 +18,19 @@ from kohorta.operators.selectors import across, of_type, rest
 from kohorta.plans.base import KEY, ROW, cohort_rows
 
 
+def _with_key(table: DataFrame) -> DataFrame:
+    """Some extracts put a prefix before the name of the key."""
+    return table.withColumnsRenamed({n: KEY for n in table.columns if n.endswith(KEY)})
+
+
 def cohort(samples: DataFrame, linkage: DataFrame) -> DataFrame:
     """Sample list with the collection ages and sites of its germline-tumor pair."""
-    named = linkage.withColumnsRenamed(
+    named = _with_key(linkage).withColumnsRenamed(
         {
             "Tumor.Germline": "Kind",
             "Age.At.Specimen.Collection": "collection_age",
             "SpecimenSiteOfCollection": "collection_site",
             "Disease.Type": "Disease",
-            "ORIENAvatarKey": KEY,
         }
     )
 
@@ -39,7 +43,7 @@ def cohort(samples: DataFrame, linkage: DataFrame) -> DataFrame:
             *extra,
         )
 
-    listed = samples.withColumnsRenamed({"ORIENAvatarKey": KEY, "Disease.Type": "DiseaseType"})
+    listed = _with_key(samples).withColumnsRenamed({"Disease.Type": "DiseaseType"})
     paired = resolve_pairs(
         listed,
         kind("Germline", "germline"),

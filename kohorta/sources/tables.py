@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -58,8 +58,9 @@ def write_all(df: DataFrame, targets: Sequence[tuple[str, str]], day: dt.date |
 def add_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
     """Append literal rows; columns a row does not give become missing."""
     names = [c for c in df.columns if any(c in r for r in rows)]
-    schema = StructType([df.schema[c] for c in names])
-    for field in schema.fields:
-        field.nullable = True
-    extra = df.sparkSession.createDataFrame([tuple(r.get(c) for c in names) for r in rows], schema)
+    kinds = dict(df.dtypes)
+    literals = [
+        F.struct(*[F.lit(r.get(c)).cast(kinds[c]).alias(c) for c in names]) for r in rows
+    ]
+    extra = df.sparkSession.range(1).select(F.inline(F.array(*literals)))
     return df.unionByName(extra, allowMissingColumns=True)

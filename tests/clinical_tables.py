@@ -7,8 +7,8 @@ OVARY = ("C56.9", "Ovary")
 BREAST = ("C50.9", "Breast")
 
 SCHEMAS = {
-    "cohort": "ORIENAvatarKey string, Germline_WES string, Tumor_WES string, `Disease.Type` string, ch_status string, histology_behavior string",
-    "sample_linkage": "ORIENAvatarKey string, `Tumor.Germline` string, WES string, `Age.At.Specimen.Collection` string, `Disease.Type` string, SpecimenSiteOfCollection string",
+    "cohort": "SourceAvatarKey string, Germline_WES string, Tumor_WES string, `Disease.Type` string, ch_status string, histology_behavior string",
+    "sample_linkage": "SourceAvatarKey string, `Tumor.Germline` string, WES string, `Age.At.Specimen.Collection` string, `Disease.Type` string, SpecimenSiteOfCollection string",
     "patient": "AvatarKey string, Race string, Ethnicity string, Sex string",
     "history": "AvatarKey string, SmokingStatus string, AgeAtLastUpdate string, AlcoholUse string, PreExistHPV string",
     "diagnosis": "row_id bigint, AvatarKey string, AgeAtFirstContact string, AgeAtDiagnosis string, YearOfDiagnosis string, PrimaryDiagnosisSiteCode string, PrimaryDiagnosisSite string, Histology string, ClinGroupStage string, PathGroupStage string, GradeClinical string, GradePathological string, CurrentlySeenForPrimaryOrRecurr string, PerformStatusAtDiagnosis string, OtherStagingSystem string, OtherStagingValue string",
