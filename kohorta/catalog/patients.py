@@ -476,7 +476,7 @@ RAW_NAMES = {
 
 def _patient_table(spark, d):
     tables = {n: raw(spark, d, r) for n, r in RAW_NAMES.items()}
-    return build_patient_tables(tables, MARKERS, ["click", "view"], drugs=120, radiations=30, surgeries=30).wide
+    return build_patient_tables(tables, MARKERS, ["click", "view"], drugs=50, radiations=12, surgeries=12).wide
 
 
 v.SQL_VIEWS |= {

@@ -142,7 +142,8 @@ RAW: dict[str, str] = {
         SELECT DISTINCT 'P' || user_id AS AvatarKey, CASE WHEN value < 50 THEN 'Positive' ELSE 'Negative' END AS CytogenAbnormResult,
                event_type AS CytogenAbnormName, 'Yes' AS CytogenAbnormInd FROM {ev} WHERE value > 45""",
     "raw_med": """
-        SELECT CAST(l_orderkey AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey * 10 + l_linenumber AS row_id, 'P' || o_custkey AS AvatarKey,
+        SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || CAST(l_quantity AS BIGINT) || '-'
+                   || CAST(floor(l_extendedprice * 100) AS BIGINT) AS row_id, 'P' || o_custkey AS AvatarKey,
                CASE WHEN l_quantity < 3 THEN '(Migrated) Cannot determine from available documentation' WHEN l_quantity < 6 THEN 'No' ELSE 'Yes' END AS MedicationInd,
                CASE WHEN l_returnflag = 'A' THEN p_name || ' Sulfate' WHEN l_returnflag = 'R' THEN upper(p_name) ELSE p_name END AS Medication,
                CASE l_linenumber WHEN 1 THEN 'First Line/Regimen' WHEN 2 THEN 'Second Line/Regimen' WHEN 3 THEN 'Neoadjuvant Regimen'

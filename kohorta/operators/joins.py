@@ -252,6 +252,8 @@ def merge_on_index(
     if flags:
         out = out.filter(reduce(lambda a, b: a | b, [f.isNotNull() for f in flags]))
         out = out.drop(*[f"__has_{i}" for i in range(len(flags))])
-    for table in others:
+    columns = [*out.columns, *[c for table in others for c in table.columns if c != key]]
+    # Wide tables come last, so that their columns pass through few joins.
+    for table in sorted(others, key=lambda t: len(t.columns)):
         out = equi_join(out, table, key, "left")
-    return out
+    return out.select(*columns)

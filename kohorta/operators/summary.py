@@ -88,6 +88,13 @@ def summary_categorical(
     )
 
 
+def by_frequency(table: DataFrame) -> DataFrame:
+    """Summary rows with the most frequent level of each variable first."""
+    return table.orderBy(
+        "stratum", "variable", F.col("n").desc_nulls_last(), F.col("level").asc_nulls_last()
+    )
+
+
 def quantiles(
     counts: DataFrame, keys: Sequence[str], value: str, n: str, probs: Sequence[float]
 ) -> DataFrame:

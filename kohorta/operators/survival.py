@@ -148,15 +148,18 @@ def log_rank_test(
 
 def _efron_rows(at: DataFrame) -> DataFrame:
     """Split the tied events of a time into runs, so no row loops without bound."""
-    starts = F.sequence(F.lit(0), F.col("d") - 1, F.lit(EFRON_STEPS).cast("bigint"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("d") - 1, F.lit(EFRON_STEPS).cast("bigint"))
     out = at.withColumn("j0", F.explode(starts))
     return out.withColumn("j1", F.least(F.col("j0") + EFRON_STEPS, F.col("d")) - 1)
 
 
-def _over_ties(term: Callable[[Column], Column]) -> Column:
-    """Sum of ``term(j / d)`` over the run's tied events."""
-    steps = F.sequence(F.col("j0"), F.col("j1"))
-    return F.aggregate(steps, F.lit(0.0), lambda acc, j: acc + term(j / F.col("d")))
+def _over_ties(runs: DataFrame) -> DataFrame:
+    """One row per tied event, with the share ``f`` of the ties before it.
+
+    The rows live only inside the task that sums them.
+    """
+    steps = runs.withColumn("j", F.explode(F.sequence("j0", "j1")))
+    return steps.withColumn("f", F.col("j") / F.col("d"))
 
 
 def _newton(moments: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], size: int,
@@ -192,18 +195,18 @@ def _cox_levels(df: DataFrame, time: str, event: str, by: str, levels: Sequence)
         weight = [1.0, *np.exp(beta)]
         all_risk = sum((F.col(f"r_{i}") * F.lit(float(weight[i])) for i in k), F.lit(0.0))
         all_ties = sum((F.col(f"d_{i}") * F.lit(float(weight[i])) for i in k), F.lit(0.0))
-        rows = at.withColumns({"s": all_risk, "t": all_ties})
-
-        def mass(f: Column) -> Column:
-            return F.col("s") - f * F.col("t")
-
-        def part(i: int, f: Column) -> Column:
-            return F.lit(float(weight[i])) * (F.col(f"r_{i}") - f * F.col(f"d_{i}")) / mass(f)
-
-        sums = [F.sum(_over_ties(lambda f: F.log(mass(f)))).alias("l")]
-        sums += [F.sum(_over_ties(lambda f, i=i: part(i, f))).alias(f"g_{i}") for i in free]
+        f = F.col("f")
+        rows = _over_ties(at).withColumn("mass", all_risk - f * all_ties)
+        rows = rows.withColumns(
+            {
+                f"p_{i}": F.lit(float(weight[i])) * (F.col(f"r_{i}") - f * F.col(f"d_{i}")) / F.col("mass")
+                for i in free
+            }
+        )
+        sums = [F.sum(F.log("mass")).alias("l")]
+        sums += [F.sum(f"p_{i}").alias(f"g_{i}") for i in free]
         sums += [
-            F.sum(_over_ties(lambda f, i=i, j=j: part(i, f) * part(j, f))).alias(f"h_{i}_{j}")
+            F.sum(F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"h_{i}_{j}")
             for i in free
             for j in free
             if j >= i
@@ -241,16 +244,13 @@ def _cox_number(df: DataFrame, time: str, event: str, x: str) -> tuple:
             *[F.sum(F.col("d") * w * p).alias(f"d_{i}") for i, p in enumerate(powers)],
         )
         risk = running_totals(per_time, [], ["-time"], {f"r_{i}": f"n_{i}" for i in range(3)})
-        rows = _efron_rows(risk.filter(F.col("d") > 0))
-
-        def s(i: int, f: Column) -> Column:
-            return F.col(f"r_{i}") - f * F.col(f"d_{i}")
-
-        mean = lambda f: s(1, f) / s(0, f)
+        rows = _over_ties(_efron_rows(risk.filter(F.col("d") > 0)))
+        rows = rows.withColumns({f"s_{i}": F.col(f"r_{i}") - F.col("f") * F.col(f"d_{i}") for i in range(3)})
+        mean = F.col("s_1") / F.col("s_0")
         out = rows.agg(
-            F.sum(_over_ties(lambda f: F.log(s(0, f)))).alias("l"),
-            F.sum(_over_ties(mean)).alias("g"),
-            F.sum(_over_ties(lambda f: s(2, f) / s(0, f) - mean(f) * mean(f))).alias("h"),
+            F.sum(F.log("s_0")).alias("l"),
+            F.sum(mean).alias("g"),
+            F.sum(F.col("s_2") / F.col("s_0") - mean * mean).alias("h"),
         ).first()
         return (
             float(beta[0]) * weighted - out["l"],

@@ -89,7 +89,7 @@ def regimens_per_patient(df: DataFrame) -> DataFrame:
 def regimen_frequency(df: DataFrame) -> DataFrame:
     treated = df.filter(F.col("drugs_ever") == "Yes")
     long = unpivot(treated, KEY, with_prefix(treated, "regimen_"), "name", "drug_name")
-    return summary.summary_categorical(long, ["drug_name"])
+    return summary.by_frequency(summary.summary_categorical(long, ["drug_name"]))
 
 
 def ever_received(df: DataFrame, text: str, by: str = STRATUM) -> DataFrame:
@@ -133,11 +133,10 @@ def survival_difference(df: DataFrame, endpoint: str, by: str = STRATUM) -> dict
 
 def drugs_without_class(phases: DataFrame) -> DataFrame:
     missing = phases.filter(F.col("general_drug_class").isNull())
-    return summary.summary_categorical(missing, ["Medication"])
+    return summary.by_frequency(summary.summary_categorical(missing, ["Medication"]))
 
 
 def drugs_before_sample(phases: DataFrame, by_phase: bool = False) -> DataFrame:
     before = phases.filter(F.col("regimen_specimen_sequence") == "regimen before germline")
-    return summary.summary_categorical(
-        before, ["Medication"], "drug_sequence_vs_ovarian_drugs" if by_phase else None
-    )
+    by = "drug_sequence_vs_ovarian_drugs" if by_phase else None
+    return summary.by_frequency(summary.summary_categorical(before, ["Medication"], by))
