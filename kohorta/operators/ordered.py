@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from kohorta.operators.keys import as_list, equi_join, keyed_join, order_names, sort_columns, split_by
-from kohorta.session import durable, fits_one_task, large_groups, rows_per_task
+from kohorta.session import durable, fits_one_task, large_groups, rows_per_task, settled
 
 SLICE = "__slice"
 ROW = "__row"
@@ -99,6 +99,7 @@ def scan(
     """
     keys = as_list(keys)
     if not keys:
+        df = settled(df)
         if fits_one_task(df):
             return _whole(df, keys, order_by, ops)
         return _sliced(df, keys, order_by, ops, df.count())
@@ -205,7 +206,7 @@ def dense_rank_valid(
         ).drop("__valid")
     else:
         # Number the distinct values instead of the rows, then look them up.
-        values = df.filter(valid).select(*keys, *columns).distinct()
+        values = settled(df.filter(valid).select(*keys, *columns).distinct())
         numbered = event_sequence(values, keys, order_by, name)
         ranked = keyed_join(df, numbered, [*keys, *columns], "left", na_matches=True)
     if fallback is None:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.functions import tails
 from kohorta.operators.ordered import running_totals
-from kohorta.session import durable
+from kohorta.session import durable, settled
 
 MAX_STRATA = 100
 EFRON_STEPS = 10_000
@@ -41,9 +41,11 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by: str | None = None) ->
     """Survival curve per stratum: at risk, events, censored, survival, std. error."""
     keys = [by] if by else []
     rows = _complete(df, time, event, *keys)
-    counts = rows.groupBy(*keys, time).agg(
-        F.sum(F.col(event).cast("bigint")).alias("n_event"),
-        F.count(F.lit(1)).alias("__rows"),
+    counts = settled(
+        rows.groupBy(*keys, time).agg(
+            F.sum(F.col(event).cast("bigint")).alias("n_event"),
+            F.count(F.lit(1)).alias("__rows"),
+        )
     )
     risk = running_totals(counts, keys, [f"-{time}"], {"n_risk": "__rows"})
     d, n = F.col("n_event"), F.col("n_risk")

@@ -81,6 +81,14 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """For a small result of large tables that is read several times: write it once.
+
+    Results of small tables are left as they are.
+    """
+    return df if fits_one_task(df) else durable(df)
+
+
 def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Keys with more rows than one task should take, with their counts ``n``.
 
