@@ -46,7 +46,7 @@ def chi_square_statistic(df: DataFrame, row: str, col: str) -> DataFrame:
         (F.col("n") * F.col("__s") - F.col("n")).alias("statistic"),
         ((F.col("__nr") - 1) * (F.col("__nc") - 1)).alias("df"),
         "n",
-        (F.col("__min_r") * F.col("__min_c") / F.col("n")).alias("least_expected"),
+        (F.col("__min_r").cast("double") * F.col("__min_c") / F.col("n")).alias("least_expected"),
     )
 
 

@@ -305,12 +305,18 @@ def cox_univariable(
             .collect()
         }
         names = [v for v in names if v in size]
+        if len(names) < 2 or not any(e for _, e in size.values()):
+            # Nothing to compare: the sizes are all there is to say.
+            out += [(covariate, str(v), *size[v], *[None] * 6) for v in names]
+            return spark.createDataFrame(out, COX_SCHEMA)
         beta, cov = _cox_levels(rows, time, event, covariate, names)
         out.append((covariate, str(names[0]), *size[names[0]], 0.0, 1.0, None, None, None, None))
         for i, name in enumerate(names[1:]):
             out.append(line(str(name), *size[name], float(beta[i]), float(cov[i, i])))
     else:
         n, n_event = rows.agg(F.count(F.lit(1)), F.sum(F.col(event).cast("bigint"))).first()
+        if not n_event:
+            return spark.createDataFrame([(covariate, None, n, n_event, *[None] * 6)], COX_SCHEMA)
         beta, cov = _cox_number(rows, time, event, covariate)
         out.append(line(None, n, n_event, float(beta[0]), float(cov[0, 0])))
     return spark.createDataFrame(out, COX_SCHEMA)

@@ -228,6 +228,13 @@ def test_cox_three_levels_by_brute_force(spark):
         assert (likelihood(up) - likelihood(down)) / 2e-4 == pytest.approx(0.0, abs=1e-5)
 
 
+def test_cox_without_contrast(spark):
+    df = spark.createDataFrame([(1.0, 0, "a", 1.0), (2.0, 0, "b", 2.0), (3.0, 0, "b", 3.0)], "t double, e int, g string, x double")
+    assert [(r["level"], r["n"], r["coef"]) for r in sv.cox_univariable(df, "t", "e", "g").collect()] == [("a", 1, None), ("b", 2, None)]
+    assert sv.cox_univariable(df, "t", "e", "x").first()["coef"] is None
+    assert sv.cox_univariable(df.filter("g = 'b'"), "t", "e", "g").count() == 1
+
+
 def test_log_rank_by_hand(spark):
     df = spark.createDataFrame([(1.0, 1, "a"), (2.0, 1, "b"), (3.0, 0, "a"), (4.0, 1, "b")], "t double, e int, g string")
     table = {r["g"]: r for r in sv.log_rank(df, "t", "e", "g").collect()}
