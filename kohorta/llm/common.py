@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -10,10 +11,10 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kohorta.session import durable
+from kohorta.session import shared_folder
 from kohorta.sources.tables import read_table
 
-__all__ = ["WordCache", "durable", "fresh", "map_rows", "query", "read_table", "small_batches"]
+__all__ = ["WordCache", "durable", "fresh", "map_groups", "map_rows", "query", "read_table", "small_batches"]
 
 # Texts can be long, so few of them travel in one Arrow batch.
 ROWS_PER_BATCH = 256
@@ -23,6 +24,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def durable(df: DataFrame, codec: str = "snappy") -> DataFrame:
+    """Writes ``df`` to the shared folder and continues from the written table."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def query(name: str, sql: str | None = None):
     """Registers a query of this subpackage, with its SQL where there is one."""
 
@@ -79,6 +87,50 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def map_groups(
+    df: DataFrame, keys: list[str], fn: Callable[..., Iterator[tuple]], schema: str
+) -> DataFrame:
+    """``fn`` gets, for each group, one list per column that is not a key.
+
+    Groups are sorted next to each other in a task and streamed, so a task holds
+    one group at a time; the caller bounds how large a group can be.
+    """
+    small_batches(df.sparkSession)
+    target = df.sparkSession.createDataFrame([], schema).schema
+    arrow = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in target.fields])
+    values = [c for c in df.columns if c not in keys]
+    n = len(keys)
+
+    def packed(rows):
+        cells = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cells, arrow)], schema=arrow)
+
+    def groups(batches):
+        key, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:n] != key:
+                    if held:
+                        yield key, held
+                    key, held = row[:n], []
+                held.append(row[n:])
+        if held:
+            yield key, held
+
+    def run(batches):
+        out = []
+        for key, rows in groups(batches):
+            out += fn(key, *(list(c) for c in zip(*rows)))
+            if len(out) >= 10_000:
+                yield packed(out)
+                out = []
+        if out:
+            yield packed(out)
+
+    dealt = df.select(*keys, *values).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)
+
+
 _ARROW = {
     "bigint": pa.int64(),
     "int": pa.int32(),

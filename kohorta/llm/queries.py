@@ -1,4 +1,4 @@
 """Registered queries of the text operators."""
 
-from kohorta.llm import exact_dedup, pii, quality, secrets, token_counts  # noqa: F401
+from kohorta.llm import exact_dedup, near_dedup, packing, pii, quality, secrets, token_counts  # noqa: F401
 from kohorta.llm.common import ORACLES, QUERIES  # noqa: F401
