@@ -7,6 +7,7 @@ import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from kohorta.llm.common import durable, fresh, query, read_table, small_batches
 from kohorta.session import shared_folder
@@ -15,7 +16,7 @@ from kohorta.session import shared_folder
 SALTS = 64
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def digest(texts: pd.Series) -> pd.Series:
     """Hash of a text with A-Z lower-cased and nothing else; missing counts as empty."""
     return pd.Series([hashlib.sha256((t or "").encode("utf-8").lower()).hexdigest() for t in texts])
