@@ -424,9 +424,9 @@ def event_or_censor(spark, d):
     )
 
 
-@query("event_or_censor_known", _CENSOR.format(where="WHERE evt IS NOT NULL AND o_totalprice < 200000"))
+@query("event_or_censor_known", _CENSOR.format(where="WHERE evt IS NOT NULL"))
 def event_or_censor_known(spark, d):
-    rows = v.ord_n(spark, d).filter(F.col("o_totalprice") < 200000)
+    rows = v.ord_n(spark, d)
     known = rows.filter(F.col("evt").isNotNull())
     return e.event_or_censor(
         known, "o_custkey", "evt", "nday", censor_from_unknown=False, carry=["o_orderpriority"], order_by=["o_orderkey"]
@@ -469,40 +469,52 @@ def _occurrences(k: int, columns: list[str]) -> str:
 _NUMBERED = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM ev"
 
 
+# More than any user has events in the test tables; one more would be an error.
+MOST_EVENTS = 120
+
+
 @query(
     "pivot_occurrence",
-    f"SELECT user_id, {_occurrences(5, ['cat', 'nval', 'day'])} FROM ({_NUMBERED}) WHERE rn <= 5 GROUP BY user_id",
+    f"SELECT user_id, {_occurrences(MOST_EVENTS, ['cat', 'nval', 'day'])} FROM ({_NUMBERED}) GROUP BY user_id",
 )
 def pivot_occurrence(spark, d):
     rows = v.ev(spark, d).select("user_id", "event_id", "cat", "nval", "day")
-    return w.pivot_occurrence(rows, "user_id", ["cat", "nval", "day"], 5, ["event_id"])
+    return w.pivot_occurrence(rows, "user_id", ["cat", "nval", "day"], MOST_EVENTS, ["event_id"])
 
 
 @query(
     "pivot_occurrence_k",
-    f"SELECT user_id, cat, {_occurrences(9, ['nval'])} FROM ({_NUMBERED}) WHERE rn <= 9 GROUP BY user_id, cat",
+    f"SELECT user_id, cat, {_occurrences(MOST_EVENTS, ['nval'])} FROM ({_NUMBERED}) GROUP BY user_id, cat",
 )
 def pivot_occurrence_k(spark, d):
     rows = v.ev(spark, d).select("user_id", "event_id", "cat", "nval")
-    return w.pivot_occurrence(rows, "user_id", ["nval"], 9, ["event_id"], lhs=["cat"])
+    return w.pivot_occurrence(rows, "user_id", ["nval"], MOST_EVENTS, ["event_id"], lhs=["cat"])
 
 
 def _wide_cats(spark, d):
     rows = v.ev(spark, d).select("user_id", "event_id", "cat")
-    return w.pivot_occurrence(rows, "user_id", ["cat"], 6, ["event_id"])
+    return w.pivot_occurrence(rows, "user_id", ["cat"], None, ["event_id"])
 
 
-_LONG_CATS = f"SELECT user_id, 'cat_' || rn AS name, cat AS drug_name FROM ({_NUMBERED}) WHERE rn <= 6 AND cat IS NOT NULL"
+_LONG_CATS = f"SELECT user_id, 'cat_' || rn AS name, cat AS drug_name FROM ({_NUMBERED}) WHERE cat IS NOT NULL"
 
 
 @query("unpivot_drop_null", _LONG_CATS)
 def unpivot_drop_null(spark, d):
-    return w.unpivot(_wide_cats(spark, d), "user_id", [f"cat_{i}" for i in range(1, 7)], "name", "drug_name")
+    wide = _wide_cats(spark, d)
+    return w.unpivot(wide, "user_id", wide.columns[1:], "name", "drug_name")
 
 
 @query("items_per_key", f"SELECT user_id, count(*) AS n_items FROM ({_LONG_CATS}) GROUP BY user_id")
 def items_per_key(spark, d):
-    return w.items_per_key(_wide_cats(spark, d), "user_id", [f"cat_{i}" for i in range(1, 7)])
+    wide = _wide_cats(spark, d)
+    return w.items_per_key(wide, "user_id", wide.columns[1:])
+
+
+@query("occurrences_long", f"SELECT user_id, rn AS occurrence, cat, nval, day FROM ({_NUMBERED})")
+def occurrences_long(spark, d):
+    rows = v.ev(spark, d).select("user_id", "event_id", "cat", "nval", "day")
+    return w.occurrences_long(rows, "user_id", ["cat", "nval", "day"], ["event_id"])
 
 
 @query(

@@ -294,38 +294,52 @@ def _wide(names: dict[str, str], k: int) -> str:
     )
 
 
+# More treatments than any patient of the test tables has.
+MOST_TREATMENTS = 30
+
+
+def _filled(wide, names: dict[str, str], first: dict[str, str]):
+    """Cells 1 .. MOST_TREATMENTS under short names; those beyond the table are missing."""
+    beyond = [c for n in names for c in wide.columns if c.startswith(f"{n}_") and int(c.rsplit("_", 1)[1]) > MOST_TREATMENTS]
+    if beyond:
+        raise ValueError(f"not compared: {beyond}")
+    cells = []
+    for name, short in names.items():
+        for i in range(1, MOST_TREATMENTS + 1):
+            column = first.get(name, f"{name}_1") if i == 1 else f"{name}_{i}"
+            cell = F.col(column) if column in wide.columns else F.lit(None).cast("double")
+            cells.append(cell.alias(f"{short}_{i}"))
+    return cells
+
+
 @query(
     "clinical_radiation_wide",
     f"""SELECT AvatarKey, RadiationTherapyInd AS radiation_ever, ever_first AS ever_first_rad_age,
-               {_wide({'start': 'start', 'dose': 'dose', 'stop': 'stop'}, 4)},
+               {_wide({'start': 'start', 'dose': 'dose', 'stop': 'stop'}, MOST_TREATMENTS)},
                CASE WHEN max(CASE WHEN nth = 1 THEN start END) > ever_first THEN 'Yes' END AS had_prior_radiation
         FROM (SELECT *, row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_rad)
-        WHERE nth <= 30 GROUP BY AvatarKey, RadiationTherapyInd, ever_first""",
+        GROUP BY AvatarKey, RadiationTherapyInd, ever_first""",
 )
 def clinical_radiation_wide(spark, d):
     cohort, index = _index(spark, d)
-    wide = lt.radiation_wide(lt.radiation(raw(spark, d, "raw_rad"), cohort, index), 30)
+    wide = lt.radiation_wide(lt.radiation(raw(spark, d, "raw_rad"), cohort, index))
     names = {"AgeAtRadiationStart": "start", "RadDose": "dose", "AgeAtRadiationStop": "stop"}
-    cells = [F.col(f"{n}_{i}").alias(f"{s}_{i}") for n, s in names.items() for i in range(1, 5) if (n, i) != ("AgeAtRadiationStart", 1)]
-    return wide.select(
-        KEY, "radiation_ever", "ever_first_rad_age", F.col("age_at_first_radiation").alias("start_1"), *cells, "had_prior_radiation"
-    )
+    cells = _filled(wide, names, {"AgeAtRadiationStart": "age_at_first_radiation"})
+    return wide.select(KEY, "radiation_ever", "ever_first_rad_age", *cells, "had_prior_radiation")
 
 
 @query(
     "clinical_surgery_wide",
-    f"""SELECT AvatarKey, SiteTherapeutic AS surgery_ever, ever_first AS ever_first_surgery_age, {_wide({'age': 'age'}, 4)},
+    f"""SELECT AvatarKey, SiteTherapeutic AS surgery_ever, ever_first AS ever_first_surgery_age, {_wide({'age': 'age'}, MOST_TREATMENTS)},
                CASE WHEN max(CASE WHEN nth = 1 THEN age END) > ever_first THEN 'Yes' END AS had_prior_surgery
         FROM (SELECT * EXCLUDE (nth), row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_surg)
-        WHERE nth <= 30 GROUP BY AvatarKey, SiteTherapeutic, ever_first""",
+        GROUP BY AvatarKey, SiteTherapeutic, ever_first""",
 )
 def clinical_surgery_wide(spark, d):
     cohort, index = _index(spark, d)
-    wide = lt.surgery_wide(lt.surgery(raw(spark, d, "raw_surg"), cohort, index), 30)
-    return wide.select(
-        KEY, "surgery_ever", "ever_first_surgery_age", F.col("age_at_first_surgery").alias("age_1"),
-        *[F.col(f"AgeAtSurgeryBiopsy_{i}").alias(f"age_{i}") for i in range(2, 5)], "had_prior_surgery",
-    )
+    wide = lt.surgery_wide(lt.surgery(raw(spark, d, "raw_surg"), cohort, index))
+    cells = _filled(wide, {"AgeAtSurgeryBiopsy": "age"}, {"AgeAtSurgeryBiopsy": "age_at_first_surgery"})
+    return wide.select(KEY, "surgery_ever", "ever_first_surgery_age", *cells, "had_prior_surgery")
 
 
 @query(
@@ -476,7 +490,7 @@ RAW_NAMES = {
 
 def _patient_table(spark, d):
     tables = {n: raw(spark, d, r) for n, r in RAW_NAMES.items()}
-    return build_patient_tables(tables, MARKERS, ["click", "view"], drugs=50, radiations=12, surgeries=12).wide
+    return build_patient_tables(tables).wide
 
 
 v.SQL_VIEWS |= {

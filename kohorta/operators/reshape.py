@@ -1,4 +1,4 @@
-"""Long to wide and back, with fixed column lists."""
+"""Long to wide and back; columns come from the data or from a checked list."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.events import first_rows
 from kohorta.operators.keys import as_list
+from kohorta.operators.ordered import event_sequence
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -16,50 +17,84 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+# Names of a pivot become columns; beyond this a table is no longer the right form.
+MOST_COLUMNS = 10_000
+
+
+def category_names(df: DataFrame, names: str) -> list[str]:
+    """The distinct names of a column, sorted; they are about to become columns."""
+    found = df.filter(F.col(names).isNotNull()).select(names).distinct().limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"{names} has more than {MOST_COLUMNS} names; keep the long form")
+    return sorted(r[0] for r in found)
+
+
 def pivot_named(
     df: DataFrame,
     ids,
     names: str,
     values: Mapping[str, Column] | str,
-    categories: Sequence[str],
+    categories: Sequence[str] | None = None,
     template: str = "{name}_{value}",
+    subset: bool = False,
 ) -> DataFrame:
     """One row per id; one column per category, or per category and value.
 
     ``values`` is a column (its smallest text is taken on repeated cells) or a
     mapping of value name to aggregate. Category columns come grouped together.
+    Categories are taken from the data unless listed. A name that is missing from
+    the list is an error, unless ``subset`` asks for the listed ones only. Rows
+    without a name count for no column.
     """
     single = isinstance(values, str)
     aggregates = {values: F.min(values)} if single else dict(values)
+    if categories is None:
+        categories = category_names(df, names)
+    elif not subset:
+        known = F.col(names).isNull() | F.col(names).isin(list(categories))
+        message = F.concat(F.lit(f"{names} has a value that is not listed: "), F.col(names).cast("string"))
+        df = df.filter(F.assert_true(known, message).isNull())
+    if not categories:
+        return df.select(*as_list(ids)).distinct()
     wide = df.groupBy(*as_list(ids)).pivot(names, list(categories)).agg(
         *[a.alias(f"v{i}") for i, a in enumerate(aggregates.values())]
     )
     columns = []
     for category in categories:
         for i, value in enumerate(aggregates):
-            source = category if len(aggregates) == 1 else f"{category}_v{i}"
-            target = category if single else template.format(name=category, value=value)
+            source = f"{category}" if len(aggregates) == 1 else f"{category}_v{i}"
+            target = f"{category}" if single else template.format(name=category, value=value)
             columns.append(F.col(f"`{source}`").alias(target))
     return wide.select(*as_list(ids), *columns)
 
 
+def most_per_key(df: DataFrame, key) -> int:
+    """Rows of the largest group; 0 for an empty table."""
+    counts = df.groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def pivot_occurrence(
     df: DataFrame,
     key,
     values: Sequence[str],
-    k: int,
+    k: int | None,
     order_by,
     lhs: Sequence[str] = (),
-    overflow: str = "drop",
+    overflow: str = "error",
 ) -> DataFrame:
     """One row per (key, lhs) with ``{value}_1 .. {value}_k`` in event order.
 
-    Occurrences are numbered per key alone. Only k rows per key leave each task.
-    ``overflow`` "error" fails when a key has more than k rows.
+    Occurrences are numbered per key alone. Without ``k`` the largest group gives
+    it, by one count (at least 1). With ``k`` a key with more rows is an error;
+    only ``overflow="drop"`` asks for the first k alone, and then only k rows per
+    key leave each task. ``occurrences_long`` has no width at all.
     """
     key = as_list(key)
     if overflow not in ("drop", "error"):
         raise ValueError("overflow must be 'drop' or 'error'")
+    if k is None:
+        k = max(1, most_per_key(df, key))
     n = F.col("__n")
     take = k + 1 if overflow == "error" else k
     numbered = first_rows(df, key, order_by, take, "__n")
@@ -80,6 +115,17 @@ def pivot_occurrence(
     )
 
 
+def occurrences_long(
+    df: DataFrame, key, values: Sequence[str], order_by, lhs: Sequence[str] = (), name: str = "occurrence"
+) -> DataFrame:
+    """The long form of ``pivot_occurrence``: one row per event with its number.
+
+    For keys with very many rows: no width, and no key is gathered in one cell.
+    """
+    numbered = event_sequence(df, key, order_by, name)
+    return numbered.select(*as_list(key), *lhs, name, *values)
+
+
 def unpivot(
     df: DataFrame,
     ids,

@@ -24,15 +24,14 @@ def radiation(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFram
     return stacked(mine, attribute_fallback(rows, mine, index, KEY, unknown))
 
 
-def radiation_wide(rows: DataFrame, k: int = 9) -> DataFrame:
+def radiation_wide(rows: DataFrame) -> DataFrame:
     wide = pivot_occurrence(
         rows,
         KEY,
         ["AgeAtRadiationStart", "RadDose", "AgeAtRadiationStop"],
-        k,
+        None,
         [SOURCE, ROW],
         lhs=["RadiationTherapyInd", "ever_first_rad_age"],
-        overflow="error",
     ).withColumnsRenamed(
         {"RadiationTherapyInd": "radiation_ever", "AgeAtRadiationStart_1": "age_at_first_radiation"}
     )
@@ -57,10 +56,10 @@ def surgery(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame:
     return stacked(mine, attribute_fallback(rows, mine, index, KEY))
 
 
-def surgery_wide(rows: DataFrame, k: int = 9) -> DataFrame:
+def surgery_wide(rows: DataFrame) -> DataFrame:
     age = "AgeAtSurgeryBiopsy"
     wide = pivot_occurrence(
-        rows, KEY, [age], k, [SOURCE, ROW], lhs=["SiteTherapeutic", "ever_first_surgery_age"], overflow="error"
+        rows, KEY, [age], None, [SOURCE, ROW], lhs=["SiteTherapeutic", "ever_first_surgery_age"]
     ).withColumnsRenamed({"SiteTherapeutic": "surgery_ever", f"{age}_1": "age_at_first_surgery"})
     return wide.withColumns(
         {

@@ -97,16 +97,15 @@ def regimens_long(drugs: DataFrame, cohort: DataFrame) -> DataFrame:
     )
 
 
-def regimens_wide(long: DataFrame, k: int = 20) -> DataFrame:
+def regimens_wide(long: DataFrame) -> DataFrame:
     """One row per patient with ``AgeAtMedStart_n``, ``regimen_n``, ``AgeAtMedStop_n``."""
     wide = pivot_occurrence(
         long.withColumnRenamed("regimen_drugs", "regimen"),
         KEY,
         [START, "regimen", STOP],
-        k,
+        None,
         [START, "regimen_line", "regimen"],
         lhs=["MedicationInd", "ever_first_med_age", *EXPOSURES],
-        overflow="error",
     )
     return wide.withColumnRenamed("MedicationInd", "drugs_ever").withColumns(
         {
@@ -132,12 +131,12 @@ def drug_phases(rows: DataFrame, index_rows: DataFrame, long: DataFrame, cohort:
 
 
 def medication(
-    table: DataFrame, drugs: DataFrame, cohort: DataFrame, index: DataFrame, k: int = 20
+    table: DataFrame, drugs: DataFrame, cohort: DataFrame, index: DataFrame
 ) -> Medication:
     rows = drug_rows(table, cohort, drugs)
     lines = index_therapy(rows, index)
     long = regimens_long(lines, cohort)
-    return Medication(rows, lines, long, regimens_wide(long, k), drug_phases(rows, lines, long, cohort))
+    return Medication(rows, lines, long, regimens_wide(long), drug_phases(rows, lines, long, cohort))
 
 
 def non_chemotherapy(rows: DataFrame) -> DataFrame:

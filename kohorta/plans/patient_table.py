@@ -26,23 +26,22 @@ class PatientTables:
 
 def build_patient_tables(
     tables: Mapping[str, DataFrame],
-    marker_names: Sequence[str],
-    abnormality_names: Sequence[str],
-    drugs: int = 20,
-    radiations: int = 9,
-    surgeries: int = 9,
+    marker_names: Sequence[str] | None = None,
+    abnormality_names: Sequence[str] | None = None,
 ) -> PatientTables:
     """All blocks and their merge.
 
     ``tables`` holds cohort, sample_linkage, patient, history, diagnosis, vital,
     outcome, metastasis, medication, drug_class, radiation, surgery, exam,
-    marker, marker_flow, family, imaging, labs and cytogenetics. The lists and
-    counts fix the columns of the wide table.
+    marker, marker_flow, family, imaging, labs and cytogenetics. Columns of the
+    wide table come from the data: as many per patient as the patient with most
+    events has, one per marker and abnormality. A given list of names must hold
+    all that occur.
     """
     cohort = durable(p.cohort(tables["cohort"], tables["sample_linkage"]))
     # Nine blocks read the index diagnosis: written once, it also cuts their lineage.
     index = durable(dx.index_diagnosis(tables["diagnosis"], cohort))
-    drugs_ = medication(tables["medication"], tables["drug_class"], cohort, index, drugs)
+    drugs_ = medication(tables["medication"], tables["drug_class"], cohort, index)
     rad = durable(lt.radiation(tables["radiation"], cohort, index))
     surg = durable(lt.surgery(tables["surgery"], cohort, index))
     markers = durable(p.markers_long(tables["marker"], tables["marker_flow"], cohort))
@@ -58,8 +57,8 @@ def build_patient_tables(
             p.cytogenetics(tables["cytogenetics"], abnormality_names),
             p.exam(tables["exam"], cohort, index),
             drugs_.wide,
-            lt.radiation_wide(rad, radiations),
-            lt.surgery_wide(surg, surgeries),
+            lt.radiation_wide(rad),
+            lt.surgery_wide(surg),
             dx.outcomes(tables["outcome"], cohort, index),
             dx.metastasis(tables["metastasis"], cohort, index),
             p.last_date(tables["imaging"], tables["labs"]),

@@ -63,8 +63,8 @@ def sequencing_ages(sequencing: DataFrame) -> DataFrame:
     )
 
 
-def cytogenetics(table: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One column per listed abnormality with its indicator, positive results only."""
+def cytogenetics(table: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """One column per abnormality with its indicator, positive results only."""
     positive = table.filter(F.col("CytogenAbnormResult") == "Positive")
     unique = positive.select(KEY, "CytogenAbnormName", "CytogenAbnormInd").distinct()
     return pivot_named(unique, KEY, "CytogenAbnormName", "CytogenAbnormInd", names)
@@ -159,8 +159,16 @@ def markers_long(
     )
 
 
-def markers_wide(long: DataFrame, names: Sequence[str]) -> DataFrame:
-    values = {v: F.min(v) for v in rest(long, KEY, "TumorMarkerInd", "marker_test")}
+def markers_wide(long: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """One row per patient with unit and result of each marker.
+
+    Where a marker has several rows, one of them gives all its cells: those with
+    a result first, then the smallest result and unit.
+    """
+    cells = rest(long, KEY, "TumorMarkerInd", "marker_test")
+    order = ["marker_result", "marker_unit"]
+    row = F.min(F.struct(*[t for c in order for t in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]))
+    values = {c: row.getField(c) for c in cells}
     return pivot_named(long, [KEY, "TumorMarkerInd"], "marker_test", values, names)
 
 
