@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+TABLE = "table-"
 # A group may hold at most this many rows in one task; larger groups are sliced.
 ROWS_PER_TASK = "spark.kohorta.rowsPerTask"
 ROWS_PER_TASK_DEFAULT = 5_000_000
@@ -58,17 +61,37 @@ def fits_one_task(df: DataFrame) -> bool:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors see: the one named in ``spark.checkpoint.dir``.
 
-    Only where none is set (local tests) a scratch folder is used.
+    Only a local master may go without; it gets a scratch folder that goes with
+    the process.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="kohorta-checkpoint-"))
+        if named is None:
+            master = context.master
+            if not (master == "local" or master.startswith("local[")):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="kohorta-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
         current = context.getCheckpointDir()
     return current
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes the tables that ``durable`` has written for this application.
+
+    For the end of a run: results that were not written elsewhere go with them.
+    """
+    folder = shared_folder(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        if status.getPath().getName().startswith(TABLE):
+            files.delete(status.getPath(), True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
@@ -76,7 +99,7 @@ def durable(df: DataFrame) -> DataFrame:
     survive lost executors without computing ``df`` again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{TABLE}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from kohorta.session import durable
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -19,14 +20,36 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {n: read_table(spark, folder, n) for n in names}
 
 
+# Stands for a cell with nothing in it while a file is read; no text equals it.
+NOTHING = "\u0000"
+# Quotes are doubled inside quotes, cells may hold line breaks, nothing between
+# two commas is a missing value and "" an empty text (RFC 4180).
+CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str, drop: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    drop: Sequence[str] = (),
+    missing: str = NOTHING,
 ) -> DataFrame:
     """CSV with a header line and a stated schema; ``drop`` names index columns.
 
-    Sheets (such as the drug dimension) are read from their CSV export.
+    Sheets (such as the drug dimension) are read from their CSV export. A cell
+    that does not fit its type is an error. A cell with nothing in it is missing;
+    ``missing`` may name a text (such as NA) that is missing too. A file with line breaks in cells is read by one task, so large tables
+    are best kept in many files, as ``write_csv`` leaves them.
     """
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False).drop(*drop)
+    options = CSV | {"nullValue": missing, "mode": "FAILFAST", "multiLine": True, "emptyValue": "", "enforceSchema": False}
+    return spark.read.schema(schema).options(**options).csv(path).drop(*drop)
 
 
 def dated(base: str, day: dt.date | None = None) -> str:
@@ -35,7 +58,7 @@ def dated(base: str, day: dt.date | None = None) -> str:
 
 def write_csv(df: DataFrame, base: str, day: dt.date | None = None) -> str:
     path = f"{dated(base, day)}.csv"
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").options(**CSV, emptyValue='""').csv(path)
     return path
 
 
@@ -46,13 +69,24 @@ def write_parquet(df: DataFrame, base: str, day: dt.date | None = None) -> str:
 
 
 def write_all(df: DataFrame, targets: Sequence[tuple[str, str]], day: dt.date | None = None) -> list[str]:
-    """Write one result to several ``(format, base)`` targets, computing it once."""
+    """Write one result to several ``(format, base)`` targets, computing it once.
+
+    The first Parquet target, or else a table in the shared folder, is written
+    first; the others are copied from it, so all hold the same rows even where
+    computing them again would give others.
+    """
     writers = {"csv": write_csv, "parquet": write_parquet}
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return [writers[kind](df, base, day) for kind, base in targets]
-    finally:
-        df.unpersist()
+    first = next((t for t in targets if t[0] == "parquet"), None)
+    paths = {}
+    if first is None:
+        source = durable(df)
+    else:
+        paths[first] = write_parquet(df, first[1], day)
+        source = df.sparkSession.read.schema(df.schema).parquet(paths[first])
+    for target in targets:
+        if target not in paths:
+            paths[target] = writers[target[0]](source, target[1], day)
+    return [paths[t] for t in targets]
 
 
 def add_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
