@@ -259,9 +259,9 @@ def survival_endpoints(spark, d):
     "summary_categorical",
     """WITH l AS (SELECT 'cat' AS variable, cat AS level FROM ev UNION ALL SELECT 'event_type', event_type FROM ev),
             b AS (SELECT variable, count(level) AS n_known, count(*) - count(level) AS n_missing FROM l GROUP BY 1)
-       SELECT 'Overall' AS stratum, l.variable, l.level, count(*) AS n, round(count(*) * 100.0 / any_value(n_known), 6) AS percent,
+       SELECT TRUE AS is_total, 'Overall' AS stratum, l.variable, l.level, count(*) AS n, round(count(*) * 100.0 / any_value(n_known), 6) AS percent,
               any_value(n_known) AS n_known, any_value(n_missing) AS n_missing
-       FROM l JOIN b ON l.variable = b.variable WHERE level IS NOT NULL GROUP BY 2, 3""",
+       FROM l JOIN b ON l.variable = b.variable WHERE level IS NOT NULL GROUP BY 3, 4""",
 )
 def summary_categorical(spark, d):
     out = s.summary_categorical(v.ev(spark, d), ["cat", "event_type"])
@@ -270,7 +270,7 @@ def summary_categorical(spark, d):
 
 @query(
     "summary_continuous",
-    """SELECT 'Overall' AS stratum, variable, count(x) AS n_known, count(*) - count(x) AS n_missing,
+    """SELECT TRUE AS is_total, 'Overall' AS stratum, variable, count(x) AS n_known, count(*) - count(x) AS n_missing,
               round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.75), 6) AS q3
        FROM (SELECT 'nval' AS variable, nval AS x FROM ev UNION ALL SELECT 'value', value FROM ev) GROUP BY variable""",
 )
@@ -279,28 +279,52 @@ def summary_continuous(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("median", "q1", "q3")})
 
 
+# Segments with one that is missing and one that has the name of the total.
+_STRATA = "CASE c_mktsegment WHEN 'MACHINERY' THEN NULL WHEN 'BUILDING' THEN 'Overall' ELSE c_mktsegment END"
+
+
 @query(
     "summary_by_stratum",
-    """WITH x AS (SELECT c_mktsegment AS stratum, event, c_acctbal, time FROM surv
-                  UNION ALL SELECT 'Overall', event, c_acctbal, time FROM surv)
-       SELECT stratum, variable, level, count(*) AS n, round(count(*) * 100.0 / any_value(total), 6) AS percent,
-              NULL::DOUBLE AS median, NULL::DOUBLE AS q1, NULL::DOUBLE AS q3
-       FROM (SELECT stratum, 'event' AS variable, CAST(event AS VARCHAR) AS level, count(*) OVER (PARTITION BY stratum) AS total FROM x)
-       GROUP BY stratum, variable, level
+    f"""WITH k AS (SELECT {_STRATA} AS stratum, event, CASE WHEN time > 400 THEN NULL ELSE time END AS time, c_acctbal FROM surv),
+            x AS (SELECT FALSE AS is_total, * FROM k WHERE stratum IS NOT NULL
+                  UNION ALL SELECT TRUE, 'Overall', event, time, c_acctbal FROM k WHERE stratum IS NOT NULL)
+       SELECT is_total, stratum, variable, level, count(*) AS n, round(count(*) * 100.0 / any_value(total), 6) AS percent,
+              any_value(total) AS n_known, 0 AS n_missing, NULL::DOUBLE AS median, NULL::DOUBLE AS q1, NULL::DOUBLE AS q3
+       FROM (SELECT is_total, stratum, 'event' AS variable, CAST(event AS VARCHAR) AS level,
+                    count(*) OVER (PARTITION BY is_total, stratum) AS total FROM x)
+       GROUP BY is_total, stratum, variable, level
        UNION ALL
-       SELECT stratum, 'c_acctbal', NULL, count(*), NULL, round(quantile_cont(c_acctbal, 0.5), 6),
-              round(quantile_cont(c_acctbal, 0.25), 6), round(quantile_cont(c_acctbal, 0.75), 6) FROM x GROUP BY stratum
+       SELECT is_total, stratum, 'c_acctbal', NULL, NULL, NULL, count(*), 0, round(quantile_cont(c_acctbal, 0.5), 6),
+              round(quantile_cont(c_acctbal, 0.25), 6), round(quantile_cont(c_acctbal, 0.75), 6) FROM x GROUP BY is_total, stratum
        UNION ALL
-       SELECT stratum, 'time', NULL, count(*), NULL, round(quantile_cont(time, 0.5), 6),
-              round(quantile_cont(time, 0.25), 6), round(quantile_cont(time, 0.75), 6) FROM x GROUP BY stratum""",
+       SELECT is_total, stratum, 'time', NULL, NULL, NULL, count(time), count(*) - count(time), round(quantile_cont(time, 0.5), 6),
+              round(quantile_cont(time, 0.25), 6), round(quantile_cont(time, 0.75), 6) FROM x GROUP BY is_total, stratum""",
 )
 def summary_by_stratum(spark, d):
-    rows = v.surv(spark, d)
-    labels = s.summary_categorical(rows, ["event"], "c_mktsegment", overall=True)
-    numbers = s.summary_continuous(rows, ["c_acctbal", "time"], "c_mktsegment", overall=True)
-    columns = ["stratum", "variable", "level", "n", "percent", "median", "q1", "q3"]
-    both = labels.unionByName(numbers.withColumn("n", F.col("n_known")), allowMissingColumns=True)
-    return both.select(*columns).withColumns({c: F.round(c, 6) for c in ("percent", "median", "q1", "q3")})
+    rows = v.surv(spark, d).withColumn("stratum", F.expr(_STRATA))
+    rows = rows.withColumn("time", F.when(F.col("time") <= 400, F.col("time")))
+    labels = s.summary_categorical(rows, ["event"], "stratum", overall=True)
+    numbers = s.summary_continuous(rows, ["c_acctbal", "time"], "stratum", overall=True)
+    both = labels.unionByName(numbers, allowMissingColumns=True)
+    return both.withColumns({c: F.round(c, 6) for c in ("percent", "median", "q1", "q3")})
+
+
+@query(
+    "summary_frequency_order",
+    """WITH k AS (SELECT c_mktsegment AS stratum, event FROM surv),
+            x AS (SELECT FALSE AS is_total, * FROM k UNION ALL SELECT TRUE, 'Overall', event FROM k),
+            c AS (SELECT is_total, stratum, CAST(event AS VARCHAR) AS level, count(*) AS n FROM x GROUP BY ALL),
+            z AS (SELECT *, sum(n) OVER (PARTITION BY is_total, stratum) AS rows FROM c)
+       SELECT CAST(row_number() OVER (ORDER BY is_total DESC, rows DESC, stratum, n DESC, level) AS INT) AS place,
+              is_total, stratum, level, n FROM z""",
+)
+def summary_frequency_order(spark, d):
+    table = s.by_frequency(s.summary_categorical(v.surv(spark, d), ["event"], "c_mktsegment", overall=True))
+    # Few rows: the order of the table is made visible as a column.
+    listed = table.select("is_total", "stratum", "level", "n").groupBy().agg(
+        F.collect_list(F.struct("is_total", "stratum", "level", "n")).alias("rows")
+    )
+    return listed.select(F.posexplode("rows").alias("at", "row")).select((F.col("at") + 1).alias("place"), "row.*")
 
 
 @query(
@@ -426,7 +450,20 @@ def _cox_sql(x: str, select: str, steps: int = 7) -> str:
     return f"WITH {', '.join(parts)} " + select.format(last=f"b{steps}")
 
 
-_COX = ("coef", "hazard_ratio", "std_err")
+_COX = ("coef", "hazard_ratio", "std_err", "conf_low", "conf_high", "p_value")
+
+
+def _two_sided(z: str) -> str:
+    """SQL of the two-sided normal tail: one less the series of the middle part."""
+    return (
+        f"(1 - 2 * exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * list_sum(["
+        f"exp((2 * k + 1) * ln({z}) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi())) FOR k IN range(0, 200)]))"
+    )
+
+
+_LOW = "round(exp(b - 1.959963984540054 * sqrt(v)), 6)"
+_HIGH = "round(exp(b + 1.959963984540054 * sqrt(v)), 6)"
+_P = f"round({_two_sided('abs(b) / sqrt(v)')}, 6)"
 
 
 @query(
@@ -434,13 +471,14 @@ _COX = ("coef", "hazard_ratio", "std_err")
     _cox_sql(
         "(c_acctbal - (SELECT avg(c_acctbal) FROM surv)) / 1000",
         """SELECT 'balance' AS covariate, (SELECT count(*) FROM z) AS n, (SELECT CAST(sum(event) AS BIGINT) FROM z) AS n_event,
-                  round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(sqrt(v), 6) AS std_err FROM {last}""",
+                  round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(sqrt(v), 6) AS std_err,
+                  """ + f"{_LOW} AS conf_low, {_HIGH} AS conf_high, {_P} AS p_value, TRUE AS converged FROM " + "{last}",
     ),
 )
 def cox_univariable(spark, d):
     rows = v.surv(spark, d).withColumn("balance", F.col("c_acctbal") / 1000)
     fit = sv.cox_univariable(rows, "time", "event", "balance")
-    return fit.select("covariate", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX])
+    return fit.select("covariate", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX], "converged")
 
 
 @query(
@@ -450,16 +488,62 @@ def cox_univariable(spark, d):
         """SELECT CASE x WHEN 1 THEN 'over' ELSE 'low' END AS level, count(*) AS n, CAST(sum(event) AS BIGINT) AS n_event,
                   CASE x WHEN 1 THEN any_value(round(b, 6)) ELSE 0 END AS coef,
                   CASE x WHEN 1 THEN any_value(round(exp(b), 6)) ELSE 1 END AS hazard_ratio,
-                  CASE x WHEN 1 THEN any_value(round(sqrt(v), 6)) END AS std_err FROM z, {last} GROUP BY x""",
+                  CASE x WHEN 1 THEN any_value(round(sqrt(v), 6)) END AS std_err,
+                  """ + ", ".join(f"CASE x WHEN 1 THEN any_value({t}) END AS {n}" for t, n in ((_LOW, "conf_low"), (_HIGH, "conf_high"), (_P, "p_value")))
+        + ", TRUE AS converged FROM z, {last} GROUP BY x",
     ),
 )
 def cox_two_levels(spark, d):
     rows = v.surv(spark, d).withColumn("balance", F.when(F.col("c_acctbal") > 3000, "over").otherwise("low"))
     fit = sv.cox_univariable(rows, "time", "event", "balance")
-    return fit.select("level", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX])
+    return fit.select("level", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX], "converged")
 
 
 @query("cox_univariable_levels")
 def cox_univariable_levels(spark, d):
     fit = sv.cox_univariable(v.surv(spark, d), "time", "event", "c_mktsegment")
     return fit.withColumns({c: F.round(c, 6) for c, t in fit.dtypes if t == "double"})
+
+
+@query(
+    "log_rank_test",
+    f"""WITH z AS (SELECT time, event, CASE WHEN c_acctbal > 3000 THEN 'over' ELSE 'low' END AS s FROM surv),
+             c AS (SELECT time, sum(event)::DOUBLE AS d, count(*) AS n, count(*) FILTER (s = 'low') AS n1, sum(event) FILTER (s = 'low') AS d1 FROM z GROUP BY time),
+             r AS (SELECT *, sum(n) OVER w AS r, sum(n1) OVER w AS r1 FROM c WINDOW w AS (ORDER BY time DESC)),
+             t AS (SELECT sum(coalesce(d1, 0) - d * r1 / r) AS diff,
+                          sum(CASE WHEN r > 1 THEN d * (r - d) / (r - 1) * (r1 / r) * (1 - r1 / r) ELSE 0 END) AS v FROM r WHERE d > 0)
+        SELECT round(diff * diff / v, 6) AS statistic, 1 AS df, round({_two_sided('abs(diff) / sqrt(v)')}, 6) AS p_value FROM t""",
+)
+def log_rank_test(spark, d):
+    rows = v.surv(spark, d).withColumn("balance", F.when(F.col("c_acctbal") > 3000, "over").otherwise("low"))
+    out = sv.log_rank_test(rows, "time", "event", "balance")
+    line = (round(out["statistic"], 6), out["df"], round(out["p_value"], 6))
+    return spark.createDataFrame([line], "statistic double, df int, p_value double")
+
+
+# Tail of chi-square with four degrees of freedom.
+_CHI4 = "exp(-({x}) / 2) * (1 + ({x}) / 2)"
+
+
+@query(
+    "association_tests",
+    f"""{_RANKS},
+        g AS (SELECT c_mktsegment, count(*)::DOUBLE AS n, sum(mid) AS r FROM k GROUP BY 1),
+        ties AS (SELECT sum(t::DOUBLE * t - 1) AS ties FROM k),
+        q AS (SELECT sum(n) AS n, sum(r * r / n) AS s FROM g),
+        h AS (SELECT (12.0 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h FROM q, ties),
+        e AS (SELECT count(*) FILTER (event = 0)::DOUBLE AS a, count(*) FILTER (event = 1)::DOUBLE AS b, sum(mid) FILTER (event = 0) AS ra FROM k),
+        u AS (SELECT a, b, ra - a * (a + 1) / 2 AS w, sqrt(a * b / 12 * ((a + b + 1) - ties / ((a + b) * (a + b - 1)))) AS sd FROM e, ties),
+        z AS (SELECT w, abs(w - a * b / 2) - 0.5 AS shift, sd FROM u),
+        c AS (SELECT c_mktsegment AS x, event AS y, count(*)::DOUBLE AS o FROM surv GROUP BY 1, 2),
+        m AS (SELECT sum(o * o / (rx * ry)) * any_value(n) - any_value(n) AS chi FROM (
+                SELECT o, sum(o) OVER (PARTITION BY x) AS rx, sum(o) OVER (PARTITION BY y) AS ry, sum(o) OVER () AS n FROM c))
+        SELECT 'kruskal-wallis' AS test, round(h, 6) AS statistic, round({_CHI4.format(x='h')}, 6) AS p_value FROM h
+        UNION ALL SELECT 'rank-sum', round(w, 6), round({_two_sided('shift / sd')}, 6) FROM z
+        UNION ALL SELECT 'chi-square', round(chi, 6), round({_CHI4.format(x='chi')}, 6) FROM m""",
+)
+def association_tests(spark, d):
+    rows = v.surv(spark, d).withColumn("x", F.floor(F.col("c_acctbal") / 100)).withColumn("label", F.col("event").cast("string"))
+    found = [a.compare(rows, "x", "c_mktsegment"), a.compare(rows, "x", "event"), a.chi_square_test(rows, "label", "c_mktsegment")]
+    lines = [(r["test"], round(r["statistic"], 6), round(r["p_value"], 6)) for r in found]
+    return spark.createDataFrame(lines, "test string, statistic double, p_value double")

@@ -64,3 +64,52 @@ def fisher_2x2(a: int, b: int, c: int, d: int) -> float:
 
     seen = log_p(a)
     return min(1.0, math.fsum(math.exp(p) for p in map(log_p, range(low, high + 1)) if p <= seen + 1e-7))
+
+
+def fisher_exact(table: list[list[int]]) -> float:
+    """Two-sided exact test of an r x c table.
+
+    Columns are filled one by one. What is kept is the row totals still open
+    and, for each value of the probability so far, the sum over the tables that
+    lead there; tables no likelier than the observed one are added up.
+    """
+    table = sorted((r for r in table if sum(r)), key=sum)
+    columns = [c for c in zip(*table) if sum(c)]
+    if len(table) < 2 or len(columns) < 2:
+        return 1.0
+    logs = [0.0]
+    for i in range(1, sum(map(sum, table)) + 1):
+        logs.append(logs[-1] + math.log(i))
+    # P = prod(row!) prod(column!) / (n! prod(cell!)); only the cells differ.
+    fixed = sum(logs[sum(r)] for r in table) + sum(logs[sum(c)] for c in columns) - logs[sum(map(sum, table))]
+    observed = fixed - sum(logs[v] for r in table for v in r)
+    states: dict[tuple[int, ...], dict[float, float]] = {tuple(map(sum, table)): {0.0: 1.0}}
+    for column in columns[:-1]:
+        following: dict[tuple[int, ...], dict[float, float]] = {}
+        for left, weights in states.items():
+            for cells in _fillings(sum(column), left):
+                cost = sum(logs[v] for v in cells)
+                target = following.setdefault(tuple(a - b for a, b in zip(left, cells)), {})
+                for w, times in weights.items():
+                    key = round(w + cost, 9)
+                    target[key] = target.get(key, 0.0) + times
+        states = following
+    total = 0.0
+    for left, weights in states.items():
+        cost = sum(logs[v] for v in left)
+        for w, times in weights.items():
+            if fixed - w - cost <= observed + 1e-7:
+                total += times * math.exp(fixed - w - cost)
+    return min(1.0, total)
+
+
+def _fillings(n: int, most: tuple[int, ...]):
+    """All ways to deal n to places that hold at most ``most``."""
+    if len(most) == 1:
+        if n <= most[0]:
+            yield (n,)
+        return
+    rest = sum(most[1:])
+    for v in range(max(0, n - rest), min(n, most[0]) + 1):
+        for tail in _fillings(n - v, most[1:]):
+            yield (v, *tail)

@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from kohorta.functions import tails
 from kohorta.operators.ordered import running_totals
+from kohorta.operators.selectors import is_number
 from kohorta.session import durable
 
 
+# Exact tests are for small tables; larger ones get chi-square, named as such.
+FISHER_ROWS, FISHER_DF = 2_000, 12
+
+
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
     """(row, col, n) of the rows where both are known."""
     both = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
@@ -54,26 +59,21 @@ def rank_sums(df: DataFrame, value: str, by: str) -> DataFrame:
     """Per stratum: rows and sum of mid-ranks; plus the tie term of all rows."""
     known = df.filter(F.col(value).isNotNull() & F.col(by).isNotNull())
     cells = known.groupBy(value, by).agg(F.count(F.lit(1)).alias("n"))
-    # Strata are few: per value one short list, so ranks need one pass and no join back.
-    values = cells.groupBy(value).agg(
-        F.sum("n").alias("__ties"), F.collect_list(F.struct(by, "n")).alias("__cells")
-    )
+    values = cells.groupBy(value).agg(F.sum("n").alias("__ties"))
     ranked = running_totals(values, [], [value], {"__upto": "__ties"})
     midrank = F.col("__upto") - (F.col("__ties") - 1) / F.lit(2.0)
     t = F.col("__ties").cast("double")
-    flat = ranked.select(
-        midrank.alias("__rank"),
-        (t * t * t - t).alias("__tie"),
-        F.col("__ties").alias("__t"),
-        F.explode("__cells").alias("c"),
-    )
-    per_stratum = flat.groupBy(F.col(f"c.{by}").alias("stratum")).agg(
-        F.sum("c.n").alias("n"),
-        F.sum(F.col("c.n") * F.col("__rank")).alias("rank_sum"),
-        # A tie block is spread over its strata in proportion to their rows.
-        F.sum(F.col("__tie") * F.col("c.n") / F.col("__t")).alias("tie_part"),
+    ranks = ranked.select(value, midrank.alias("__rank"), (t * t * t - t).alias("__tie"), t.alias("__t"))
+    return (
+        cells.join(ranks, value)
+        .groupBy(F.col(by).alias("stratum"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.col("n") * F.col("__rank")).alias("rank_sum"),
+            # A tie block is spread over its strata in proportion to their rows.
+            F.sum(F.col("__tie") * F.col("n") / F.col("__t")).alias("tie_part"),
+        )
     )
-    return per_stratum
 
 
 def kruskal_statistic(df: DataFrame, value: str, by: str) -> DataFrame:
@@ -95,10 +95,9 @@ def compare(df: DataFrame, column: str, by: str) -> dict[str, object]:
 
     Numbers: rank-sum for two strata (normal approximation with continuity
     correction), Kruskal-Wallis for more. Labels: chi-square when every expected
-    count is at least 5, else Fisher's exact test for 2 x 2 tables.
+    count is at least 5, else Fisher's exact test, whose table is small then.
     """
-    kind = dict(df.dtypes)[column]
-    if kind in ("double", "float", "int", "bigint", "smallint", "tinyint") or kind.startswith("decimal"):
+    if is_number(df, column):
         return _compare_numbers(df, column, by)
     return _compare_labels(df, column, by)
 
@@ -132,13 +131,23 @@ def _compare_labels(df: DataFrame, column: str, by: str) -> dict[str, object]:
     s = chi_square_statistic(df, column, by).first()
     if not s["df"]:
         return {"test": "none", "statistic": None, "df": None, "p_value": None}
-    if s["least_expected"] < 5 and s["df"] == 1:
+    if s["least_expected"] < 5 and s["n"] <= FISHER_ROWS and s["df"] <= FISHER_DF:
         cells = contingency(df, column, by).collect()
         rows = sorted({r[column] for r in cells})
         cols = sorted({r[by] for r in cells})
         n = {(r[column], r[by]): r["n"] for r in cells}
-        table = [n.get((r, c), 0) for r in rows for c in cols]
-        return {"test": "fisher", "statistic": None, "df": None, "p_value": tails.fisher_2x2(*table)}
+        table = [[n.get((r, c), 0) for c in cols] for r in rows]
+        return {"test": "fisher", "statistic": None, "df": None, "p_value": tails.fisher_exact(table)}
+    return _chi_square(s)
+
+
+def chi_square_test(df: DataFrame, column: str, by: str) -> dict[str, object]:
+    """Chi-square test whatever the expected counts are."""
+    s = chi_square_statistic(df, column, by).first()
+    return _chi_square(s) if s["df"] else {"test": "none", "statistic": None, "df": None, "p_value": None}
+
+
+def _chi_square(s) -> dict[str, object]:
     return {
         "test": "chi-square",
         "statistic": s["statistic"],

@@ -27,6 +27,15 @@ def of_type(df: DataFrame, kind: str) -> list[str]:
     return [c for c, t in df.dtypes if t == kind]
 
 
+NUMBERS = ("double", "float", "int", "bigint", "smallint", "tinyint")
+
+
+def is_number(df: DataFrame, column: str) -> bool:
+    """Whether reports and tests treat a column as a number rather than as labels."""
+    kind = dict(df.dtypes)[column]
+    return kind in NUMBERS or kind.startswith("decimal")
+
+
 def rest(df: DataFrame, *taken: str) -> list[str]:
     """The columns not named yet."""
     return [c for c in df.columns if c not in taken]

@@ -14,6 +14,7 @@ from kohorta.operators.ordered import running_totals
 from kohorta.session import durable
 
 OVERALL = "Overall"
+KEYS = ["is_total", "stratum", "variable"]
 
 
 def frequency(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -28,6 +29,11 @@ def frequency_ordered(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     )
 
 
+def with_stratum(df: DataFrame, by: str | None) -> DataFrame:
+    """Rows without a stratum are left out of a table by stratum, and of its total."""
+    return df if by is None else df.filter(F.col(by).isNotNull())
+
+
 def _long(df: DataFrame, columns: Sequence[str], by: str | None, kind: str) -> DataFrame:
     # Fixed-length list instead of a join: one pass, the stratum on every row.
     stratum = F.col(by).cast("string") if by else F.lit(OVERALL)
@@ -37,8 +43,12 @@ def _long(df: DataFrame, columns: Sequence[str], by: str | None, kind: str) -> D
             for c in columns
         ]
     )
-    return df.select(stratum.alias("stratum"), F.explode(cells).alias("cell")).select(
-        "stratum", "cell.variable", "cell.value"
+    return (
+        with_stratum(df, by)
+        .select(
+            F.lit(by is None).alias("is_total"), stratum.alias("stratum"), F.explode(cells).alias("cell")
+        )
+        .select("is_total", "stratum", "cell.variable", "cell.value")
     )
 
 
@@ -49,18 +59,26 @@ def value_counts(
     overall: bool = False,
     kind: str = "string",
 ) -> DataFrame:
-    """(stratum, variable, value, n), the overall counts summed from the strata."""
+    """(is_total, stratum, variable, value, n), totals summed from the strata.
+
+    ``is_total`` tells the total from a stratum that has its name.
+    """
     counts = (
         _long(df, columns, by, kind)
-        .groupBy("stratum", "variable", "value")
+        .groupBy(*KEYS, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     if by and overall:
         # Every count also adds to the overall table; one more small shuffle.
-        both = F.explode(F.array(F.col("stratum"), F.lit(OVERALL)))
+        both = F.explode(
+            F.array(
+                F.struct("is_total", "stratum"),
+                F.struct(F.lit(True).alias("is_total"), F.lit(OVERALL).alias("stratum")),
+            )
+        )
         counts = (
-            counts.withColumn("stratum", both)
-            .groupBy("stratum", "variable", "value")
+            counts.withColumn("both", both)
+            .groupBy("both.is_total", "both.stratum", "variable", "value")
             .agg(F.sum("n").alias("n"))
         )
     return counts
@@ -69,17 +87,19 @@ def value_counts(
 def summary_categorical(
     df: DataFrame, columns: Sequence[str], by: str | None = None, overall: bool = False
 ) -> DataFrame:
-    """n and percent of the known values per level, plus the number missing."""
+    """n and percent of the known values per level, plus the number missing.
+
+    Rows without a stratum are left out. The total has ``is_total``.
+    """
     counts = durable(value_counts(df, columns, by, overall))
     known = F.col("value").isNotNull()
-    base = counts.groupBy("stratum", "variable").agg(
+    base = counts.groupBy(*KEYS).agg(
         F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_known"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_missing"),
     )
     levels = counts.filter(known).withColumnRenamed("value", "level")
-    return base.join(levels, ["stratum", "variable"], "left").select(
-        "stratum",
-        "variable",
+    return base.join(levels, KEYS, "left").select(
+        *KEYS,
         "level",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
         (F.col("n") * 100.0 / F.col("n_known")).alias("percent"),
@@ -89,10 +109,20 @@ def summary_categorical(
 
 
 def by_frequency(table: DataFrame) -> DataFrame:
-    """Summary rows with the most frequent level of each variable first."""
-    return table.orderBy(
-        "stratum", "variable", F.col("n").desc_nulls_last(), F.col("level").asc_nulls_last()
-    )
+    """Summary rows, the total first, then the strata and levels by frequency.
+
+    The rank of a stratum is the most rows it has of any variable.
+    """
+    rows = F.max(F.col("n_known") + F.col("n_missing"))
+    sizes = table.groupBy("is_total", "stratum").agg(rows.alias("__rows"))
+    return (
+        table.join(sizes, ["is_total", "stratum"])
+        .orderBy(
+            F.col("is_total").desc(), F.col("__rows").desc(), "stratum", "variable",
+            F.col("n").desc_nulls_last(), F.col("level").asc_nulls_last(),
+        )
+        .drop("__rows")
+    )
 
 
 def quantiles(
@@ -132,17 +162,19 @@ def quantiles(
 def summary_continuous(
     df: DataFrame, columns: Sequence[str], by: str | None = None, overall: bool = False
 ) -> DataFrame:
-    """Known and missing rows, median and quartiles per variable (and stratum)."""
+    """Known and missing rows, median and quartiles per variable (and stratum).
+
+    Rows without a stratum are left out. The total has ``is_total``.
+    """
     counts = durable(value_counts(df, columns, by, overall, "double"))
     known = F.col("value").isNotNull()
-    base = counts.groupBy("stratum", "variable").agg(
+    base = counts.groupBy(*KEYS).agg(
         F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_known"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_missing"),
     )
-    q = quantiles(counts, ["stratum", "variable"], "value", "n", [0.25, 0.5, 0.75])
-    return base.join(q, ["stratum", "variable"], "left").select(
-        "stratum",
-        "variable",
+    q = quantiles(counts, KEYS, "value", "n", [0.25, 0.5, 0.75])
+    return base.join(q, KEYS, "left").select(
+        *KEYS,
         "n_known",
         "n_missing",
         F.col("q_1").alias("median"),

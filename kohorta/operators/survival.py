@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,7 +18,6 @@ from kohorta.functions import tails
 from kohorta.operators.ordered import running_totals
 from kohorta.session import durable, settled
 
-MAX_STRATA = 100
 EFRON_STEPS = 10_000
 
 
@@ -29,12 +29,10 @@ def _complete(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _levels(df: DataFrame, by: str, levels: Sequence | None) -> list:
+    """The levels a result names one by one: those given, or all in the data, sorted."""
     if levels is not None:
         return list(levels)
-    found = [r[0] for r in df.select(by).distinct().limit(MAX_STRATA + 1).collect()]
-    if len(found) > MAX_STRATA:
-        raise ValueError(f"{by} has more than {MAX_STRATA} levels")
-    return sorted(found)
+    return sorted(r[0] for r in df.select(by).distinct().collect())
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, by: str | None = None) -> DataFrame:
@@ -90,60 +88,91 @@ def _counts_by_level(
     return risk.withColumn("d", d).filter(F.col("d") > 0)
 
 
-def log_rank_sums(
-    df: DataFrame, time: str, event: str, by: str, levels: Sequence | None = None
-) -> tuple[DataFrame, list]:
-    """One row of observed, expected and covariance sums, and the levels."""
-    rows = _complete(df, time, event, by)
-    levels = _levels(rows, by, levels)
-    k = range(len(levels))
-    at = _counts_by_level(rows, time, event, by, levels)
-    r = sum((F.col(f"r_{i}") for i in k), F.lit(0)).cast("double")
-    at = at.withColumn("r", r)
-    d, r = F.col("d"), F.col("r")
-    share = [F.col(f"r_{i}") / r for i in k]
-    spread = F.when(r > 1, d * (r - d) / (r - 1)).otherwise(F.lit(0.0))
-    aggregates = [F.sum(f"d_{i}").alias(f"o_{i}") for i in k]
-    aggregates += [F.sum(d * share[i]).alias(f"e_{i}") for i in k]
-    aggregates += [
-        F.sum(spread * share[i] * ((1.0 if i == j else 0.0) - share[j])).alias(f"v_{i}_{j}")
-        for i in k
-        for j in k
-        if j >= i
-    ]
-    return at.agg(*aggregates), levels
+def _risk_by_level(df: DataFrame, time: str, event: str, by: str, levels: Sequence) -> DataFrame:
+    """One row per event time and level: events and at-risk numbers, own and of all.
+
+    Levels are rows, so their number is not bounded by the width of a table.
+    """
+    e = F.col(event).cast("bigint")
+    cells = df.filter(F.col(by).isin(list(levels))).groupBy(time, by).agg(
+        F.sum(e).alias("d"), F.count(F.lit(1)).alias("n")
+    )
+    # A time has at most one cell per level; levels without one are filled in.
+    times = cells.groupBy(time).agg(
+        F.map_from_entries(F.collect_list(F.struct(by, F.struct("d", "n")))).alias("__cells"),
+        F.sum("d").alias("d"),
+        F.sum("n").alias("__n"),
+    )
+    times = running_totals(times, [], [f"-{time}"], {"r": "__n"})
+    each = times.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    cell = F.try_element_at("__cells", F.col("__level"))
+    each = each.select(
+        time, "d", "r", F.col("__level").alias(by),
+        F.coalesce(cell.getField("d"), F.lit(0)).alias("d_i"),
+        F.coalesce(cell.getField("n"), F.lit(0)).alias("__n_i"),
+    )
+    risk = running_totals(each, [by], [f"-{time}"], {"r_i": "__n_i"}).filter(F.col("d") > 0)
+    d, r = F.col("d"), F.col("r").cast("double")
+    return risk.select(
+        time, by, "d_i", d.alias("d"),
+        (F.col("r_i") / r).alias("share"),
+        F.when(r > 1, d * (r - d) / (r - 1)).otherwise(F.lit(0.0)).alias("spread"),
+    )
 
 
 def log_rank(
     df: DataFrame, time: str, event: str, by: str, levels: Sequence | None = None
 ) -> DataFrame:
     """Per stratum: observed and expected events and the variance of the difference."""
-    sums, levels = log_rank_sums(df, time, event, by, levels)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(v).alias(by),
-                F.col(f"o_{i}").alias("observed"),
-                F.col(f"e_{i}").alias("expected"),
-                F.col(f"v_{i}_{i}").alias("variance"),
-            )
-            for i, v in enumerate(levels)
-        ]
+    rows = _complete(df, time, event, by)
+    levels = _levels(rows, by, levels)
+    if not levels:
+        return rows.groupBy(by).agg(*[F.lit(None).cast("double").alias(c) for c in ("observed", "expected", "variance")])
+    at = _risk_by_level(rows, time, event, by, levels)
+    share = F.col("share")
+    return at.groupBy(by).agg(
+        F.sum("d_i").alias("observed"),
+        F.sum(F.col("d") * share).alias("expected"),
+        F.sum(F.col("spread") * share * (1.0 - share)).alias("variance"),
     )
-    return sums.select(F.explode(rows).alias("s")).select("s.*")
 
 
 def log_rank_test(
     df: DataFrame, time: str, event: str, by: str, levels: Sequence | None = None
 ) -> dict[str, float]:
-    """Chi-square statistic, degrees of freedom and p-value between the strata."""
-    sums, levels = log_rank_sums(df, time, event, by, levels)
-    s = sums.first()
+    """Chi-square statistic, degrees of freedom and p-value between the strata.
+
+    With fewer than two strata there is nothing to compare: statistic and p-value
+    are missing.
+    """
+    rows = _complete(df, time, event, by)
+    levels = _levels(rows, by, levels)
     k = len(levels) - 1
-    diff = np.array([float(s[f"o_{i}"]) - s[f"e_{i}"] for i in range(k)])
-    cov = np.array(
-        [[s[f"v_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], dtype=float
-    )
+    if k < 1:
+        return {"statistic": None, "df": 0, "p_value": None}
+    at = durable(_risk_by_level(rows, time, event, by, levels))
+    sums = {
+        r[by]: r
+        for r in at.groupBy(by)
+        .agg(
+            F.sum(F.col("d_i") - F.col("d") * F.col("share")).alias("diff"),
+            F.sum(F.col("spread") * F.col("share") * (1.0 - F.col("share"))).alias("v"),
+        )
+        .collect()
+    }
+    if not sums:
+        return {"statistic": None, "df": k, "p_value": None}
+    # The last stratum follows from the others.
+    used = levels[:-1]
+    place = {v: i for i, v in enumerate(used)}
+    cov = np.diag([float(sums[v]["v"]) for v in used])
+    one = at.filter(F.col(by).isin(used))
+    two = one.select(time, F.col(by).alias("__other"), F.col("share").alias("__share"))
+    both = one.join(two, time).filter(F.col(by) < F.col("__other")).groupBy(by, "__other")
+    for r in both.agg(F.sum(-F.col("spread") * F.col("share") * F.col("__share")).alias("v")).collect():
+        i, j = place[r[by]], place[r["__other"]]
+        cov[i, j] = cov[j, i] = r["v"]
+    diff = np.array([float(sums[v]["diff"]) for v in used])
     stat = float(diff @ np.linalg.pinv(cov) @ diff)
     return {"statistic": stat, "df": k, "p_value": tails.chi_square(stat, k)}
 
@@ -164,27 +193,51 @@ def _over_ties(runs: DataFrame) -> DataFrame:
     return steps.withColumn("f", F.col("j") / F.col("d"))
 
 
-def _newton(moments: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], size: int,
-            steps: int = 30, tolerance: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
-    """Maximise a concave likelihood; returns coefficients and their covariance."""
+@dataclass(frozen=True)
+class Fit:
+    """Coefficients, their covariance, and whether the steps came to rest."""
+
+    beta: np.ndarray
+    covariance: np.ndarray
+    converged: bool
+    iterations: int
+
+
+def _newton(
+    moments: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]],
+    size: int,
+    steps: int = 30,
+    tolerance: float = 1e-10,
+) -> Fit:
+    """Maximise a concave likelihood.
+
+    Converged means that likelihood and coefficients both stand still: where a
+    level has no events the likelihood flattens while the coefficient runs off.
+    A step that helps at no length is not taken.
+    """
     beta = np.zeros(size)
     value, score, info = moments(beta)
-    for _ in range(steps):
+    for step in range(1, steps + 1):
         move = np.linalg.pinv(info) @ score
+        better = False
         for _ in range(20):
             new_value, new_score, new_info = moments(beta + move)
             if np.isfinite(new_value) and new_value >= value - 1e-12 * abs(value):
+                better = True
                 break
             move = move / 2.0
+        if not better:
+            return Fit(beta, np.linalg.pinv(info), False, step)
         beta = beta + move
-        done = abs(new_value - value) <= tolerance * (abs(value) + tolerance)
+        flat = abs(new_value - value) <= tolerance * (abs(value) + tolerance)
+        still = np.abs(move).max(initial=0.0) <= 1e-4 * (1.0 + np.abs(beta).max(initial=0.0))
         value, score, info = new_value, new_score, new_info
-        if done:
-            break
-    return beta, np.linalg.pinv(info)
+        if flat:
+            return Fit(beta, np.linalg.pinv(info), bool(still), step)
+    return Fit(beta, np.linalg.pinv(info), False, steps)
 
 
-def _cox_levels(df: DataFrame, time: str, event: str, by: str, levels: Sequence) -> tuple:
+def _cox_levels(df: DataFrame, time: str, event: str, by: str, levels: Sequence) -> Fit:
     """Coefficients of a categorical covariate against its first level."""
     k = range(len(levels))
     at = durable(_efron_rows(_counts_by_level(df, time, event, by, levels)))
@@ -226,7 +279,7 @@ def _cox_levels(df: DataFrame, time: str, event: str, by: str, levels: Sequence)
     return _newton(moments, len(levels) - 1)
 
 
-def _cox_number(df: DataFrame, time: str, event: str, x: str) -> tuple:
+def _cox_number(df: DataFrame, time: str, event: str, x: str) -> Fit:
     """Coefficient of one numeric covariate."""
     e = F.col(event).cast("bigint")
     middle = df.agg(F.avg(x)).first()[0]
@@ -265,7 +318,7 @@ def _cox_number(df: DataFrame, time: str, event: str, x: str) -> tuple:
 
 COX_SCHEMA = (
     "covariate string, level string, n bigint, n_event bigint, coef double, hazard_ratio double,"
-    " std_err double, conf_low double, conf_high double, p_value double"
+    " std_err double, conf_low double, conf_high double, p_value double, converged boolean, iterations int"
 )
 
 
@@ -280,20 +333,24 @@ def cox_univariable(
 
     Text covariates (or given ``levels``) are compared with their first level;
     numbers get one coefficient. Each Newton step is one aggregate over counts.
+    Where the fit did not converge, ``converged`` is false and there is no
+    standard error, limit or p-value.
     """
     rows = _complete(df, time, event, covariate)
     spark = df.sparkSession
     out = []
-
-    def line(level, n, n_event, coef, variance):
-        se = math.sqrt(variance)
-        z = coef / se if se else 0.0
-        low, high = coef - 1.959963984540054 * se, coef + 1.959963984540054 * se
-        ratios = [math.exp(v) if v < 700 else math.inf for v in (coef, low, high)]
-        return (
-            covariate, level, n, n_event, coef, ratios[0], se, ratios[1], ratios[2],
-            tails.normal_two_sided(z),
-        )
+    nothing = [None] * 8
+
+    def line(level, n, n_event, fit: Fit, i: int):
+        coef = float(fit.beta[i])
+        ratio = math.exp(coef) if coef < 700 else math.inf
+        if not fit.converged:
+            return (covariate, level, n, n_event, coef, ratio, *[None] * 4, False, fit.iterations)
+        se = math.sqrt(float(fit.covariance[i, i]))
+        limits = [coef - 1.959963984540054 * se, coef + 1.959963984540054 * se]
+        low, high = [math.exp(v) if v < 700 else math.inf for v in limits]
+        p_value = tails.normal_two_sided(coef / se if se else 0.0)
+        return (covariate, level, n, n_event, coef, ratio, se, low, high, p_value, True, fit.iterations)
 
     if levels is not None or dict(df.dtypes)[covariate] == "string":
         names = _levels(rows, covariate, levels)
@@ -307,16 +364,15 @@ def cox_univariable(
         names = [v for v in names if v in size]
         if len(names) < 2 or not any(e for _, e in size.values()):
             # Nothing to compare: the sizes are all there is to say.
-            out += [(covariate, str(v), *size[v], *[None] * 6) for v in names]
+            out += [(covariate, str(v), *size[v], *nothing) for v in names]
             return spark.createDataFrame(out, COX_SCHEMA)
-        beta, cov = _cox_levels(rows, time, event, covariate, names)
-        out.append((covariate, str(names[0]), *size[names[0]], 0.0, 1.0, None, None, None, None))
-        for i, name in enumerate(names[1:]):
-            out.append(line(str(name), *size[name], float(beta[i]), float(cov[i, i])))
+        fit = _cox_levels(rows, time, event, covariate, names)
+        base = (covariate, str(names[0]), *size[names[0]], 0.0, 1.0, *[None] * 4)
+        out.append((*base, fit.converged, fit.iterations))
+        out += [line(str(name), *size[name], fit, i) for i, name in enumerate(names[1:])]
     else:
         n, n_event = rows.agg(F.count(F.lit(1)), F.sum(F.col(event).cast("bigint"))).first()
         if not n_event:
-            return spark.createDataFrame([(covariate, None, n, n_event, *[None] * 6)], COX_SCHEMA)
-        beta, cov = _cox_number(rows, time, event, covariate)
-        out.append(line(None, n, n_event, float(beta[0]), float(cov[0, 0])))
+            return spark.createDataFrame([(covariate, None, n, n_event, *nothing)], COX_SCHEMA)
+        out.append(line(None, n, n_event, _cox_number(rows, time, event, covariate), 0))
     return spark.createDataFrame(out, COX_SCHEMA)

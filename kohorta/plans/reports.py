@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from kohorta.functions.clinical import INDEX_SITES, KEPT_HISTOLOGIES
+from kohorta.functions.clinical import BMI_GROUPS, INDEX_SITES, KEPT_HISTOLOGIES, RACE_ETH_LEVELS
 from kohorta.functions.exprs import capture
 from kohorta.operators import association, summary, survival
 from kohorta.operators.events import ever
 from kohorta.operators.reshape import items_per_key, unpivot
-from kohorta.operators.selectors import drop_empty_columns, span, with_prefix
+from kohorta.operators.selectors import drop_empty_columns, is_number, span, with_prefix
 
 KEY = "avatar_key"
 STRATUM = "ch_status"
@@ -25,6 +25,8 @@ COVARIATES = [
     "histology",
     "bmi_cat",
 ]
+# Level order; the first level is the one compared with. Others are sorted.
+LEVELS = {"ch_status": ["No CH", "CH"], "race_eth": RACE_ETH_LEVELS, "bmi_cat": BMI_GROUPS}
 
 
 def primary_site_rows(df: DataFrame) -> DataFrame:
@@ -44,10 +46,6 @@ def histology_discrepancy(df: DataFrame) -> DataFrame:
     return rows.select("histology_behavior_sequencing", "histology")
 
 
-def _is_number(df: DataFrame, column: str) -> bool:
-    return dict(df.dtypes)[column] in ("double", "float", "int", "bigint")
-
-
 def characteristics(
     df: DataFrame, columns: Sequence[str], by: str | None = None, categorical: Sequence[str] = ()
 ) -> DataFrame:
@@ -55,7 +53,7 @@ def characteristics(
 
     Few-valued numbers (0/1 events) named in ``categorical`` are shown as levels.
     """
-    numbers = [c for c in columns if _is_number(df, c) and c not in categorical]
+    numbers = [c for c in columns if is_number(df, c) and c not in categorical]
     labels = [c for c in columns if c not in numbers]
     parts = []
     if labels:
@@ -110,11 +108,17 @@ def marker_characteristics(df: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def hazard_ratios(
-    df: DataFrame, endpoint: str, covariates: Sequence[str] = tuple(COVARIATES)
+    df: DataFrame,
+    endpoint: str,
+    covariates: Sequence[str] = tuple(COVARIATES),
+    levels: Mapping[str, Sequence[str]] = LEVELS,
 ) -> DataFrame:
-    """Univariable models of an endpoint ("os" or "pfs") from first treatment."""
+    """Univariable models of an endpoint ("os" or "pfs") from first treatment.
+
+    ``levels`` orders the levels of a covariate; ratios are against the first.
+    """
     time, event = f"{endpoint}_time_from_treatment_years", f"{endpoint}_event"
-    models = [survival.cox_univariable(df, time, event, c) for c in covariates]
+    models = [survival.cox_univariable(df, time, event, c, levels.get(c)) for c in covariates]
     out = models[0]
     for model in models[1:]:
         out = out.unionByName(model)
