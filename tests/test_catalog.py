@@ -11,9 +11,12 @@ sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 from check import TABLES, rows_of  # noqa: E402
+from kohorta import catalog  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The text operators have their own tests.
+QUERIES = catalog.QUERIES
+ORACLES = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -161,6 +161,6 @@ def test_reports(derived, built):
     assert reports.survival_difference(kept, "os")["df"] == 1
     assert reports.drugs_without_class(built.medication.phases).filter(F.col("level") == "aspirin").count() == 1
     by_phase = reports.drugs_before_sample(built.medication.phases, by_phase=True)
-    assert {r["stratum"] for r in by_phase.collect()} == {"1- drugs for pre cancer", "2- drugs for ovarian cancer", None}
+    assert {r["stratum"] for r in by_phase.collect()} == {"1- drugs for pre cancer", "2- drugs for ovarian cancer"}
     assert reports.marker_characteristics(kept, "ca_125_marker_unit", "flow_panel_cd_8_marker_result").count() > 0
     assert reports.histology_discrepancy(clean_names(built.wide)).count() == 1

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from kohorta.operators import association as a, events as e, joins as j, ordered as o, reshape as w, survival as sv
+from kohorta.operators import association as a, events as e, joins as j, ordered as o, reshape as w, summary, survival as sv
 from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.plans import endpoints as ep, therapy as th
 from kohorta.sources import tables as io
@@ -135,10 +135,18 @@ def test_reshape(spark, events):
     wide = w.pivot_occurrence(events, "k", ["v", "t"], 4, ["id"], overflow="error")
     assert rows(wide.filter("k = 'a'"), "v_1", "v_2", "v_3", "v_4", "t_1") == [("x", None, "y", "z", 3.0)]
     with pytest.raises(Exception, match="more than 2 rows"):
-        w.pivot_occurrence(events, "k", ["v"], 2, ["id"], overflow="error").collect()
-    assert w.pivot_occurrence(events, "k", ["v"], 2, ["id"]).columns == ["k", "v_1", "v_2"]
+        w.pivot_occurrence(events, "k", ["v"], 2, ["id"]).collect()
+    assert w.pivot_occurrence(events, "k", ["v"], 2, ["id"], overflow="drop").columns == ["k", "v_1", "v_2"]
+    from_data = w.pivot_occurrence(events, "k", ["v"], None, ["id"])
+    assert from_data.columns == ["k", "v_1", "v_2", "v_3", "v_4"]
+    assert rows(from_data, "v_1", "v_4") == rows(wide, "v_1", "v_4")
+    assert w.occurrences_long(events, "k", ["v"], ["id"]).count() == events.count()
     named = w.pivot_named(events, "k", "ev", "v", ["0", "1"])
     assert ("a", "y", "x") in rows(named)
+    assert rows(w.pivot_named(events, "k", "ev", "v")) == rows(named)
+    with pytest.raises(Exception, match="not listed"):
+        w.pivot_named(events, "k", "ev", "v", ["0"]).collect()
+    assert w.pivot_named(events, "k", "ev", "v", ["0"], subset=True).columns == ["k", "0"]
     assert rows(w.items_per_key(wide, "k", ["v_1", "v_2", "v_3", "v_4"])) == [("a", 3), ("c", 1), (None, 1)]
 
 
@@ -244,6 +252,31 @@ def test_log_rank_by_hand(spark):
     assert test["statistic"] == pytest.approx((1 - 5 / 6) ** 2 / (1 / 4 + 2 / 9))
 
 
+def test_fisher_beyond_two_by_two(spark):
+    from itertools import permutations
+
+    from kohorta.functions import tails
+
+    table = [[3, 0, 1], [0, 2, 1]]
+    rows_, cols = [i for i, r in enumerate(table) for _ in range(sum(r))], [j for r in table for j, n in enumerate(r) for _ in range(n)]
+
+    def likelihood(cells):
+        import math
+
+        return 1 / math.prod(math.factorial(n) for r in cells for n in r)
+
+    def cells_of(order):
+        out = [[0] * 3, [0] * 3]
+        for i, j in zip(rows_, order):
+            out[i][j] += 1
+        return out
+
+    drawn = [likelihood(cells_of(p)) for p in permutations(cols)]
+    want = sum(x <= likelihood(table) * (1 + 1e-9) for x in drawn) / len(drawn)
+    assert tails.fisher_exact(table) == pytest.approx(want)
+    assert tails.fisher_exact([[3, 1], [1, 3]]) == pytest.approx(34 / 70)
+
+
 def test_association_choices(spark):
     df = spark.createDataFrame(
         [("a", 1.0, "x"), ("a", 2.0, "x"), ("a", 2.0, "y"), ("b", 2.0, "y"), ("b", 5.0, "y"), ("b", 6.0, "y")], "g string, v double, c string"
@@ -295,3 +328,37 @@ def test_properties(spark, data):
     curve = sv.kaplan_meier(df.withColumn("e", F.col("v").isNotNull().cast("int")), "t", "e").orderBy("t").collect()
     steps = [1.0, *[r["surv"] for r in curve]]
     assert all(0.0 <= y <= x + 1e-12 for x, y in zip(steps, steps[1:]))
+
+
+def test_csv_keeps_every_text(spark, tmp_path):
+    texts = ['a "b", c', "two\nlines", "", None, "  edges ", 'x""y', "NA", "back\\slash", "\r\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, v string")
+    path = io.write_csv(df, f"{tmp_path}/t")
+    assert rows(io.read_csv(spark, path, "k int, v string"), "k", "v") == rows(df, "k", "v")
+    assert io.read_csv(spark, path, "k int, v string", missing="NA").filter("v IS NULL").count() == 2
+    with pytest.raises(Exception):
+        io.read_csv(spark, path, "k int, v int").collect()
+
+
+def test_summary_without_stratum_and_with_the_name_of_the_total(spark):
+    df = spark.createDataFrame([("Overall", "x", 1.0), ("a", "y", 3.0), ("a", "y", 5.0), (None, "z", 9.0)], "g string, c string, v double")
+    labels = {(r["is_total"], r["stratum"], r["level"]): r["n"] for r in summary.summary_categorical(df, ["c"], "g", overall=True).collect()}
+    assert labels == {(False, "Overall", "x"): 1, (False, "a", "y"): 2, (True, "Overall", "x"): 1, (True, "Overall", "y"): 2}
+    numbers = {(r["is_total"], r["stratum"]): r["median"] for r in summary.summary_continuous(df, ["v"], "g", overall=True).collect()}
+    assert numbers == {(False, "Overall"): 1.0, (False, "a"): 4.0, (True, "Overall"): 3.0}
+
+
+def test_models_that_do_not_converge_say_so(spark):
+    apart = spark.createDataFrame([(float(t), int(g == "b"), g) for t in range(1, 21) for g in "ab"], "t double, e int, g string")
+    fit = {r["level"]: r for r in sv.cox_univariable(apart, "t", "e", "g").collect()}
+    assert fit["b"]["converged"] is False and fit["b"]["p_value"] is None and fit["b"]["std_err"] is None
+    mixed = apart.withColumn("e", (F.col("t") % 3 == 0).cast("int"))
+    assert {r["converged"] for r in sv.cox_univariable(mixed, "t", "e", "g").collect()} == {True}
+    one = sv.log_rank_test(apart.filter("g = 'a'"), "t", "e", "g")
+    assert one == {"statistic": None, "df": 0, "p_value": None}
+
+
+def test_many_levels(spark):
+    df = spark.range(600).select((F.col("id") % 7).cast("double").alias("t"), (F.col("id") % 2).cast("int").alias("e"), F.format_string("g%03d", F.col("id") % 150).alias("g"))
+    out = sv.log_rank(df, "t", "e", "g")
+    assert out.count() == 150 and out.agg(F.sum("observed"), F.round(F.sum("expected"), 6)).first() == (300, 300.0)

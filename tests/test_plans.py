@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-import __spark_entry__ as entry  # noqa: E402
-from kohorta.catalog import views as v  # noqa: E402
+from kohorta.catalog import QUERIES, views as v  # noqa: E402
 from kohorta.operators import events as e, joins as j, ordered as o  # noqa: E402
 from kohorta.sources.tables import read_table  # noqa: E402
 
@@ -33,9 +32,9 @@ def count(pattern, text):
 
 
 # The clinical blocks are made of the same operators; they run jobs while they are built.
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("clinical_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("clinical_")])
 def test_no_nested_loops_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     assert not re.search(r"BroadcastNestedLoopJoin|CartesianProduct|Python|Pandas", text)
 
 
