@@ -169,13 +169,17 @@ def split_blocks(page: str) -> list[Block]:
 
 def iter_tags(page: str):
     """Tags in order; the content of skipped elements is passed over as a whole."""
-    place = 0
+    place, open_ended = 0, set()
     while m := TOKEN.search(page, place):
         yield m
         place = m.end()
         tag = (m[2] or "").lower()
         if tag in SKIPPED and not m[1] and not (m[3] or "").rstrip().endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
+            end = None
+            if tag not in open_ended:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
+            if end is None:
+                open_ended.add(tag)  # no end further on: not looked for again
             stop = end.end() if end else place if tag in ("head", "option", "select", "button") else len(page)
             yield _Gap(m.end(), stop)
             place = stop

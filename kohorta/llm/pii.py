@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from kohorta.llm.common import map_rows, query, read_table
 
 KINDS = ("email", "ip", "card", "phone")
-# Patterns fixed by the contract.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Patterns fixed by the contract. An address is matched from its "@" (``emails``), and a number from its first
+# digit only: starting again inside a long run of letters or digits could not succeed.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-# Places where an address can begin: its local part is cut at the first other character.
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 
 
 def luhn(digits: str) -> bool:
@@ -29,11 +29,24 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``."""
+    found, done, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        if start < at and (m := DOMAIN.match(text, at + 1)):
+            done = m.end()
+            found.append((start, done))
+        at = text.find("@", at + 1)
+    return found
+
+
 def identifiers(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of plain identifiers, leftmost and non-overlapping per kind."""
     found = []
-    if "@" in text:
-        found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
+    found += [(start, end, "email") for start, end in emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
             # A long part is compared by its digits, so any length is fine.
@@ -81,7 +94,7 @@ _OPEN, _CLOSE = r"(?:\s?[\[({<]\s?)", r"(?:\s?[\])}>]\s?)"
 AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}|\s(?:at|@)\s", re.I)
 DOT = re.compile(rf"{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|\s(?:dot|\.)\s", re.I)
 AT_ADDRESS = re.compile(
-    rf"[A-Za-z0-9_%+-]+(?:(?:{DOT.pattern}|\.)[A-Za-z0-9_%+-]+){{0,8}}"
+    rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]+(?:(?:{DOT.pattern}|\.)[A-Za-z0-9_%+-]+){{0,8}}"
     rf"(?:{AT.pattern}|@)[A-Za-z0-9-]+(?:(?:{DOT.pattern}|\.)[A-Za-z0-9-]+){{1,8}}",
     re.I,
 )

@@ -71,6 +71,13 @@ def test_nothing_disguised(text):
     assert pii.disguised(text, pii.identifiers(text)) == []
 
 
+def test_long_runs_take_linear_time():
+    for text in ("a" * 300_000 + " @ . (at) one two", "1" * 300_000 + ".1", "+1" * 100_000, "x@" * 100_000, "a.b@c" * 50_000):
+        pii.disguised(text, pii.identifiers(text))
+    secrets.SecretScanner().scan("token " * 50_000 + "ab" * 100_000 + "AKIA" * 50_000)
+    html_text.main_text("<option>" * 20_000 + "<" * 20_000 + "<!-" * 20_000)
+
+
 def test_tape_maps_back():
     tape = pii.transduce("ab four five cd", [(3, 8, "4"), (8, 12, "5")])
     assert tape.text == "ab 45 cd" and tape.source(3, 5) == (3, 12, True) and tape.source(6, 8) == (13, 15, False)
