@@ -51,11 +51,20 @@ def source_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def makes_rows(df: DataFrame) -> bool:
+    """Whether rows are exploded anywhere in the plan, so that sources say nothing of its size."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:
+        return True
+    return any(line.lstrip(" :+-").startswith(("Generate ", "Expand ")) for line in plan.splitlines())
+
+
 def fits_one_task(df: DataFrame) -> bool:
     """True when even the whole input would be a fair share of one task."""
     size = source_bytes(df)
     limit = int(df.sparkSession.conf.get(BYTES_PER_TASK, str(BYTES_PER_TASK_DEFAULT)))
-    return size is not None and size <= limit
+    return size is not None and size <= limit and not makes_rows(df)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -90,6 +99,7 @@ def release(spark: SparkSession) -> None:
     for status in files.listStatus(path):
         if status.getPath().getName().startswith(TABLE):
             files.delete(status.getPath(), True)
+    _FOUND.clear()
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -112,6 +122,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df if fits_one_task(df) else durable(df)
 
 
+# Large keys of the tables asked for last, so that steps on one table count it once.
+# A list that has become old is still right to use: it only says which rows to slice.
+_FOUND: dict[tuple, tuple[DataFrame, DataFrame | None]] = {}
+MOST_FOUND = 64
+
+
 def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Keys with more rows than one task should take, with their counts ``n``.
 
@@ -121,10 +137,17 @@ def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
     if fits_one_task(df):
         return None
     limit = rows_per_task(df.sparkSession)
+    name = (df.sparkSession.sparkContext.applicationId, tuple(keys), limit, df.semanticHash())
+    if name in _FOUND and _FOUND[name][0].sameSemantics(df):
+        return _FOUND[name][1]
     counts = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > limit)
     )
     counts = durable(counts)
-    return None if counts.isEmpty() else counts
+    found = None if counts.isEmpty() else counts
+    while len(_FOUND) >= MOST_FOUND:
+        _FOUND.pop(next(iter(_FOUND)))
+    _FOUND[name] = (df, found)
+    return found
