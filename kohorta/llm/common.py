@@ -9,12 +9,12 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kohorta.session import shared_folder
 from kohorta.sources.tables import read_table
 
-__all__ = ["WordCache", "durable", "fresh", "map_groups", "map_rows", "query", "read_table", "small_batches"]
+__all__ = ["WordCache", "claim", "durable", "fresh", "map_groups", "map_rows", "query", "read_table", "small_batches"]
 
 # Texts can be long, so few of them travel in one Arrow batch.
 ROWS_PER_BATCH = 256
@@ -150,13 +150,30 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_CLEAR: dict[str, Callable[[], None]] = {}
+_OWNER: list[str] = []
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """Called where a task starts: caches that other operators left in this worker go.
+
+    Workers serve one operator after another, and their memory is shared.
+    """
+    _CLEAR[owner] = clear
+    if _OWNER != [owner]:
+        for name, forget in _CLEAR.items():
+            if name != owner:
+                forget()
+        _OWNER[:] = [owner]
+
+
 class WordCache(dict):
     """Results per distinct word, emptied when it has grown to ``limit`` words.
 
     A text repeats its words, so most look-ups never reach ``compute``.
     """
 
-    def __init__(self, compute: Callable, limit: int = 1_000_000):
+    def __init__(self, compute: Callable, limit: int = 500_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -9,7 +9,7 @@ from math import comb
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kohorta.llm.common import WordCache, durable, fresh, map_groups, map_rows, query, read_table
+from kohorta.llm.common import WordCache, claim, durable, fresh, map_groups, map_rows, query, read_table
 from kohorta.llm.components import components
 
 WORDS = 5
@@ -153,6 +153,7 @@ def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """doc_id, text_hash, node (identity of the shingle set), n_shingles, signature."""
 
     def rows(keys, texts, hashes):
+        claim("near_dedup", _WORDS.clear)
         sets = shingle_sets(texts)
         sig = iter(signatures(sets))
         for k, h, s in zip(keys, hashes, sets):
@@ -286,6 +287,7 @@ def near_duplicates(
     dealt = into_block_pairs(matched, "root", "blocks")
 
     def verify(key, nodes, copies, texts, blocks):
+        claim("near_dedup", _WORDS.clear)
         _, i, j = key
         # Repeated rows of the same document arrive together; one is enough.
         order = sorted({n: k for k, n in enumerate(nodes)}.items())

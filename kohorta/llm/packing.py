@@ -9,9 +9,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from kohorta.llm.common import WordCache, durable, map_rows, query, read_table, small_batches
+from kohorta.llm.common import WordCache, claim, durable, map_rows, query, read_table, small_batches
 from kohorta.llm.token_counts import vocabulary_path
 
 LENGTH = 1024
@@ -133,6 +133,7 @@ def encoded_documents(
     """doc_id, ids (16-bit, with the end id) and place on the curve."""
 
     def rows(keys, texts):
+        claim("packing", _ENCODERS.clear)
         ids = encoder(path, ranks_path).ids
         end = np.array([END_ID], "<u2").tobytes()
         encoded = [ids(t or "") + end for t in texts]

@@ -9,7 +9,7 @@ import unicodedata
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from kohorta.llm.common import WordCache, map_rows, query, read_table
+from kohorta.llm.common import WordCache, claim, map_rows, query, read_table
 
 LIMIT = 2048
 # Pieces of the vocabulary's tokenizer (fixed by the file's format).
@@ -32,7 +32,7 @@ class MergeCounter:
     in a linked list until none is left. Tokens = symbols - merges.
     """
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 500_000):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         symbols = byte_symbols()
@@ -136,6 +136,7 @@ def token_counts(
     """
 
     def rows(keys, texts):
+        claim("token_counts", _COUNTERS.clear)
         count = counter(path).count
         for k, t in zip(keys, texts):
             t = t or ""
