@@ -6,6 +6,7 @@ import html
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,18 +43,37 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A start tag of the first closes an open element of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-# Words in class, id or role that name parts around the article, by kind.
-ROLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertorial|banner|promo|promoted|sponsor(?:ed)?|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toc|"
-    r"header|masthead|topbar|footer|foot|copyright|colophon|"
-    r"sidebar|side|aside|rail|widget|related|recommended|trending|popular|more-stories|"
-    r"notice|alert|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|paywall|disclaimer|"
-    r"comments?|commentlist|respond|replies|reply|disqus|discussion|reviews?|"
-    r"share|sharing|social|follow|tags|search|form|skip|hidden|"
-    r"contentinfo|complementary|navigation|dialog)(?:$|[\s_-])",
-    re.I,
+# Words in class, id or role that name parts around the article. A name counts as a whole: each of its words is one of
+# these or says only where or what kind of box it is ("site-footer", but not "side-effects" or "no-sidebar").
+# Comments and adverts are never around the article.
+ASIDES = frozenset(
+    """
+    ad ads advert adverts advertisement advertorial promoted sponsor sponsored
+    comment comments commentlist disqus respond replies
+    """.split()
+)
+PARTS = frozenset(
+    """
+    banner promo nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar footer colophon
+    sidebar rail widget related recommended trending more-stories cookie cookies gdpr popup modal overlay
+    newsletter subscribe signup login paywall share sharing contentinfo complementary
+    """.split()
+)
+# Also names of content: the text decides.
+MAYBE = frozenset(
+    """
+    menu toc header foot copyright side aside popular notice alert consent disclaimer discussion review reviews
+    reply social follow tags search form skip hidden dialog
+    """.split()
 )
+PLACES = frozenset(
+    """
+    site page main top bottom left right list box wrapper wrap container area section block bar button buttons link
+    links item items post posts article articles content primary secondary global inner outer
+    """.split()
+)
+LANDMARKS = frozenset("navigation banner complementary contentinfo search dialog alertdialog menu menubar".split())
+NO_NAME, MAY_BE, IS_PART, IS_ASIDE = range(4)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -82,36 +102,80 @@ class Block:
     label: str = ""
 
 
+@dataclass
+class Part:
+    """An element named like a part around the article: its blocks, and how sure the name is."""
+
+    sure: int
+    start: int
+    mains: int
+    end: int = -1
+    holds_main: bool = False
+
+
 def attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)}
 
 
-def is_around(tag: str, source: str, inside: bool) -> bool:
-    """Whether an element holds a part around the article."""
+def is_around(tag: str, found: dict[str, str], inside: bool) -> bool:
+    """Whether an element holds a part around the article, whatever its name."""
     if tag in AROUND:
         return True
     if tag == "header":
         return not inside  # an article's own header has its title
-    if not source:
-        return False
-    found = attributes(source)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    return any(ROLE.search(found[a]) for a in ("class", "id", "role") if found.get(a))
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I))
+
+
+def name_says(name: str, inside: bool) -> int:
+    """How surely one class or id names a part around the article."""
+    words = [name] if name in PARTS else [w for w in re.split(r"[-_]+", name) if w]
+    said = NO_NAME
+    for w in words:
+        if w in ASIDES:
+            said = max(said, IS_ASIDE)
+        elif w in PARTS:
+            said = max(said, IS_PART)
+        elif w in MAYBE:
+            if not (w == "header" and inside):
+                said = max(said, MAY_BE)
+        elif w not in PLACES:
+            return NO_NAME
+    return said
+
+
+def part_of(tag: str, found: dict[str, str], inside: bool) -> int:
+    """How surely class, role or id name an element as a part around the article."""
+    if tag in ("html", "body", "main") or tag in HEADINGS:
+        return NO_NAME
+    said = max((name_says(c, inside) for c in found.get("class", "").lower().split()), default=NO_NAME)
+    for role in found.get("role", "").lower().split():
+        said = max(said, IS_PART if role in LANDMARKS else name_says(role, inside) and MAY_BE)
+    by_id = name_says(found.get("id", "").strip().lower(), inside)
+    # Sections and the parts of an article often have ids made from their titles.
+    if tag == "section" or (inside and by_id < IS_ASIDE):
+        by_id = min(by_id, MAY_BE)
+    said = max(said, by_id)
+    # An article may be a comment; otherwise it is what is looked for.
+    return NO_NAME if tag == "article" and said < IS_ASIDE else said
 
 
 def split_blocks(page: str) -> list[Block]:
     """Cuts a page at block tags; elements that are left open are closed by their parents."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, around, article or main
+    parts: list[Part] = []
+    stack: list[tuple[str, bool, bool, Part | None]] = []  # tag, around, article or main, named part
     pieces: list[str] = []
-    links = anchors = 0
+    links = anchors = mains = 0
     place = 0
 
+    def close(at: int) -> None:
+        for *_, part in stack[at:]:
+            if part:
+                part.end, part.holds_main = len(blocks), mains > part.mains
+        del stack[at:]
+
     def flush(heading: bool) -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(pieces)).split())
@@ -145,7 +209,7 @@ def split_blocks(page: str) -> list[Block]:
                 at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
                 # A stray end tag does not close an article around it.
                 if at is not None and not (tag == "p" and any(s[0] != "p" for s in stack[at:])):
-                    del stack[at:]
+                    close(at)
             continue
         if tag == "a":
             anchors += 1
@@ -154,19 +218,72 @@ def split_blocks(page: str) -> list[Block]:
         if tag in BLOCKS:
             flush(heading_open())
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                close(len(stack) - 1)
             closes = CLOSES.get(tag, ())
             if stack and stack[-1][0] in closes:
-                stack.pop()
+                close(len(stack) - 1)
             if tag not in VOID and not m[3].rstrip().endswith("/"):
                 inside = any(s[2] for s in stack) or tag in ("article", "main")
-                stack.append((tag, is_around(tag, m[3], inside), tag in ("article", "main")))
+                found = attributes(m[3]) if m[3] else {}
+                mains += tag == "main"
+                part = None
+                if said := part_of(tag, found, inside):
+                    part = Part(said, len(blocks), mains)
+                    parts.append(part)
+                stack.append((tag, is_around(tag, found, inside), tag in ("article", "main"), part))
     if place < len(page):
         add(page[place:])
     flush(heading_open())
+    close(0)
+    mark_parts(blocks, parts)
     return blocks
 
 
+def sums(values) -> list[int]:
+    return [0, *accumulate(values)]
+
+
+def covered(n: int, parts: list[Part]) -> list[bool]:
+    """Which of n blocks lie in any of the parts."""
+    steps = [0] * (n + 1)
+    for p in parts:
+        steps[p.start] += 1
+        steps[p.end] -= 1
+    return [k > 0 for k in accumulate(steps[:n])]
+
+
+def mark_parts(blocks: list[Block], parts: list[Part]) -> None:
+    """Marks the blocks of named parts as around the article.
+
+    An element with a ``main`` or with most of the page's text is a wrapper,
+    whatever it is called; only comments and adverts may be longer than the text.
+    A name that content may have too counts when the links or the few stop words
+    of the whole part confirm it.
+    """
+    parts = [p for p in parts if p.start < p.end and not p.holds_main]
+    if not parts:
+        return
+    asides = covered(len(blocks), [p for p in parts if p.sure == IS_ASIDE])
+    texts = sums(0 if b.around or a else len(b.text) - b.link_chars for b, a in zip(blocks, asides))
+    chars, links = sums(len(b.text) for b in blocks), sums(b.link_chars for b in blocks)
+    words, stops = [0], [0]
+    if any(p.sure == MAY_BE for p in parts):
+        found = [stop_words(b.text) for b in blocks]
+        words, stops = sums(n for n, _ in found), sums(k for _, k in found)
+
+    def counts(p: Part) -> bool:
+        if p.sure == IS_ASIDE:
+            return True
+        if 2 * (texts[p.end] - texts[p.start]) > texts[-1]:
+            return False
+        if p.sure == IS_PART or links[p.end] - links[p.start] > MAX_LINK_DENSITY * (chars[p.end] - chars[p.start]):
+            return True
+        return stops[p.end] - stops[p.start] < STOP_LOW * max(1, words[p.end] - words[p.start])
+
+    for b, named in zip(blocks, covered(len(blocks), [p for p in parts if counts(p)])):
+        b.around |= named
+
+
 def iter_tags(page: str):
     """Tags in order; the content of skipped elements is passed over as a whole."""
     place, open_ended = 0, set()
@@ -201,9 +318,15 @@ class _Gap:
         return ""
 
 
-def stop_density(text: str) -> float:
+def stop_words(text: str) -> tuple[int, int]:
+    """Words, and stop words among them."""
     words = WORD.findall(text.lower())
-    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    return len(words), sum(w in STOP_WORDS for w in words)
+
+
+def stop_density(text: str) -> float:
+    n, stops = stop_words(text)
+    return stops / max(1, n)
 
 
 def classify(block: Block) -> str:

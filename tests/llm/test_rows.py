@@ -216,6 +216,30 @@ def test_page_without_article():
     assert html_text.main_text(page).split("\n") == ["Title", BODY.strip(), "Short.", BODY.strip()]
 
 
+@pytest.mark.parametrize("wrapper", ['class="no-sidebar"', 'class="page-with-sidebar"', 'class="sidebar"', 'id="content-sidebar"', 'role="form"'])
+@pytest.mark.parametrize("inner", ["article", "div", "main"])
+def test_names_of_wrappers(wrapper, inner):
+    page = f'<div {wrapper}><{inner}><p>{BODY}</p></{inner}><div class="sidebar"><p>Some words on the site.</p></div></div>'
+    assert html_text.main_text(page).split("\n")[0] == BODY.strip()
+
+
+@pytest.mark.parametrize("name", ['id="side-effects"', 'id="form-of-government"', 'id="discussion"', 'class="review"', 'id="related"', 'class="overflow-hidden"'])
+def test_names_of_content(name):
+    page = f"<article><p>{BODY}</p><p>{BODY}</p><section {name}><h2>Part</h2><p>{BODY}</p></section></article>"
+    assert html_text.main_text(page).split("\n") == [BODY.strip(), BODY.strip(), "Part", BODY.strip()]
+
+
+@pytest.mark.parametrize("name", ['class="comments-area"', 'id="comments"', 'class="box ad"', 'class="ad-box"', 'class="related-posts"', 'role="complementary"'])
+def test_names_of_parts(name):
+    page = f"<article><p>{BODY}</p><p>{BODY}</p><div {name}><p>{BODY}</p></div></article>"
+    assert html_text.main_text(page).split("\n") == [BODY.strip(), BODY.strip()]
+
+
+def test_unsure_names_need_confirming():
+    page = f'<article><p>{BODY}</p><div class="social"><a href="x">Like this page</a></div><div id="tags"><p>Red Blue Green</p></div></article>'
+    assert html_text.main_text(page) == BODY.strip()
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "</p></div>", "<a><a><p>", "&#x110000; &amp"])
 def test_odd_pages(page):
     assert isinstance(html_text.main_text(page), str)
