@@ -99,6 +99,7 @@ class Block:
     heading: bool
     around: bool
     inside: bool
+    article: int = -1  # number of the outermost article around it; 0 is any main
     label: str = ""
 
 
@@ -167,7 +168,7 @@ def split_blocks(page: str) -> list[Block]:
     parts: list[Part] = []
     stack: list[tuple[str, bool, bool, Part | None]] = []  # tag, around, article or main, named part
     pieces: list[str] = []
-    links = anchors = mains = 0
+    links = anchors = mains = articles = 0
     place = 0
 
     def close(at: int) -> None:
@@ -182,7 +183,9 @@ def split_blocks(page: str) -> list[Block]:
         pieces.clear()
         if text:
             around = any(s[1] for s in stack)
-            blocks.append(Block(text, min(links, len(text)), heading, around, any(s[2] for s in stack)))
+            inside = any(s[2] for s in stack)
+            article = -1 if not inside else 0 if any(s[0] == "main" for s in stack) else articles
+            blocks.append(Block(text, min(links, len(text)), heading, around, inside, article))
         links = 0
 
     def heading_open() -> bool:
@@ -223,7 +226,9 @@ def split_blocks(page: str) -> list[Block]:
             if stack and stack[-1][0] in closes:
                 close(len(stack) - 1)
             if tag not in VOID and not m[3].rstrip().endswith("/"):
-                inside = any(s[2] for s in stack) or tag in ("article", "main")
+                outer = any(s[2] for s in stack)
+                articles += tag == "article" and not outer
+                inside = outer or tag in ("article", "main")
                 found = attributes(m[3]) if m[3] else {}
                 mains += tag == "main"
                 part = None
@@ -350,6 +355,24 @@ def classify(block: Block) -> str:
     return "near-good" if density >= STOP_LOW else "bad"
 
 
+def marks_article(blocks: list[Block]) -> bool:
+    """Whether the page's article or main elements hold its text.
+
+    Blocks around the article do not count: comments and teasers are often
+    article elements too. A ``main``, or one article of some length, is enough;
+    several articles or a short one must hold more text than the good blocks
+    outside.
+    """
+    own = [b for b in blocks if b.inside and not b.around]
+    length = sum(len(b.text) - b.link_chars for b in own)
+    if not length:
+        return False
+    places = {b.article for b in own}
+    if 0 in places or (len(places) == 1 and length >= LONG_CHARS):
+        return True
+    return length >= sum(len(b.text) for b in blocks if not b.inside and classify(b) == "good")
+
+
 def label_blocks(blocks: list[Block]) -> None:
     """Second pass: undecided blocks take the label of the nearest decided ones.
 
@@ -360,8 +383,9 @@ def label_blocks(blocks: list[Block]) -> None:
     decided, near-good is good and short is bad. Where the page marks an article,
     blocks outside are bad.
     """
-    marked = any(b.inside for b in blocks)
+    marked = marks_article(blocks)
     for b in blocks:
+        b.inside &= marked
         b.label = classify(b) if b.inside or not marked else "bad"
     decided = [i for i, b in enumerate(blocks) if b.label in ("good", "bad")]
     first = [b.label for b in blocks]

@@ -240,6 +240,35 @@ def test_unsure_names_need_confirming():
     assert html_text.main_text(page) == BODY.strip()
 
 
+@pytest.mark.parametrize(
+    "others",
+    [
+        "<div class='comments'><article><p>{0}</p></article><article><p>{0}</p></article></div>",
+        "<div class='comments'><article><p>{0}{0}{0}{0}</p></article></div>",
+        "<aside><article><p>{0}</p></article></aside>",
+        "<div class='related'><article><p>{0}</p></article></div>",
+        "<article class='comment'><p>{0}</p></article>",
+        "<div><article><a href='x'>One</a></article><article><a href='y'>Two</a></article></div>",
+    ],
+)
+def test_other_articles_do_not_mark_the_text(others):
+    page = f"<div><h1>Name</h1><p>{BODY}</p><p>{BODY}{BODY}</p></div>{others.format(BODY)}<footer><p>{BODY}</p></footer>"
+    assert html_text.main_text(page).split("\n") == ["Name", BODY.strip(), (BODY + BODY).strip()]
+
+
+def test_own_article_with_comments_as_articles():
+    page = f"<p>{BODY}</p><article><p>{BODY}{BODY}</p></article><div class='comments'><article><p>{BODY}</p></article></div>"
+    assert html_text.main_text(page) == (BODY + BODY).strip()
+    assert html_text.main_text("<p>Home</p><article><h1>News</h1><p>Rain falls</p></article>") == "News\nRain falls"
+
+
+def test_several_articles():
+    page = "".join(f"<article><h2>Part {i}</h2><p>{BODY}</p></article>" for i in range(3))
+    assert len(html_text.main_text(page).split("\n")) == 6
+    page = f"<p>{BODY}</p><p>{BODY}{BODY}{BODY}</p><article><p>I liked this.</p></article><article><p>So did I.</p></article>"
+    assert html_text.main_text(page).startswith(BODY.strip())
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "</p></div>", "<a><a><p>", "&#x110000; &amp"])
 def test_odd_pages(page):
     assert isinstance(html_text.main_text(page), str)
