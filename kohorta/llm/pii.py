@@ -98,6 +98,9 @@ AT_ADDRESS = re.compile(
     rf"(?:{AT.pattern}|@)[A-Za-z0-9-]+(?:(?:{DOT.pattern}|\.)[A-Za-z0-9-]+){{1,8}}",
     re.I,
 )
+# Four or more figures with dots between them; a dot between blanks may end a sentence.
+DOTTED = re.compile(rf"(?<![0-9])[0-9]++(?:(?:{DOT.pattern}|\.)[0-9]++){{3,}}", re.I)
+DOTTED_HINT = re.compile(rf"[0-9](?:{DOT.pattern})[0-9]", re.I)
 AT_HINT = re.compile(rf"{_OPEN}(?:at|@|dot|punkt|punto|point|\.){_CLOSE}|\s(?:dot|@)\s", re.I)
 
 
@@ -184,6 +187,18 @@ def number_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def dot_edits(text: str) -> list[tuple[int, int, str]]:
+    """Disguised dots of addresses made of figures, where no at sign is near."""
+    edits = []
+    if DOTTED_HINT.search(text):
+        for m in DOTTED.finditer(text):
+            dots = [(p.start(), p.end(), ".") for p in DOT.finditer(text, m.start(), m.end())]
+            if len(re.findall("[0-9]+", m[0])) > 4:
+                dots = [(a, b, out) for a, b, out in dots if text[a:b].strip() != "."]
+            edits += dots
+    return edits
+
+
 def address_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
     if AT_HINT.search(text):
@@ -199,11 +214,12 @@ def address_edits(text: str) -> list[tuple[int, int, str]]:
 def disguised(text: str, base: list[tuple]) -> list[tuple[int, int, str]]:
     """Identifiers that appear only once the disguises are undone.
 
-    Three transducers run one after the other (glyphs, spelled digits, at/dot
-    signs); each passes its spans back through the one before.
+    The transducers run one after the other (glyphs, spelled digits, at/dot
+    signs: dots between figures, then addresses); each passes its spans back
+    through the one before.
     """
     tapes, current = [], text
-    for edits_of in (glyph_edits, number_edits, address_edits):
+    for edits_of in (glyph_edits, number_edits, dot_edits, address_edits):
         edits = sorted(edits_of(current))
         if edits:
             tapes.append(transduce(current, edits))

@@ -66,7 +66,21 @@ def test_disguised(text, hidden, kind):
     assert (text.index(hidden), text.index(hidden) + len(hidden), kind) in found
 
 
-@pytest.mark.parametrize("text", ["we met at noon and sat at the dot", "one two", "plain", "É at ü . com", "a\xadb"])
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        "192[.]168[.]0[.]1", "192 dot 168 dot 0 dot 1", "192.168[.]0.1", "10 (dot) 0 (dot) 0 (dot) 7", "10 . 0 . 0 . 7",
+        "one nine two dot one six eight dot zero dot one", "１０[.]0[.]0[.]７",
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "x {} y", "see {}, or mail joe@example.com"])
+def test_disguised_ip(hidden, around):
+    text = around.format(hidden)
+    found = pii.disguised(text, pii.identifiers(text))
+    assert found == [(text.index(hidden), text.index(hidden) + len(hidden), "ip")]
+
+
+@pytest.mark.parametrize("text", ["300[.]1[.]1[.]1", "1[.]2[.]3", "at 5 . 10.0.0.1 is up", "10.0.0.1 . 10.0.0.2", "we met at noon and sat at the dot", "one two", "plain", "É at ü . com", "a\xadb"])
 def test_nothing_disguised(text):
     assert pii.disguised(text, pii.identifiers(text)) == []
 
