@@ -79,6 +79,8 @@ LOOKALIKES = {
 # Characters without width vanish.
 HIDDEN = "​‌‍⁠﻿­"
 
+# Letters beyond ASCII that match i and s where case does not count.
+_FOLDED = str.maketrans("İıſ", "iis")
 _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 _ITEM = rf"(?:(?:{_WORD})(?![a-z])|[0-9])"
 # A spelled number: spelled or plain digits in a row, at least one of them spelled.
@@ -87,8 +89,8 @@ NUMBER = re.compile(
     re.I,
 )
 NUMBER_PART = re.compile(rf"plus[ -]?|({_WORD})(?![a-z])([ -](?=(?:{_WORD})(?![a-z])))?", re.I)
-# Two spelled digits next to each other, or one beside a figure, start a closer look.
-NUMBER_HINT = re.compile(rf"(?<![a-z])(?:{_WORD})[ -](?:(?:{_WORD})(?![a-z])|[0-9])|[0-9][ -](?:{_WORD})(?![a-z])", re.I)
+# The hints are what every match with an edit has in it, so no match depends on the rest of a text.
+NUMBER_HINT = re.compile(rf"(?:(?<![a-z])|(?<=plus))(?:{_WORD})(?![a-z])", re.I)
 # name (at) host (dot) tld, in brackets or between spaces.
 _OPEN, _CLOSE = r"(?:\s?[\[({<]\s?)", r"(?:\s?[\])}>]\s?)"
 AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}|\s(?:at|@)\s", re.I)
@@ -101,7 +103,7 @@ AT_ADDRESS = re.compile(
 # Four or more figures with dots between them; a dot between blanks may end a sentence.
 DOTTED = re.compile(rf"(?<![0-9])[0-9]++(?:(?:{DOT.pattern}|\.)[0-9]++){{3,}}", re.I)
 DOTTED_HINT = re.compile(rf"[0-9](?:{DOT.pattern})[0-9]", re.I)
-AT_HINT = re.compile(rf"{_OPEN}(?:at|@|dot|punkt|punto|point|\.){_CLOSE}|\s(?:dot|@)\s", re.I)
+AT_HINT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}|\s@\s|{DOT.pattern}", re.I)
 
 
 def lookalike(c: str) -> str | None:
@@ -133,11 +135,13 @@ class Tape:
     def __init__(self):
         self.parts: list[str] = []
         self.pieces: list[tuple[int, int, int, bool]] = []
+        self.keys: list[int] = []
         self.at = 0
 
     def put(self, out: str, start: int, end: int, changed: bool) -> None:
         if out:
             self.pieces.append((self.at, start, end, changed))
+            self.keys.append(self.at)
             self.parts.append(out)
             self.at += len(out)
 
@@ -147,8 +151,7 @@ class Tape:
 
     def source(self, start: int, end: int) -> tuple[int, int, bool]:
         """Source span of a rewritten span, and whether anything in it was changed."""
-        keys = [p[0] for p in self.pieces]
-        i, j = bisect_right(keys, start) - 1, bisect_right(keys, end - 1) - 1
+        i, j = bisect_right(self.keys, start) - 1, bisect_right(self.keys, end - 1) - 1
         first, last = self.pieces[i], self.pieces[j]
         begin = first[1] if first[3] else first[1] + (start - first[0])
         stop = last[2] if last[3] else last[1] + (end - last[0])
@@ -182,7 +185,7 @@ def number_edits(text: str) -> list[tuple[int, int, str]]:
     if NUMBER_HINT.search(text):
         for m in NUMBER.finditer(text):
             for p in NUMBER_PART.finditer(text, m.start(), m.end()):
-                out = SPELLED[p[1].lower()] if p[1] else "+"
+                out = SPELLED[p[1].translate(_FOLDED).lower()] if p[1] else "+"
                 edits.append((p.start(), p.end(), out))
     return edits
 

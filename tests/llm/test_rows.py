@@ -85,6 +85,43 @@ def test_nothing_disguised(text):
     assert pii.disguised(text, pii.identifiers(text)) == []
 
 
+@pytest.mark.parametrize(
+    "hidden, kind",
+    [
+        ("plus four.one.five.five.five.five.one.two.three.four", "phone"),
+        ("plus four  one  five  five  five  five  one  two  three  four", "phone"),
+        ("plusfour-(one)-five-(five)-five-(five)-one-(two)-three-(four)", "phone"),
+        ("1.2.3.four", "ip"),
+        ("jane at example . com", "email"),
+        ("jane@example . com", "email"),
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "x {} y", "{} and one two, joe [at] home"])
+def test_disguised_wherever_it_stands(hidden, kind, around):
+    text = around.format(hidden)
+    where = text.index(hidden)
+    found = pii.disguised(text, pii.identifiers(text))
+    assert any(start == where and end in (where + len(hidden), where + len(hidden) - 1) and k == kind for start, end, k in found)
+
+
+PIECES = ["plus", "+", "one", "Two", "oh", "7", "12", " ", "  ", ".", "-", "(", ")", "[", "]", "at", "@", "dot", "punto", "jane", "com", "x", "ſ", "ſix", "fıve", "SİX", "É", "\n"]
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14))
+def test_hints_lose_no_edit(parts):
+    class Always:
+        def search(self, text):
+            return True
+
+    text = "".join(parts)
+    edits = pii.number_edits(text), pii.dot_edits(text), pii.address_edits(text)
+    with pytest.MonkeyPatch.context() as patch:
+        for hint in ("NUMBER_HINT", "DOTTED_HINT", "AT_HINT"):
+            patch.setattr(pii, hint, Always())
+        assert edits == (pii.number_edits(text), pii.dot_edits(text), pii.address_edits(text))
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000 + " @ . (at) one two", "1" * 300_000 + ".1", "+1" * 100_000, "x@" * 100_000, "a.b@c" * 50_000):
         pii.disguised(text, pii.identifiers(text))
