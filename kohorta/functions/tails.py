@@ -6,6 +6,7 @@ Each takes a few numbers, never a data set.
 from __future__ import annotations
 
 import math
+from itertools import product
 
 
 def normal_two_sided(z: float) -> float:
@@ -56,14 +57,58 @@ def fisher_2x2(a: int, b: int, c: int, d: int) -> float:
     row, other, col = a + b, c + d, a + c
     low, high = max(0, col - other), min(row, col)
 
-    def log_p(x: int) -> float:
-        def choose(n: int, k: int) -> float:
-            return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    # Likelihoods relative to the start, step by step: logarithms of factorials are too coarse for large tables.
+    logs = [0.0]
+    for x in range(low, high):
+        logs.append(logs[-1] + math.log((row - x) * (col - x) / ((x + 1) * (other - col + x + 1))))
+    top, seen = max(logs), logs[a - low]
+    weights = [math.exp(v - top) for v in logs]
+    return min(1.0, math.fsum(w for w, v in zip(weights, logs) if v <= seen + 1e-7) / math.fsum(weights))
+
 
-        return choose(row, x) + choose(other, col - x) - choose(row + other, col)
+def rare_tables(table: list[list[int]]) -> int:
+    """At most so many tables have these margins: ways to deal all rows but the largest to the columns."""
+    columns = len(table[0])
+    return math.prod(math.comb(n + columns - 1, columns - 1) for n in sorted(map(sum, table))[:-1])
 
-    seen = log_p(a)
-    return min(1.0, math.fsum(math.exp(p) for p in map(log_p, range(low, high + 1)) if p <= seen + 1e-7))
+
+def fisher_rare(table: list[list[int]]) -> float:
+    """``fisher_exact`` for tables with one large row, in the count of the other rows alone."""
+    table = sorted((r for r in table if sum(r)), key=sum)
+    columns = [c for c in zip(*table) if sum(c)]
+    if len(table) < 2 or len(columns) < 2:
+        return 1.0
+    rare = tuple(sum(r) for r in table[:-1])
+    logs = [0.0]
+    for i in range(1, sum(rare) + 1):
+        logs.append(logs[-1] + math.log(i))
+
+    def falling(n: int) -> list[float]:
+        """log(n! / (n - k)!) for k up to the rare rows."""
+        out = [0.0]
+        for k in range(min(n, sum(rare))):
+            out.append(out[-1] + math.log(n - k))
+        return out
+
+    fixed = sum(logs[n] for n in rare) - falling(sum(map(sum, table)))[-1]
+    falls = [falling(sum(c)) for c in columns]
+    observed = sum(f[sum(c[:-1])] - sum(logs[v] for v in c[:-1]) for c, f in zip(columns, falls))
+    states: dict[tuple[int, ...], dict[float, int]] = {rare: {0.0: 1}}
+    for i, fall in enumerate(falls):
+        following: dict[tuple[int, ...], dict[float, int]] = {}
+        for left, weights in states.items():
+            last = i == len(falls) - 1
+            for cells in [left] if last else product(*(range(n + 1) for n in left)):
+                if sum(cells) >= len(fall):
+                    continue
+                gain = fall[sum(cells)] - sum(logs[v] for v in cells)
+                target = following.setdefault(tuple(x - y for x, y in zip(left, cells)), {})
+                for w, times in weights.items():
+                    key = round(w + gain, 9)
+                    target[key] = target.get(key, 0) + times
+        states = following
+    found = states.get((0,) * len(rare), {})
+    return min(1.0, math.fsum(n * math.exp(fixed + w) for w, n in found.items() if w <= observed + 1e-7))
 
 
 def fisher_exact(table: list[list[int]]) -> float:

@@ -16,8 +16,10 @@ from kohorta.operators.selectors import is_number
 from kohorta.session import durable
 
 
-# Exact tests are for small tables; larger ones get chi-square, named as such.
+# Exact tests are for 2 x 2 tables, small ones, and those with few tables of the same margins, at any number of rows;
+# others get chi-square, named as such.
 FISHER_ROWS, FISHER_DF = 2_000, 12
+FISHER_TABLES = 200_000
 
 
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -95,7 +97,9 @@ def compare(df: DataFrame, column: str, by: str) -> dict[str, object]:
 
     Numbers: rank-sum for two strata (normal approximation with continuity
     correction), Kruskal-Wallis for more. Labels: chi-square when every expected
-    count is at least 5, else Fisher's exact test, whose table is small then.
+    count is at least 5, else Fisher's exact test, unless the table is neither
+    2 x 2 nor small (``FISHER_ROWS``, ``FISHER_DF``) nor of few possible tables
+    (``FISHER_TABLES``): then chi-square, named as such.
     """
     if is_number(df, column):
         return _compare_numbers(df, column, by)
@@ -131,16 +135,30 @@ def _compare_labels(df: DataFrame, column: str, by: str) -> dict[str, object]:
     s = chi_square_statistic(df, column, by).first()
     if not s["df"]:
         return {"test": "none", "statistic": None, "df": None, "p_value": None}
-    if s["least_expected"] < 5 and s["n"] <= FISHER_ROWS and s["df"] <= FISHER_DF:
-        cells = contingency(df, column, by).collect()
-        rows = sorted({r[column] for r in cells})
-        cols = sorted({r[by] for r in cells})
-        n = {(r[column], r[by]): r["n"] for r in cells}
-        table = [[n.get((r, c), 0) for c in cols] for r in rows]
-        return {"test": "fisher", "statistic": None, "df": None, "p_value": tails.fisher_exact(table)}
+    if s["least_expected"] < 5 and (p := _fisher(df, column, by, s)) is not None:
+        return {"test": "fisher", "statistic": None, "df": None, "p_value": p}
     return _chi_square(s)
 
 
+def _fisher(df: DataFrame, column: str, by: str, s) -> float | None:
+    """Exact p-value, None where the table is too large for it."""
+    small = s["n"] <= FISHER_ROWS and s["df"] <= FISHER_DF
+    # With more degrees of freedom than this there are too many tables whatever their margins are.
+    if not small and s["df"] >= FISHER_TABLES:
+        return None
+    cells = contingency(df, column, by).collect()
+    rows = sorted({r[column] for r in cells})
+    cols = sorted({r[by] for r in cells})
+    n = {(r[column], r[by]): r["n"] for r in cells}
+    table = [[n.get((r, c), 0) for c in cols] for r in rows]
+    if s["df"] == 1:
+        return tails.fisher_2x2(*table[0], *table[1])
+    sides = sorted((tails.rare_tables(t), t) for t in (table, [list(c) for c in zip(*table)]))
+    if sides[0][0] <= FISHER_TABLES:
+        return tails.fisher_rare(sides[0][1])
+    return tails.fisher_exact(table) if small else None
+
+
 def chi_square_test(df: DataFrame, column: str, by: str) -> dict[str, object]:
     """Chi-square test whatever the expected counts are."""
     s = chi_square_statistic(df, column, by).first()

@@ -290,6 +290,26 @@ def test_association_choices(spark):
     assert a.compare(df, "v", "c")["test"] == "rank-sum"
 
 
+def test_rare_levels_of_large_tables_are_exact(spark):
+    import math
+
+    from kohorta.functions import tails
+
+    # A level of 3 rows, all in a stratum of 1,000 of 4,000.
+    counts = spark.createDataFrame([("x", "a", 3), ("y", "a", 997), ("y", "b", 3000)], "c string, g string, n int")
+    big = counts.select("c", "g", F.explode(F.sequence(F.lit(1), "n")))
+    found = a.compare(big, "c", "g")
+    assert found["test"] == "fisher"
+    assert found["p_value"] == pytest.approx(math.comb(1000, 3) / math.comb(4000, 3), rel=1e-9)
+    third = counts.union(spark.createDataFrame([("y", "d", 2000)], counts.schema))
+    found = a.compare(third.select("c", "g", F.explode(F.sequence(F.lit(1), "n"))), "c", "g")
+    assert found["test"] == "fisher"
+    assert found["p_value"] == pytest.approx(math.comb(1000, 3) / math.comb(6000, 3), rel=1e-6)
+    for table in ([[3, 0, 1], [0, 2, 1]], [[2, 1], [5, 9], [40, 33]], [[1, 0, 2, 3], [9, 30, 12, 7]]):
+        assert tails.fisher_rare(table) == pytest.approx(tails.fisher_exact(table))
+    assert tails.fisher_2x2(2, 0, 10**9 - 2, 10**9) == pytest.approx(0.5, rel=1e-6)
+
+
 def test_dated_files_and_rows(spark, tmp_path):
     import datetime as dt
 
