@@ -122,7 +122,7 @@ def lookalike(c: str) -> str | None:
     return str(digit) if digit is not None and c.isdigit() and c not in "²³¹" else None
 
 
-_SUSPECT = re.compile(r"[^\x00-\x7fÀ-ſ]")
+_SUSPECT = re.compile(r"[^\x00-\x7fÀ-ſ]|ı")
 
 
 class Tape:

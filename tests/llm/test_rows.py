@@ -122,6 +122,11 @@ def test_hints_lose_no_edit(parts):
         assert edits == (pii.number_edits(text), pii.dot_edits(text), pii.address_edits(text))
 
 
+def test_every_lookalike_is_looked_at():
+    assert [c for c in pii.LOOKALIKES if c > "\x7f" and not pii._SUSPECT.search(c)] == []
+    assert pii.disguised("x jım@example.com", pii.identifiers("x jım@example.com")) == [(2, 17, "email")]
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000 + " @ . (at) one two", "1" * 300_000 + ".1", "+1" * 100_000, "x@" * 100_000, "a.b@c" * 50_000):
         pii.disguised(text, pii.identifiers(text))
