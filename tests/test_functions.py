@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from kohorta.functions import clinical as c, exprs as x, recode as r, tails
 from kohorta.operators import selectors as s
 from kohorta.operators.keys import attach, equi_join, sort_columns

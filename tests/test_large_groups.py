@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from kohorta.operators import association, ordered, summary, survival
 from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.session import large_groups

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from kohorta.operators import association as a, events as e, joins as j, ordered as o, reshape as w, summary, survival as sv
 from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.plans import endpoints as ep, therapy as th
