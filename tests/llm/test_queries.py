@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_import_needs_no_session():
