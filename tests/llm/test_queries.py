@@ -25,7 +25,8 @@ def test_import_needs_no_session():
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = queries.QUERIES[name](spark, FOLDER)
     want = con.sql(queries.ORACLES[name])
     assert sorted(df.columns) == sorted(want.columns)
