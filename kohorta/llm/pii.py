@@ -49,8 +49,8 @@ def identifiers(text: str) -> list[tuple[int, int, str]]:
     found += [(start, end, "email") for start, end in emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            # A long part is compared by its digits, so any length is fine.
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            # Without its leading zeros a part is short, however long it was.
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in [p.lstrip("0") for p in m[0].split(".")]):
                 found.append((m.start(), m.end(), "ip"))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
