@@ -85,7 +85,7 @@ COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b)", re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
 # Limits of the block rules.
-MAX_LINK_DENSITY = 0.3
+MAX_LINK_DENSITY, MAX_LINKS_INSIDE = 0.3, 0.9
 SHORT_CHARS, LONG_CHARS = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.20
 
@@ -162,35 +162,81 @@ def part_of(tag: str, found: dict[str, str], inside: bool) -> int:
     return NO_NAME if tag == "article" and said < IS_ASIDE else said
 
 
+class Stack:
+    """Open elements, with counts and places at hand, so no step walks through them."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.kinds: list[tuple[bool, Part | None]] = []
+        self.paragraphs: list[int] = []  # p elements in a row up to each element
+        self.places: dict[str, list[int]] = {}
+        self.around = 0
+
+    def count(self, tags) -> int:
+        return sum(len(self.places[t]) for t in tags if t in self.places)
+
+    @property
+    def inside(self) -> int:
+        return self.count(("article", "main"))
+
+    @property
+    def heading(self) -> bool:
+        return self.count(HEADINGS) > 0
+
+    def top(self) -> str:
+        return self.tags[-1] if self.tags else ""
+
+    def push(self, tag: str, around: bool, part: Part | None) -> None:
+        self.paragraphs.append((self.paragraphs[-1] if self.paragraphs else 0) + 1 if tag == "p" else 0)
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+        self.kinds.append((around, part))
+        self.around += around
+
+    def pop(self) -> Part | None:
+        tag, (around, part) = self.tags.pop(), self.kinds.pop()
+        self.paragraphs.pop()
+        self.places[tag].pop()
+        self.around -= around
+        return part
+
+    def place_to_close(self, tag: str) -> int | None:
+        """Where the element that an end tag closes is; None for a stray end tag."""
+        places = self.places.get(tag)
+        if not places:
+            return None
+        at = places[-1]
+        # A stray </p> does not close an article around it.
+        return None if tag == "p" and self.paragraphs[-1] < len(self.tags) - at else at
+
+
 def split_blocks(page: str) -> list[Block]:
-    """Cuts a page at block tags; elements that are left open are closed by their parents."""
+    """Cuts a page at block tags; elements that are left open are closed by their parents.
+
+    The time is in proportion to the page, however deep its elements are.
+    """
     blocks: list[Block] = []
     parts: list[Part] = []
-    stack: list[tuple[str, bool, bool, Part | None]] = []  # tag, around, article or main, named part
+    stack = Stack()
     pieces: list[str] = []
     links = anchors = mains = articles = 0
     place = 0
 
     def close(at: int) -> None:
-        for *_, part in stack[at:]:
-            if part:
+        while len(stack.tags) > at:
+            if part := stack.pop():
                 part.end, part.holds_main = len(blocks), mains > part.mains
-        del stack[at:]
 
-    def flush(heading: bool) -> None:
+    def flush() -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            around = any(s[1] for s in stack)
-            inside = any(s[2] for s in stack)
-            article = -1 if not inside else 0 if any(s[0] == "main" for s in stack) else articles
-            blocks.append(Block(text, min(links, len(text)), heading, around, inside, article))
+            inside = stack.inside > 0
+            article = -1 if not inside else 0 if stack.count(("main",)) else articles
+            blocks.append(Block(text, min(links, len(text)), stack.heading, stack.around > 0, inside, article))
         links = 0
 
-    def heading_open() -> bool:
-        return any(s[0] in HEADINGS for s in stack)
-
     def add(raw: str) -> None:
         nonlocal links
         pieces.append(raw)
@@ -208,10 +254,9 @@ def split_blocks(page: str) -> list[Block]:
             if tag == "a":
                 anchors = max(0, anchors - 1)
             if tag in BLOCKS:
-                flush(heading_open())
-                at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-                # A stray end tag does not close an article around it.
-                if at is not None and not (tag == "p" and any(s[0] != "p" for s in stack[at:])):
+                flush()
+                at = stack.place_to_close(tag)
+                if at is not None:
                     close(at)
             continue
         if tag == "a":
@@ -219,14 +264,13 @@ def split_blocks(page: str) -> list[Block]:
         if tag == "br":
             pieces.append(" ")
         if tag in BLOCKS:
-            flush(heading_open())
-            if stack and stack[-1][0] == "p":
-                close(len(stack) - 1)
-            closes = CLOSES.get(tag, ())
-            if stack and stack[-1][0] in closes:
-                close(len(stack) - 1)
+            flush()
+            if stack.top() == "p":
+                close(len(stack.tags) - 1)
+            if stack.top() in CLOSES.get(tag, ()):
+                close(len(stack.tags) - 1)
             if tag not in VOID and not m[3].rstrip().endswith("/"):
-                outer = any(s[2] for s in stack)
+                outer = stack.inside > 0
                 articles += tag == "article" and not outer
                 inside = outer or tag in ("article", "main")
                 found = attributes(m[3]) if m[3] else {}
@@ -235,10 +279,10 @@ def split_blocks(page: str) -> list[Block]:
                 if said := part_of(tag, found, inside):
                     part = Part(said, len(blocks), mains)
                     parts.append(part)
-                stack.append((tag, is_around(tag, found, inside), tag in ("article", "main"), part))
+                stack.push(tag, is_around(tag, found, inside), part)
     if place < len(page):
         add(page[place:])
-    flush(heading_open())
+    flush()
     close(0)
     mark_parts(blocks, parts)
     return blocks
@@ -334,24 +378,48 @@ def stop_density(text: str) -> float:
     return stops / max(1, n)
 
 
-def classify(block: Block) -> str:
+# Scripts whose characters are syllables or words and stand without blanks.
+DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af]")
+
+
+def weight(text: str) -> int:
+    """Length of a text, with characters of dense scripts counted as three."""
+    return len(text) + 2 * len(DENSE.findall(text))
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether some longer block of text is written in a language of the stop words."""
+    return any(
+        len(b.text) >= SHORT_CHARS
+        and b.link_chars <= MAX_LINK_DENSITY * len(b.text)
+        and stop_density(b.text) >= STOP_HIGH
+        for b in blocks
+    )
+
+
+def classify(block: Block, known: bool = True) -> str:
     """First pass: good, bad, near-good or short, from the block alone.
 
-    Link density decides first, then stop-word density and length. Where the page
-    marks its article, a block in it is bad only for its links or its part, and
-    one of few stop words is left to its neighbours.
+    Link density decides first, then stop-word density and length; on a page of
+    no known language length alone. Where the page marks its article, a block in
+    it is bad only if it is nearly all link or for its part, and one of few stop
+    words is left to its neighbours.
     """
-    if block.around or block.link_chars > MAX_LINK_DENSITY * len(block.text):
+    most = MAX_LINKS_INSIDE if block.inside else MAX_LINK_DENSITY
+    if block.around or block.link_chars > most * len(block.text):
         return "bad"
     if block.inside:
         return "good" if stop_density(block.text) >= STOP_LOW else "near-good"
     if COPYRIGHT.match(block.text):
         return "bad"
-    if len(block.text) < SHORT_CHARS:
+    length = len(block.text) if known else weight(block.text)
+    if length < SHORT_CHARS:
         return "bad" if block.link_chars else "short"
+    if not known:
+        return "good" if length >= LONG_CHARS else "near-good"
     density = stop_density(block.text)
     if density >= STOP_HIGH:
-        return "good" if len(block.text) >= LONG_CHARS else "near-good"
+        return "good" if length >= LONG_CHARS else "near-good"
     return "near-good" if density >= STOP_LOW else "bad"
 
 
@@ -370,7 +438,8 @@ def marks_article(blocks: list[Block]) -> bool:
     places = {b.article for b in own}
     if 0 in places or (len(places) == 1 and length >= LONG_CHARS):
         return True
-    return length >= sum(len(b.text) for b in blocks if not b.inside and classify(b) == "good")
+    known = known_language(blocks)
+    return length >= sum(len(b.text) for b in blocks if not b.inside and classify(b, known) == "good")
 
 
 def label_blocks(blocks: list[Block]) -> None:
@@ -383,10 +452,10 @@ def label_blocks(blocks: list[Block]) -> None:
     decided, near-good is good and short is bad. Where the page marks an article,
     blocks outside are bad.
     """
-    marked = marks_article(blocks)
+    marked, known = marks_article(blocks), known_language(blocks)
     for b in blocks:
         b.inside &= marked
-        b.label = classify(b) if b.inside or not marked else "bad"
+        b.label = classify(b, known) if b.inside or not marked else "bad"
     decided = [i for i, b in enumerate(blocks) if b.label in ("good", "bad")]
     first = [b.label for b in blocks]
     for i, b in enumerate(blocks):
