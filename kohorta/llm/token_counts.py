@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+import os
+import re
+from functools import lru_cache
 
-import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from kohorta.llm.common import WordCache, claim, map_rows, query, read_table
 
 LIMIT = 2048
-# Pieces of the vocabulary's tokenizer (fixed by the file's format).
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# Pieces of the vocabulary's tokenizer (fixed by the file's format); L, N and S stand for letters, numbers, white space.
+PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[L]+|[N]|[^SLN]+"
 WORD_END = "</w>"
 
 
@@ -24,6 +25,57 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+# Planes with assigned characters; all others are neither letters nor numbers nor white space.
+PLANES = (range(0xD800), range(0xE000, 0x40000), range(0xE0000, 0xE1000))
+
+
+def character_classes(tokenizer) -> dict[str, str]:
+    """Letters, numbers and white space as the library's own pattern knows them.
+
+    Libraries follow different versions of Unicode, so the library is asked: with
+    a letter behind it a letter stays in one piece, white space is no piece, and
+    with a sign behind it any other sign stays in one piece.
+    """
+    codes = [c for plane in PLANES for c in plane]
+
+    def pieces(after: str) -> dict[int, int]:
+        text = "".join(chr(c) + after + "\n" for c in codes)
+        return dict(span for _, span in tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    by_letter, by_sign = pieces("a"), pieces("!")
+    found: dict[str, list[int]] = {"L": [], "N": [], "S": []}
+    for i, c in enumerate(codes):
+        at = 3 * i
+        if at not in by_letter:
+            found["S"].append(c)
+        elif by_letter[at] == at + 2:
+            found["L"].append(c)
+        elif by_sign.get(at) != at + 2:
+            found["N"].append(c)
+    return {name: ranges(members) for name, members in found.items()}
+
+
+@lru_cache(4)
+def piece_pattern(path: str) -> str:
+    """The pattern of the pieces with the classes written out."""
+    from tokenizers import Tokenizer
+
+    pattern = PIECES
+    for name, members in character_classes(Tokenizer.from_file(path)).items():
+        pattern = pattern.replace(name, members)
+    return pattern
+
+
+def ranges(codes: list[int]) -> str:
+    """Rising code points as the inside of a character class."""
+    out, start = [], 0
+    for i, c in enumerate(codes):
+        if i + 1 == len(codes) or codes[i + 1] != c + 1:
+            out.append(f"\\U{codes[start]:08x}-\\U{c:08x}")
+            start = i + 1
+    return "".join(out)
+
+
 class MergeCounter:
     """Counts the tokens of a text; no token identifier is ever looked up.
 
@@ -32,7 +84,7 @@ class MergeCounter:
     in a linked list until none is left. Tokens = symbols - merges.
     """
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, pattern: str | None = None, cache: int = 500_000):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         symbols = byte_symbols()
@@ -47,8 +99,14 @@ class MergeCounter:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[number(left) << 32 | number(right)] = rank
             self.merged.append(number(left + right))
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        # Its normalizer and its pattern are used, never its merges or ids.
+        self.normalize = Tokenizer.from_file(path).normalizer.normalize_str
+        self.piece_pattern = re.compile(pattern or piece_pattern(path))
         special = [t["content"] for t in data["added_tokens"]]
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.marks = tuple({t[:2] for t in special})
         self.pieces = WordCache(self.count_piece, cache)
         self.words = WordCache(self.count_word, cache)
@@ -96,12 +154,8 @@ class MergeCounter:
 
     def count_word(self, word: str) -> int:
         """Tokens of the text between two spaces."""
-        if not word.isascii():
-            # Lower case per character: the final sigma has no rule of its own.
-            word = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
-        else:
-            word = word.lower()
-        return sum(self.pieces[p] for p in PIECES.findall(word))
+        word = word.lower() if word.isascii() else self.normalize(word)
+        return sum(self.pieces[p] for p in self.piece_pattern.findall(word))
 
     def count(self, text: str) -> int:
         if self.special is None or not any(m in text for m in self.marks):
@@ -113,10 +167,10 @@ class MergeCounter:
 _COUNTERS: dict[str, MergeCounter] = {}
 
 
-def counter(path: str) -> MergeCounter:
+def counter(path: str, pattern: str | None = None) -> MergeCounter:
     """One counter per worker and vocabulary; its caches outlive a task."""
     if path not in _COUNTERS:
-        _COUNTERS[path] = MergeCounter(path)
+        _COUNTERS[path] = MergeCounter(path, pattern)
     return _COUNTERS[path]
 
 
@@ -135,9 +189,11 @@ def token_counts(
     token; repeated rows and missing ids are counted like any other.
     """
 
+    pattern = piece_pattern(path)  # asked of the library once, not by every worker
+
     def rows(keys, texts):
         claim("token_counts", _COUNTERS.clear)
-        count = counter(path).count
+        count = counter(path, pattern).count
         for k, t in zip(keys, texts):
             t = t or ""
             n = count(t)
