@@ -12,14 +12,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kohorta.functions import tails
-from kohorta.operators.ordered import running_totals
+from kohorta.functions.efron import tie_sums
+from kohorta.operators.ordered import event_sequence, running_totals
+from kohorta.operators.timeline import SLICE, Timeline, lay_out, numbers, runs
 from kohorta.session import durable, settled
 
-EFRON_STEPS = 10_000
-
 
 def _complete(df: DataFrame, *columns: str) -> DataFrame:
     known = df
@@ -72,69 +73,61 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by: str | None = None) ->
     )
 
 
-def _counts_by_level(
-    df: DataFrame, time: str, event: str, by: str, levels: Sequence
-) -> DataFrame:
-    """Event times with events d_i and at-risk numbers r_i per level."""
-    is_level = [F.col(by) == F.lit(v) for v in levels]
-    e = F.col(event).cast("bigint")
-    counts = df.groupBy(time).agg(
-        *[F.sum(F.when(t, e).otherwise(0)).alias(f"d_{i}") for i, t in enumerate(is_level)],
-        *[F.sum(F.when(t, 1).otherwise(0)).alias(f"n_{i}") for i, t in enumerate(is_level)],
+def _cells(rows: DataFrame, time: str, event: str, by: str) -> DataFrame:
+    """Events and rows per (time, level) that is there; no time is filled up with levels."""
+    return settled(
+        rows.groupBy(time, by).agg(F.sum(F.col(event).cast("bigint")).alias("d"), F.count(F.lit(1)).alias("n"))
     )
-    k = range(len(levels))
-    risk = running_totals(counts, [], [f"-{time}"], {f"r_{i}": f"n_{i}" for i in k})
-    d = sum((F.col(f"d_{i}") for i in k), F.lit(0))
-    return risk.withColumn("d", d).filter(F.col("d") > 0)
 
 
-def _risk_by_level(df: DataFrame, time: str, event: str, by: str, levels: Sequence) -> DataFrame:
-    """One row per event time and level: events and at-risk numbers, own and of all.
+def _at_times(cells: DataFrame, time: str) -> DataFrame:
+    """Per time the weight ``c`` of the covariance, and sums over the times up to it.
 
-    Levels are rows, so their number is not bounded by the width of a table.
+    A row is at risk at its own time and all before, so what a level has at risk
+    over all event times is a sum over its own cells of such a running sum.
     """
-    e = F.col(event).cast("bigint")
-    cells = df.filter(F.col(by).isin(list(levels))).groupBy(time, by).agg(
-        F.sum(e).alias("d"), F.count(F.lit(1)).alias("n")
-    )
-    # A time has at most one cell per level; levels without one are filled in.
-    times = cells.groupBy(time).agg(
-        F.map_from_entries(F.collect_list(F.struct(by, F.struct("d", "n")))).alias("__cells"),
-        F.sum("d").alias("d"),
-        F.sum("n").alias("__n"),
-    )
-    times = running_totals(times, [], [f"-{time}"], {"r": "__n"})
-    each = times.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels])))
-    cell = F.try_element_at("__cells", F.col("__level"))
-    each = each.select(
-        time, "d", "r", F.col("__level").alias(by),
-        F.coalesce(cell.getField("d"), F.lit(0)).alias("d_i"),
-        F.coalesce(cell.getField("n"), F.lit(0)).alias("__n_i"),
-    )
-    risk = running_totals(each, [by], [f"-{time}"], {"r_i": "__n_i"}).filter(F.col("d") > 0)
+    times = cells.groupBy(time).agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    risk = running_totals(times, [], [f"-{time}"], {"r": "n"})
     d, r = F.col("d"), F.col("r").cast("double")
-    return risk.select(
-        time, by, "d_i", d.alias("d"),
-        (F.col("r_i") / r).alias("share"),
-        F.when(r > 1, d * (r - d) / (r - 1)).otherwise(F.lit(0.0)).alias("spread"),
-    )
+    spread = F.when((d > 0) & (r > 1), d * (r - d) / (r - 1)).otherwise(F.lit(0.0))
+    terms = risk.select(time, (d / r).alias("e"), (spread / r).alias("s"), (spread / r / r).alias("c"))
+    return settled(running_totals(terms, [], [time], {"upto_e": "e", "upto_s": "s", "upto_c": "c"}))
+
+
+def _by_level(cells: DataFrame, at: DataFrame, time: str, by: str) -> DataFrame:
+    """Observed and expected events, diagonal and variance of every level."""
+    own = running_totals(cells, [by], [f"-{time}"], {"r_i": "n"})
+    n = F.col("n")
+    return own.join(at, time).groupBy(by).agg(
+        F.sum("d").alias("observed"),
+        F.sum(n * F.col("upto_e")).alias("expected"),
+        F.sum(n * F.col("upto_s")).alias("diagonal"),
+        # The squared number at risk grows by n (2 r - n) at a cell.
+        F.sum(n * F.col("upto_s") - n * (2 * F.col("r_i") - n) * F.col("upto_c")).alias("variance"),
+    )
 
 
 def log_rank(
     df: DataFrame, time: str, event: str, by: str, levels: Sequence | None = None
 ) -> DataFrame:
-    """Per stratum: observed and expected events and the variance of the difference."""
+    """Per stratum: observed and expected events and the variance of the difference.
+
+    The work follows the cells that are there, not times by strata. With
+    ``levels`` those have a row each, also without data.
+    """
     rows = _complete(df, time, event, by)
-    levels = _levels(rows, by, levels)
+    if levels is not None:
+        rows = rows.filter(F.col(by).isin(list(levels)))
+    cells = _cells(rows, time, event, by)
+    out = _by_level(cells, _at_times(cells, time), time, by).select(by, "observed", "expected", "variance")
+    if levels is None:
+        return out
+    named = df.sparkSession.createDataFrame([(x,) for x in levels], df.select(by).schema)
     if not levels:
-        return rows.groupBy(by).agg(*[F.lit(None).cast("double").alias(c) for c in ("observed", "expected", "variance")])
-    at = _risk_by_level(rows, time, event, by, levels)
-    share = F.col("share")
-    return at.groupBy(by).agg(
-        F.sum("d_i").alias("observed"),
-        F.sum(F.col("d") * share).alias("expected"),
-        F.sum(F.col("spread") * share * (1.0 - share)).alias("variance"),
-    )
+        return out
+    zero = {"observed": 0, "expected": 0.0, "variance": 0.0}
+    seen = named.join(out, by, "left")
+    return seen.select(by, *[F.coalesce(F.col(c), F.lit(z).cast(dict(out.dtypes)[c])).alias(c) for c, z in zero.items()])
 
 
 def log_rank_test(
@@ -143,54 +136,96 @@ def log_rank_test(
     """Chi-square statistic, degrees of freedom and p-value between the strata.
 
     With fewer than two strata there is nothing to compare: statistic and p-value
-    are missing.
+    are missing. The covariance of the strata is never formed: the statistic comes
+    from conjugate gradients, each of whose products is a pass over the cells. Per
+    stratum the driver holds a few numbers.
     """
     rows = _complete(df, time, event, by)
-    levels = _levels(rows, by, levels)
-    k = len(levels) - 1
-    if k < 1:
-        return {"statistic": None, "df": 0, "p_value": None}
-    at = durable(_risk_by_level(rows, time, event, by, levels))
-    sums = {
-        r[by]: r
-        for r in at.groupBy(by)
-        .agg(
-            F.sum(F.col("d_i") - F.col("d") * F.col("share")).alias("diff"),
-            F.sum(F.col("spread") * F.col("share") * (1.0 - F.col("share"))).alias("v"),
-        )
-        .collect()
-    }
-    if not sums:
-        return {"statistic": None, "df": k, "p_value": None}
-    # The last stratum follows from the others.
-    used = levels[:-1]
-    place = {v: i for i, v in enumerate(used)}
-    cov = np.diag([float(sums[v]["v"]) for v in used])
-    one = at.filter(F.col(by).isin(used))
-    two = one.select(time, F.col(by).alias("__other"), F.col("share").alias("__share"))
-    both = one.join(two, time).filter(F.col(by) < F.col("__other")).groupBy(by, "__other")
-    for r in both.agg(F.sum(-F.col("spread") * F.col("share") * F.col("__share")).alias("v")).collect():
-        i, j = place[r[by]], place[r["__other"]]
-        cov[i, j] = cov[j, i] = r["v"]
-    diff = np.array([float(sums[v]["diff"]) for v in used])
-    stat = float(diff @ np.linalg.pinv(cov) @ diff)
+    if levels is not None:
+        rows = rows.filter(F.col(by).isin(list(levels)))
+    cells = _cells(rows, time, event, by)
+    at = _at_times(cells, time)
+    strata = event_sequence(durable(_by_level(cells, at, time, by)), [], [by], "number")
+    strata = durable(strata.select(by, (F.col("number") - 1).alias("level"), "observed", "expected", "diagonal"))
+    found = strata.select("level", (F.col("observed") - F.col("expected")).alias("difference"), "diagonal").toPandas()
+    k = (len(found) if levels is None else len(levels)) - 1
+    if k < 1 or not len(found):
+        return {"statistic": None, "df": max(k, 0), "p_value": None}
+    found = found.sort_values("level")
+    placed = cells.join(strata.select(by, "level"), by).join(at.select(time, "c"), time)
+    line = lay_out(placed.select(time, "level", "n", "c"), time)
+    stat = _quadratic_form(
+        found["difference"].to_numpy(), found["diagonal"].to_numpy(), lambda v: _covariance_times(line, v, found["diagonal"].to_numpy())
+    )
     return {"statistic": stat, "df": k, "p_value": tails.chi_square(stat, k)}
 
 
-def _efron_rows(at: DataFrame) -> DataFrame:
-    """Split the tied events of a time into runs, so no row loops without bound."""
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("d") - 1, F.lit(EFRON_STEPS).cast("bigint"))
-    out = at.withColumn("j0", F.explode(starts))
-    return out.withColumn("j1", F.least(F.col("j0") + EFRON_STEPS, F.col("d")) - 1)
+def _quadratic_form(b: np.ndarray, diagonal: np.ndarray, times: Callable[[np.ndarray], np.ndarray]) -> float:
+    """b' V^+ b by conjugate gradients, preconditioned with the diagonal.
 
-
-def _over_ties(runs: DataFrame) -> DataFrame:
-    """One row per tied event, with the share ``f`` of the ties before it.
-
-    The rows live only inside the task that sums them.
+    V has no inverse (its rows sum to zero), but b is in its range, so the steps
+    converge to one of the solutions, which all give the same form.
     """
-    steps = runs.withColumn("j", F.explode(F.sequence("j0", "j1")))
-    return steps.withColumn("f", F.col("j") / F.col("d"))
+    used = diagonal > 1e-12 * max(diagonal.max(), 0.0)
+    inverse = np.where(used, 1.0 / np.where(used, diagonal, 1.0), 0.0)
+    x, r = np.zeros_like(b), np.where(used, b, 0.0)
+    z = inverse * r
+    p, rz = z, float(r @ z)
+    first = rz
+    for _ in range(10 * len(b) + 50):
+        if rz <= 1e-26 * first or rz == 0.0:
+            break
+        q = np.where(used, times(p), 0.0)
+        step = rz / float(p @ q)
+        x, r = x + step * p, r - step * q
+        z = inverse * r
+        rz, before = float(r @ z), rz
+        p = z + rz / before * p
+    return float(b @ x)
+
+
+def _covariance_times(line: Timeline, v: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """V v: the diagonal times v, less the sum over times of c r (r'v).
+
+    r'v at a time is a running sum of n v over the cells from the latest time on;
+    summed with the weights c up to each cell's time and added up per level it
+    gives the product, without a level's numbers at risk ever being written out.
+    """
+    time = line.time
+
+    def masses(part):
+        starts = runs(part, time)
+        n, c = numbers(part, "n", "c")
+        return starts, n, c[starts], np.add.reduceat(n * v[part.column("level").to_numpy()], starts)
+
+    later = [0.0] * line.slices  # r'v from the slices of later times
+    earlier = [0.0] * line.slices  # weighted sums over the slices of earlier times
+    if line.slices > 1:
+        found = line.by_slice(lambda _, part: [(float(masses(part)[3].sum()),)], "mass double")
+        for s in range(1, line.slices):
+            later[s] = later[s - 1] + found.get(s - 1, [0.0])[0]
+
+        def weighted(number, part):
+            _, _, c, mass = masses(part)
+            return [(float((c * (later[number] + np.cumsum(mass))).sum()),)]
+
+        found = line.by_slice(weighted, "mass double")
+        for s in range(line.slices - 2, -1, -1):
+            earlier[s] = earlier[s + 1] + found.get(s + 1, [0.0])[0]
+
+    def products(number, part):
+        starts, n, c, mass = masses(part)
+        y = c * (later[number] + np.cumsum(mass))
+        upto = earlier[number] + y.sum() - np.cumsum(y) + y
+        each = n * np.repeat(upto, np.diff(np.append(starts, len(n))))
+        level, place = np.unique(part.column("level").to_numpy(), return_inverse=True)
+        return zip(level.tolist(), np.bincount(place, each).tolist())
+
+    sums = line.each(products, "level bigint, value double").groupBy("level").agg(F.sum("value").alias("value"))
+    sums = sums.toPandas()
+    out = diagonal * v
+    out[sums["level"].to_numpy()] -= sums["value"].to_numpy()
+    return out
 
 
 @dataclass(frozen=True)
@@ -237,50 +272,101 @@ def _newton(
     return Fit(beta, np.linalg.pinv(info), False, steps)
 
 
+def _with_earlier_risk(line: Timeline, levels: int) -> Timeline:
+    """Each slice with what the levels have at risk from the slices before it.
+
+    Such rows have no events and come first, with the slice's latest time, so a
+    slice needs no other to be worked on.
+    """
+    table, time = line.table, line.time
+    spark = table.sparkSession
+    counts = table.groupBy(SLICE, "level").agg(F.sum("n").alias("n"))
+    grid = spark.range(line.slices).select(
+        F.col("id").cast("int").alias(SLICE), F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    )
+    before = Window.partitionBy("level").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = grid.join(counts, [SLICE, "level"], "left").withColumn("n", F.sum("n").over(before)).filter("n > 0")
+    latest = table.groupBy(SLICE).agg(F.max(time).alias(time))
+    carried = carried.join(latest, SLICE).select(time, "level", "n", F.lit(0).cast("bigint").alias("d"), SLICE, F.lit(0).alias("own"))
+    both = table.select(time, "level", "n", "d", SLICE, F.lit(1).alias("own")).unionByName(carried)
+    both = both.repartition(line.slices, SLICE).sortWithinPartitions(SLICE, "own", F.col(time).desc())
+    return Timeline(durable(both), time, line.slices)
+
+
+# Numbers (times by levels) of a slice that are worked on at once.
+CELLS_AT_ONCE = 1_000_000
+
+
 def _cox_levels(df: DataFrame, time: str, event: str, by: str, levels: Sequence) -> Fit:
-    """Coefficients of a categorical covariate against its first level."""
-    k = range(len(levels))
-    at = durable(_efron_rows(_counts_by_level(df, time, event, by, levels)))
-    first_run = F.col("j0") == 0
-    seen = at.filter(first_run).agg(*[F.sum(f"d_{i}").alias(f"o_{i}") for i in k]).first()
-    events = np.array([float(seen[f"o_{i}"]) for i in k])
-    free = range(1, len(levels))
+    """Coefficients of a categorical covariate against its first level.
 
-    def moments(beta: np.ndarray):
-        weight = [1.0, *np.exp(beta)]
-        all_risk = sum((F.col(f"r_{i}") * F.lit(float(weight[i])) for i in k), F.lit(0.0))
-        all_ties = sum((F.col(f"d_{i}") * F.lit(float(weight[i])) for i in k), F.lit(0.0))
-        f = F.col("f")
-        rows = _over_ties(at).withColumn("mass", all_risk - f * all_ties)
-        rows = rows.withColumns(
-            {
-                f"p_{i}": F.lit(float(weight[i])) * (F.col(f"r_{i}") - f * F.col(f"d_{i}")) / F.col("mass")
-                for i in free
-            }
-        )
-        sums = [F.sum(F.log("mass")).alias("l")]
-        sums += [F.sum(f"p_{i}").alias(f"g_{i}") for i in free]
-        sums += [
-            F.sum(F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"h_{i}_{j}")
-            for i in free
-            for j in free
-            if j >= i
-        ]
-        s = rows.agg(*sums).first()
-        score = np.array([events[i] - s[f"g_{i}"] for i in free])
-        info = np.array(
-            [
-                [(s[f"g_{i}"] if i == j else 0.0) - s[f"h_{min(i, j)}_{max(i, j)}"] for j in free]
-                for i in free
-            ]
-        )
-        return float(events[1:] @ beta) - s["l"], score, info
+    A step is one pass over the cells: in numpy each slice adds its share to the
+    likelihood, the score and the matrix of second derivatives, and the entries
+    of those are added up by Spark.
+    """
+    spark, p = df.sparkSession, len(levels)
+    named = spark.createDataFrame(list(zip(levels, range(p))), df.select(by).withColumn("level", F.lit(0)).schema)
+    cells = _cells(df, time, event, by).join(named, by).select(time, "level", "n", "d")
+    line = lay_out(durable(cells), time)
+    events = np.zeros(p)
+    for r in line.table.groupBy("level").agg(F.sum("d").alias("d")).collect():
+        events[r["level"]] = r["d"]
+    line = _with_earlier_risk(line, p) if line.slices > 1 else Timeline(line.table.withColumn("own", F.lit(1)), time, 1)
+    upper = np.triu_indices(p)
 
-    return _newton(moments, len(levels) - 1)
+    def moments(beta: np.ndarray):
+        free = np.concatenate(([0.0], beta))
+        top = free.max()
+        weight = np.exp(free - top)
+
+        def work(_, part):
+            own = part.column("own").to_numpy() == 1
+            level, (n, d) = part.column("level").to_numpy(), numbers(part, "n", "d")
+            at_risk = np.bincount(level[~own], n[~own], p)
+            part, level, n, d = part.filter(pa.array(own)), level[own], n[own], d[own]
+            starts = runs(part, time)
+            row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
+            value, score, info = 0.0, np.zeros(p), np.zeros((p, p))
+            step = max(1, CELLS_AT_ONCE // p)
+            for a in range(0, len(starts), step):
+                here = slice(starts[a], starts[a + step] if a + step < len(starts) else len(n))
+                size = min(step, len(starts) - a)
+                place = (row[here] - a) * p + level[here]
+                risk = np.bincount(place, n[here], size * p).reshape(size, p).cumsum(0) + at_risk
+                at_risk = risk[-1]
+                dead = np.bincount(place, d[here], size * p).reshape(size, p)
+                some = dead.sum(1) > 0
+                risk, dead, ties = risk[some] * weight, dead[some] * weight, dead[some].sum(1)
+                a_mass, b_mass = risk.sum(1), dead.sum(1)
+                log, first, second = tie_sums(a_mass, b_mass, ties)
+                value += float((ties * np.log(a_mass) + log).sum())
+                q = risk / a_mass[:, None]
+                u = np.divide(dead, b_mass[:, None], out=np.zeros_like(dead), where=b_mass[:, None] > 0)
+                score += q.T @ first - u.T @ (first - ties)
+                mixed = q.T @ ((second - first)[:, None] * u)
+                info += q.T @ (second[:, None] * q) - mixed - mixed.T + u.T @ ((second - 2 * first + ties)[:, None] * u)
+            return [([value, *score.tolist(), *info[upper].tolist()],)]
+
+        sums = line.each(work, "sums array<double>").select(F.posexplode("sums").alias("at", "value"))
+        sums = sums.groupBy("at").agg(F.sum("value").alias("value")).toPandas()
+        total = np.zeros(1 + p + len(upper[0]))
+        total[sums["at"].to_numpy()] = sums["value"].to_numpy()
+        score, info = total[1 : p + 1], np.zeros((p, p))
+        info[upper] = total[p + 1 :]
+        info = np.diag(score) - (info + np.triu(info, 1).T)
+        value = float(events[1:] @ beta) - total[0] - top * float(events.sum())
+        return value, (events - score)[1:], info[1:, 1:]
+
+    return _newton(moments, p - 1)
 
 
 def _cox_number(df: DataFrame, time: str, event: str, x: str) -> Fit:
-    """Coefficient of one numeric covariate."""
+    """Coefficient of one numeric covariate.
+
+    A step is a narrow pass over the cells, after one more that says what each
+    slice passes on where there are several. A time may run over several slices:
+    its ties travel on, and the slice where it ends counts it.
+    """
     e = F.col(event).cast("bigint")
     middle = df.agg(F.avg(x)).first()[0]
     cells = durable(
@@ -289,29 +375,63 @@ def _cox_number(df: DataFrame, time: str, event: str, x: str) -> Fit:
         )
     )
     weighted = cells.agg(F.sum(F.col("d") * F.col("x")).alias("s")).first()["s"]
+    line = lay_out(cells, "time", ["x"])
+    ends = {}
+    if line.slices > 1:
+        kind = dict(cells.dtypes)["time"]
+        ends = line.by_slice(
+            lambda _, part: [(part.column("time")[0].as_py(), part.column("time")[-1].as_py(), len(runs(part, "time")) == 1)],
+            f"first {kind}, last {kind}, single boolean",
+        )
+    order = sorted(ends)
+    goes_on = {s for s, following in zip(order, order[1:]) if ends[s][1] == ends[following][0]}
+
+    def masses(part, beta):
+        starts = runs(part, "time")
+        x, n, d = numbers(part, "x", "n", "d")
+        w = np.exp(beta * x)
+        risk = np.stack([n * w, n * w * x, n * w * x * x])
+        tied = np.stack([d, d * w, d * w * x, d * w * x * x])
+        return np.add.reduceat(risk, starts, axis=1), np.add.reduceat(tied, starts, axis=1)
 
     def moments(beta: np.ndarray):
-        w = F.exp(F.lit(float(beta[0])) * F.col("x"))
-        powers = [F.lit(1.0), F.col("x"), F.col("x") * F.col("x")]
-        per_time = cells.groupBy("time").agg(
-            F.sum("d").alias("d"),
-            *[F.sum(F.col("n") * w * p).alias(f"n_{i}") for i, p in enumerate(powers)],
-            *[F.sum(F.col("d") * w * p).alias(f"d_{i}") for i, p in enumerate(powers)],
-        )
-        risk = running_totals(per_time, [], ["-time"], {f"r_{i}": f"n_{i}" for i in range(3)})
-        rows = _over_ties(_efron_rows(risk.filter(F.col("d") > 0)))
-        rows = rows.withColumns({f"s_{i}": F.col(f"r_{i}") - F.col("f") * F.col(f"d_{i}") for i in range(3)})
-        mean = F.col("s_1") / F.col("s_0")
-        out = rows.agg(
-            F.sum(F.log("s_0")).alias("l"),
-            F.sum(mean).alias("g"),
-            F.sum(F.col("s_2") / F.col("s_0") - mean * mean).alias("h"),
-        ).first()
-        return (
-            float(beta[0]) * weighted - out["l"],
-            np.array([weighted - out["g"]]),
-            np.array([[out["h"]]]),
-        )
+        b = float(beta[0])
+        carry: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        if line.slices > 1:
+
+            def totals(_, part):
+                risk, tied = masses(part, b)
+                return [(risk.sum(1).tolist(), tied[:, -1].tolist())]
+
+            found = line.by_slice(totals, "risk array<double>, tied array<double>")
+            risk, tied = np.zeros(3), np.zeros(4)
+            for s in order:
+                carry[s] = (risk, tied)
+                risk = risk + np.array(found[s][0])
+                # The ties of the last time travel on, with those that came along it.
+                own = np.array(found[s][1]) + (tied if ends[s][2] else 0.0)
+                tied = own if s in goes_on else np.zeros(4)
+
+        def work(number, part):
+            risk, tied = masses(part, b)
+            before, ties = carry.get(number, (np.zeros(3), np.zeros(4)))
+            risk = np.cumsum(risk, axis=1) + before[:, None]
+            tied[:, 0] += ties
+            if number in goes_on:
+                risk, tied = risk[:, :-1], tied[:, :-1]
+            some = tied[0] > 0
+            (r0, r1, r2), (d, d0, d1, d2) = risk[:, some], tied[:, some]
+            log, first, second = tie_sums(r0, d0, d)
+            q = r1 / r0
+            u1, u2 = (np.divide(v, d0, out=np.zeros_like(v), where=d0 > 0) for v in (d1, d2))
+            value = (d * np.log(r0) + log).sum()
+            score = (q * first - u1 * (first - d)).sum()
+            squares = q * q * second - 2 * q * u1 * (second - first) + u1 * u1 * (second - 2 * first + d)
+            info = (r2 / r0 * first - u2 * (first - d) - squares).sum()
+            return [(float(value), float(score), float(info))]
+
+        out = line.each(work, "l double, g double, h double").agg(*[F.sum(c).alias(c) for c in "lgh"]).first()
+        return b * weighted - out["l"], np.array([weighted - out["g"]]), np.array([[out["h"]]])
 
     return _newton(moments, 1)
 
@@ -332,7 +452,7 @@ def cox_univariable(
     """Proportional hazards model of one covariate, ties by Efron's method.
 
     Text covariates (or given ``levels``) are compared with their first level;
-    numbers get one coefficient. Each Newton step is one aggregate over counts.
+    numbers get one coefficient. Each Newton step is a pass over counts.
     Where the fit did not converge, ``converged`` is false and there is no
     standard error, limit or p-value.
     """

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,6 +37,23 @@ def build_session(app: str = "kohorta", cpus: int | str = "*", shuffle: int = 8)
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="kohorta-code-")) / "kohorta_code.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_TASK, str(ROWS_PER_TASK_DEFAULT)))
 
