@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from kohorta.session import durable
+from kohorta.sources.csv_records import read_records
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,19 +38,22 @@ CSV = {
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType | str,
+    schema: StructType | str | None = None,
     drop: Sequence[str] = (),
     missing: str = NOTHING,
 ) -> DataFrame:
-    """CSV with a header line and a stated schema; ``drop`` names index columns.
+    """CSV with a header line; ``drop`` names index columns.
 
     Sheets (such as the drug dimension) are read from their CSV export. A cell
     that does not fit its type is an error. A cell with nothing in it is missing;
-    ``missing`` may name a text (such as NA) that is missing too. A file with line breaks in cells is read by one task, so large tables
-    are best kept in many files, as ``write_csv`` leaves them.
+    ``missing`` may name a text (such as NA) that is missing too. Without a schema
+    the types are those that hold all cells. Files of any size are read in ranges,
+    also with line breaks in cells, where quotes are used as ``write_csv`` does:
+    around whole cells, and doubled inside.
     """
-    options = CSV | {"nullValue": missing, "mode": "FAILFAST", "multiLine": True, "emptyValue": "", "enforceSchema": False}
-    return spark.read.schema(schema).options(**options).csv(path).drop(*drop)
+    options = CSV | {"nullValue": missing, "mode": "FAILFAST", "multiLine": True, "emptyValue": ""}
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
+    return read_records(spark, path, schema, options).drop(*drop)
 
 
 def dated(base: str, day: dt.date | None = None) -> str:
