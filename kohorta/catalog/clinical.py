@@ -499,10 +499,65 @@ def cox_two_levels(spark, d):
     return fit.select("level", "n", "n_event", *[F.round(c, 6).alias(c) for c in _COX], "converged")
 
 
-@query("cox_univariable_levels")
+def _solved(p: int, source: str) -> str:
+    """SQL that inverts the p x p matrix h and multiplies it with g, pivot by pivot.
+
+    ``source`` has one row with g_i and h_i_j; the result has s_i, the solution, and v_i, the diagonal of the inverse.
+    """
+    k = range(p)
+    entries = [f"h_{i}_{j} AS a_{i}_{j}" for i in k for j in k] + [f"g_{i} AS a_{i}_{p}" for i in k]
+    entries += [f"{1.0 if i == j else 0.0}::DOUBLE AS a_{i}_{p + 1 + j}" for i in k for j in k]
+    sql = f"SELECT {', '.join(entries)} FROM ({source})"
+    width = 2 * p + 1
+    for r in k:
+        cells = [f"a_{r}_{c} / a_{r}_{r} AS a_{r}_{c}" for c in range(width)]
+        cells += [f"a_{i}_{c} - a_{i}_{r} * a_{r}_{c} / a_{r}_{r} AS a_{i}_{c}" for i in k if i != r for c in range(width)]
+        sql = f"SELECT {', '.join(cells)} FROM ({sql})"
+    return f"SELECT {', '.join([f'a_{i}_{p} AS s_{i}' for i in k] + [f'a_{i}_{p + 1 + i} AS v_{i}' for i in k])} FROM ({sql})"
+
+
+def _cox_levels_sql(column: str, levels: list[str], select: str, steps: int = 6) -> str:
+    """Newton steps for the levels of a text, against the first one, written out."""
+    k, p = range(len(levels)), len(levels) - 1
+    weight = lambda i: "1" if i == 0 else f"exp(b_{i - 1})"
+    parts = [
+        f"""c AS (SELECT time, sum(event)::DOUBLE AS d, {', '.join(f"count(*) FILTER ({column} = '{v}') AS n_{i}, coalesce(sum(event) FILTER ({column} = '{v}'), 0) AS d_{i}" for i, v in enumerate(levels))}
+              FROM surv GROUP BY time)""",
+        f"r AS (SELECT *, {', '.join(f'sum(n_{i}) OVER w AS r_{i}' for i in k)} FROM c WINDOW w AS (ORDER BY time DESC))",
+        f"j AS (SELECT {', '.join(f'r_{i} - j / d * d_{i} AS x_{i}' for i in k)} FROM (SELECT *, unnest(range(d::BIGINT)) AS j FROM r WHERE d > 0))",
+        f"o AS (SELECT {', '.join(f'sum(d_{i})::DOUBLE AS o_{i}' for i in k)} FROM c)",
+        f"b0 AS (SELECT {', '.join(f'0.0::DOUBLE AS b_{i}, 0.0::DOUBLE AS v_{i}' for i in range(p))})",
+    ]
+    for step in range(1, steps + 1):
+        mass = " + ".join(f"x_{i} * {weight(i)}" for i in k)
+        shares = ", ".join(f"x_{i} * {weight(i)} / ({mass}) AS q_{i}" for i in k)
+        sums = [f"any_value(o_{i + 1}) - sum(q_{i + 1}) AS g_{i}" for i in range(p)]
+        sums += [
+            f"sum({f'q_{i + 1}' if i == j else '0'} - q_{i + 1} * q_{j + 1}) AS h_{i}_{j}" for i in range(p) for j in range(p)
+        ]
+        source = f"SELECT {', '.join(sums)} FROM (SELECT {shares} FROM j, b{step - 1}), o"
+        new = ", ".join(f"b_{i} + s_{i} AS b_{i}, s.v_{i} AS v_{i}" for i in range(p))
+        parts.append(f"b{step} AS (SELECT {new} FROM b{step - 1} AS b, ({_solved(p, source)}) AS s)")
+    lines = [f"SELECT '{levels[0]}' AS level, 0.0::DOUBLE AS b, NULL::DOUBLE AS v"]
+    lines += [f"SELECT '{v}', b_{i}, v_{i} FROM b{steps}" for i, v in enumerate(levels[1:])]
+    return f"WITH {', '.join(parts)}, e AS ({' UNION ALL '.join(lines)}) {select}"
+
+
+@query(
+    "cox_univariable_levels",
+    _cox_levels_sql(
+        "c_mktsegment",
+        SEGMENTS,
+        f"""SELECT 'c_mktsegment' AS covariate, level, count(*) AS n, CAST(sum(event) AS BIGINT) AS n_event, round(any_value(b), 6) AS coef,
+                   any_value(round(exp(b), 6)) AS hazard_ratio, any_value(round(sqrt(v), 6)) AS std_err,
+                   any_value({_LOW}) AS conf_low, any_value({_HIGH}) AS conf_high,
+                   any_value(CASE WHEN v IS NOT NULL THEN {_P} END) AS p_value, TRUE AS converged
+            FROM e JOIN surv ON level = c_mktsegment GROUP BY level""",
+    ),
+)
 def cox_univariable_levels(spark, d):
     fit = sv.cox_univariable(v.surv(spark, d), "time", "event", "c_mktsegment")
-    return fit.withColumns({c: F.round(c, 6) for c, t in fit.dtypes if t == "double"})
+    return fit.withColumns({c: F.round(c, 6) for c, t in fit.dtypes if t == "double"}).drop("iterations")
 
 
 @query(

@@ -462,53 +462,70 @@ def pivot_multi_value(spark, d):
     )
 
 
-def _occurrences(k: int, columns: list[str]) -> str:
-    return ", ".join(f"max(CASE WHEN rn = {i} THEN {c} END) AS {c}_{i}" for c in columns for i in range(1, k + 1))
+def _paged(width: int, columns: list[str]) -> str:
+    return ", ".join(
+        f"max(CASE WHEN (rn - 1) % {width} = {i - 1} THEN {c} END) AS {c}_{i}" for c in columns for i in range(1, width + 1)
+    )
 
 
 _NUMBERED = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM ev"
 
 
-# More than any user has events in the test tables; one more would be an error.
-MOST_EVENTS = 120
-
-
 @query(
     "pivot_occurrence",
-    f"SELECT user_id, {_occurrences(MOST_EVENTS, ['cat', 'nval', 'day'])} FROM ({_NUMBERED}) GROUP BY user_id",
+    f"SELECT user_id, (rn - 1) // 20 AS page, {_paged(20, ['cat', 'nval', 'day'])} FROM ({_NUMBERED}) GROUP BY ALL",
 )
 def pivot_occurrence(spark, d):
     rows = v.ev(spark, d).select("user_id", "event_id", "cat", "nval", "day")
-    return w.pivot_occurrence(rows, "user_id", ["cat", "nval", "day"], MOST_EVENTS, ["event_id"])
+    return w.pivot_pages(rows, "user_id", ["cat", "nval", "day"], 20, ["event_id"])
 
 
 @query(
     "pivot_occurrence_k",
-    f"SELECT user_id, cat, {_occurrences(MOST_EVENTS, ['nval'])} FROM ({_NUMBERED}) GROUP BY user_id, cat",
+    f"SELECT user_id, cat, (rn - 1) // 9 AS page, {_paged(9, ['nval'])} FROM ({_NUMBERED}) GROUP BY ALL",
 )
 def pivot_occurrence_k(spark, d):
     rows = v.ev(spark, d).select("user_id", "event_id", "cat", "nval")
-    return w.pivot_occurrence(rows, "user_id", ["nval"], MOST_EVENTS, ["event_id"], lhs=["cat"])
+    return w.pivot_pages(rows, "user_id", ["nval"], 9, ["event_id"], lhs=["cat"])
 
 
-def _wide_cats(spark, d):
-    rows = v.ev(spark, d).select("user_id", "event_id", "cat")
-    return w.pivot_occurrence(rows, "user_id", ["cat"], None, ["event_id"])
+_LONG_CATS = f"SELECT user_id, 'cat_' || rn AS name, cat AS drug_name FROM ({_NUMBERED}) WHERE cat IS NOT NULL"
 
 
-_LONG_CATS = f"SELECT user_id, 'cat_' || rn AS name, cat AS drug_name FROM ({_NUMBERED}) WHERE cat IS NOT NULL"
+def _long_cats(spark, d):
+    rows = v.ev(spark, d).select("user_id", "event_id", "cat")
+    return w.occurrences_long(rows, "user_id", ["cat"], ["event_id"]).filter("cat IS NOT NULL")
 
 
 @query("unpivot_drop_null", _LONG_CATS)
 def unpivot_drop_null(spark, d):
-    wide = _wide_cats(spark, d)
-    return w.unpivot(wide, "user_id", wide.columns[1:], "name", "drug_name")
+    name = F.concat(F.lit("cat_"), F.col("occurrence"))
+    return _long_cats(spark, d).select("user_id", name.alias("name"), F.col("cat").alias("drug_name"))
 
 
 @query("items_per_key", f"SELECT user_id, count(*) AS n_items FROM ({_LONG_CATS}) GROUP BY user_id")
 def items_per_key(spark, d):
-    wide = _wide_cats(spark, d)
-    return w.items_per_key(wide, "user_id", wide.columns[1:])
+    return w.count_items(v.ev(spark, d), "user_id", "cat")
+
+
+_PAGE = f"SELECT user_id, (rn - 1) // 20 AS page, {_paged(20, ['cat'])} FROM ({_NUMBERED}) GROUP BY ALL"
+
+
+@query(
+    "unpivot_pages",
+    f"SELECT user_id, page, 'cat_' || ((rn - 1) % 20 + 1) AS name, cat AS drug_name FROM (SELECT *, (rn - 1) // 20 AS page FROM ({_NUMBERED})) WHERE cat IS NOT NULL",
+)
+def unpivot_pages(spark, d):
+    rows = v.ev(spark, d).select("user_id", "event_id", "cat")
+    wide = w.pivot_pages(rows, "user_id", ["cat"], 20, ["event_id"])
+    return w.unpivot(wide, ["user_id", "page"], wide.columns[2:], "name", "drug_name")
+
+
+@query("items_per_page", f"SELECT user_id, page, n_items FROM (SELECT user_id, page, {' + '.join(f'(cat_{i} IS NOT NULL)::BIGINT' for i in range(1, 21))} AS n_items FROM ({_PAGE})) WHERE n_items > 0")
+def items_per_page(spark, d):
+    rows = v.ev(spark, d).select("user_id", "event_id", "cat")
+    wide = w.pivot_pages(rows, "user_id", ["cat"], 20, ["event_id"])
+    return w.items_per_key(wide, ["user_id", "page"], wide.columns[2:])
 
 
 @query("occurrences_long", f"SELECT user_id, rn AS occurrence, cat, nval, day FROM ({_NUMBERED})")

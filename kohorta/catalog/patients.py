@@ -13,7 +13,7 @@ from kohorta.catalog.raw import raw
 from kohorta.catalog.registry import query
 from kohorta.functions import clinical as c
 from kohorta.functions.exprs import any_contains, yes_no
-from kohorta.operators.reshape import union_by_name
+from kohorta.operators.reshape import occurrence_rows, union_by_name
 from kohorta.plans import diagnosis as dx, local_treatment as lt, medication as md, patients as p, reports
 from kohorta.plans.base import KEY
 from kohorta.plans.derived import derive_variables
@@ -294,52 +294,34 @@ def _wide(names: dict[str, str], k: int) -> str:
     )
 
 
-# More treatments than any patient of the test tables has.
-MOST_TREATMENTS = 30
-
-
-def _filled(wide, names: dict[str, str], first: dict[str, str]):
-    """Cells 1 .. MOST_TREATMENTS under short names; those beyond the table are missing."""
-    beyond = [c for n in names for c in wide.columns if c.startswith(f"{n}_") and int(c.rsplit("_", 1)[1]) > MOST_TREATMENTS]
-    if beyond:
-        raise ValueError(f"not compared: {beyond}")
-    cells = []
-    for name, short in names.items():
-        for i in range(1, MOST_TREATMENTS + 1):
-            column = first.get(name, f"{name}_1") if i == 1 else f"{name}_{i}"
-            cell = F.col(column) if column in wide.columns else F.lit(None).cast("double")
-            cells.append(cell.alias(f"{short}_{i}"))
-    return cells
-
-
 @query(
     "clinical_radiation_wide",
-    f"""SELECT AvatarKey, RadiationTherapyInd AS radiation_ever, ever_first AS ever_first_rad_age,
-               {_wide({'start': 'start', 'dose': 'dose', 'stop': 'stop'}, MOST_TREATMENTS)},
-               CASE WHEN max(CASE WHEN nth = 1 THEN start END) > ever_first THEN 'Yes' END AS had_prior_radiation
-        FROM (SELECT *, row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_rad)
-        GROUP BY AvatarKey, RadiationTherapyInd, ever_first""",
+    """SELECT AvatarKey, RadiationTherapyInd AS radiation_ever, ever_first AS ever_first_rad_age, had_prior_radiation,
+               nth AS occurrence, start, dose, stop
+        FROM (SELECT *, CASE WHEN max(CASE WHEN nth = 1 THEN start END) OVER (PARTITION BY AvatarKey, RadiationTherapyInd, ever_first) > ever_first THEN 'Yes' END AS had_prior_radiation
+              FROM (SELECT *, row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_rad))
+        WHERE start IS NOT NULL OR dose IS NOT NULL OR stop IS NOT NULL""",
 )
 def clinical_radiation_wide(spark, d):
     cohort, index = _index(spark, d)
     wide = lt.radiation_wide(lt.radiation(raw(spark, d, "raw_rad"), cohort, index))
-    names = {"AgeAtRadiationStart": "start", "RadDose": "dose", "AgeAtRadiationStop": "stop"}
-    cells = _filled(wide, names, {"AgeAtRadiationStart": "age_at_first_radiation"})
-    return wide.select(KEY, "radiation_ever", "ever_first_rad_age", *cells, "had_prior_radiation")
+    wide = wide.withColumnRenamed("age_at_first_radiation", "AgeAtRadiationStart_1")
+    cells = {"AgeAtRadiationStart": "start", "RadDose": "dose", "AgeAtRadiationStop": "stop"}
+    return occurrence_rows(wide, [KEY, "radiation_ever", "ever_first_rad_age", "had_prior_radiation"], cells)
 
 
 @query(
     "clinical_surgery_wide",
-    f"""SELECT AvatarKey, SiteTherapeutic AS surgery_ever, ever_first AS ever_first_surgery_age, {_wide({'age': 'age'}, MOST_TREATMENTS)},
-               CASE WHEN max(CASE WHEN nth = 1 THEN age END) > ever_first THEN 'Yes' END AS had_prior_surgery
-        FROM (SELECT * EXCLUDE (nth), row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_surg)
-        GROUP BY AvatarKey, SiteTherapeutic, ever_first""",
+    """SELECT AvatarKey, SiteTherapeutic AS surgery_ever, ever_first AS ever_first_surgery_age, had_prior_surgery, nth AS occurrence, age
+        FROM (SELECT *, CASE WHEN max(CASE WHEN nth = 1 THEN age END) OVER (PARTITION BY AvatarKey, SiteTherapeutic, ever_first) > ever_first THEN 'Yes' END AS had_prior_surgery
+              FROM (SELECT * EXCLUDE (nth), row_number() OVER (PARTITION BY AvatarKey ORDER BY src, row_id) AS nth FROM c_surg))
+        WHERE age IS NOT NULL""",
 )
 def clinical_surgery_wide(spark, d):
     cohort, index = _index(spark, d)
     wide = lt.surgery_wide(lt.surgery(raw(spark, d, "raw_surg"), cohort, index))
-    cells = _filled(wide, {"AgeAtSurgeryBiopsy": "age"}, {"AgeAtSurgeryBiopsy": "age_at_first_surgery"})
-    return wide.select(KEY, "surgery_ever", "ever_first_surgery_age", *cells, "had_prior_surgery")
+    wide = wide.withColumnRenamed("age_at_first_surgery", "AgeAtSurgeryBiopsy_1")
+    return occurrence_rows(wide, [KEY, "surgery_ever", "ever_first_surgery_age", "had_prior_surgery"], {"AgeAtSurgeryBiopsy": "age"})
 
 
 @query(

@@ -126,6 +126,50 @@ def occurrences_long(
     return numbered.select(*as_list(key), *lhs, name, *values)
 
 
+def pivot_pages(
+    df: DataFrame, key, values: Sequence[str], width: int, order_by, lhs: Sequence[str] = (), page: str = "page"
+) -> DataFrame:
+    """``pivot_occurrence`` for any number of events: rows of ``width`` occurrences each.
+
+    Page 0 has ``{value}_1 .. {value}_width`` of occurrences 1 to width, page 1 the
+    next ones, and so on, so no key has a row that grows with its events, and a key
+    with very many events is numbered in slices and grouped by page.
+    """
+    n = F.col("__n")
+    numbered = event_sequence(df, key, order_by, "__n").select(
+        *as_list(key), *lhs, *values, F.floor((n - 1) / width).cast("bigint").alias(page), ((n - 1) % width + 1).alias("__slot")
+    )
+    cells = F.map_from_entries(F.collect_list(F.struct("__slot", F.struct(*values))))
+    wide = numbered.groupBy(*as_list(key), *lhs, page).agg(cells.alias("__cells"))
+    return wide.select(
+        *as_list(key), *lhs, page,
+        *[
+            F.try_element_at("__cells", F.lit(i).cast("bigint")).getField(v).alias(f"{v}_{i}")
+            for v in values
+            for i in range(1, width + 1)
+        ],
+    )
+
+
+def occurrence_rows(wide: DataFrame, ids, values: Mapping[str, str], name: str = "occurrence") -> DataFrame:
+    """Long form of ``{value}_1 ..`` columns, however many there are; empty occurrences are left out.
+
+    ``values`` maps the beginnings of column names to the names of the long columns.
+    """
+    found = {v: {int(c[len(v) + 1 :]): c for c in wide.columns if c.startswith(f"{v}_") and c[len(v) + 1 :].isdigit()} for v in values}
+    kinds = dict(wide.dtypes)
+    width = max((i for own in found.values() for i in own), default=0)
+    rows = []
+    for i in range(1, width + 1):
+        cells = [
+            (F.col(own[i]) if i in own else F.lit(None).cast(kinds[next(iter(own.values()))])).alias(values[v])
+            for v, own in found.items()
+        ]
+        rows.append(F.struct(F.lit(i).cast("bigint").alias(name), *cells))
+    long = wide.select(*as_list(ids), F.inline(F.array(*rows)))
+    return long.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in values.values()]))
+
+
 def unpivot(
     df: DataFrame,
     ids,
@@ -147,3 +191,8 @@ def items_per_key(df: DataFrame, key, columns: Sequence[str], name: str = "n_ite
     filled = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("bigint") for c in columns])
     counts = df.groupBy(*as_list(key)).agg(F.sum(filled).alias(name))
     return counts.filter(F.col(name) > 0)
+
+
+def count_items(df: DataFrame, key, value: str, name: str = "n_items") -> DataFrame:
+    """``items_per_key`` of the long form: rows with a value per key, for keys with at least one."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias(name))
