@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from itertools import chain
 from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kohorta.llm.common import WordCache, claim, durable, fresh, map_groups, map_rows, query, read_table
+from kohorta.llm.common import claim, durable, fresh, map_groups, map_rows, query, read_table
 from kohorta.llm.components import components
 
 WORDS = 5
@@ -22,18 +21,28 @@ STEP = 16
 # A pair is dropped when the posterior probability of reaching the threshold is below.
 TOLERANCE = 1e-6
 # A block of texts compared in one task: at most about this many texts and shingles.
-BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 500_000
 SALTS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(20240501).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+# A word's hash is the sum of its bytes' numbers times powers of an odd number.
+_BASE = 0x9E3779B97F4A7C55
+_BYTE = np.random.default_rng(20240502).integers(1, 2**63, 256, dtype=np.uint64)
+_SLICE = 1 << 18
+# The bytes at which ``bytes.split`` cuts.
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
-_WORDS = WordCache(_word_hash)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(_BASE, _SLICE + 1), _powers(pow(_BASE, -1, 1 << 64), _SLICE + 1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -41,34 +50,59 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _slices(data: bytes):
+    """Stretches of about _SLICE bytes that end with a word."""
+    at = 0
+    while at < len(data):
+        to = min(len(data), at + _SLICE)
+        while to < len(data) and not _BLANK[data[to]]:
+            to += 1
+        yield data[at:to]
+        at = to
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of ``data``, which are cut at ASCII white space.
+
+    All words of a slice at once: differences of a running sum, brought to the
+    same power. No word becomes an object and none is kept.
+    """
+    out = []
+    for part in _slices(data):
+        codes = np.frombuffer(part, np.uint8)
+        inside = np.concatenate(([False], ~_BLANK[codes], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        n = len(codes)
+        up, down = (_UP, _DOWN) if n <= _SLICE else (_powers(_BASE, n + 1), _powers(pow(_BASE, -1, 1 << 64), n + 1))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[codes] * up[:n], out=total[1:])
+        out.append(_mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the word 5-grams of each text.
 
     Words are cut at ASCII white space and lower-cased. A text of one to four
     words has one shingle, all its words; an empty or missing text has none.
     """
-    words = [(t or "").lower().encode("utf-8").split() for t in texts]
-    counts = [len(w) for w in words]
-    flat = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts))
-    out, start = [], 0
-    rolled = _mixed(flat)
-    if len(flat) >= WORDS:
-        n = len(flat) - WORDS + 1
-        rolled = np.zeros(n, np.uint64)
-        for i in range(WORDS):
-            rolled = rolled * _MIX + flat[i : i + n]
-        rolled = _mixed(rolled)
-    for n in counts:
+    out = []
+    for text in texts:
+        flat = word_hashes((text or "").lower().encode("utf-8"))
+        n = len(flat)
         if n >= WORDS:
-            out.append(np.unique(rolled[start : start + n - WORDS + 1]))
+            rolled = np.zeros(n - WORDS + 1, np.uint64)
+            for i in range(WORDS):
+                rolled = rolled * _MIX + flat[i : i + n - WORDS + 1]
+            out.append(np.unique(_mixed(rolled)))
         elif n:
-            total = np.uint64(n)
-            for h in flat[start : start + n]:
-                total = np.uint64((int(total) * int(_MIX) + int(h)) & 0xFFFFFFFFFFFFFFFF)
+            total = n
+            for h in flat.tolist():
+                total = (total * int(_MIX) + h) & 0xFFFFFFFFFFFFFFFF
             out.append(_mixed(np.array([total], np.uint64)))
         else:
-            out.append(np.zeros(0, np.uint64))
-        start += n
+            out.append(flat)
     return out
 
 
@@ -153,7 +187,7 @@ def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """doc_id, text_hash, node (identity of the shingle set), n_shingles, signature."""
 
     def rows(keys, texts, hashes):
-        claim("near_dedup", _WORDS.clear)
+        claim("near_dedup", list)
         sets = shingle_sets(texts)
         sig = iter(signatures(sets))
         for k, h, s in zip(keys, hashes, sets):
@@ -224,19 +258,19 @@ def exact_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, sim
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
-    row = np.repeat(np.arange(n), sizes)
-    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(times > 1)  # other shingles are in no intersection
-    place = np.full(len(times), -1)
-    place[shared] = np.arange(len(shared))
-    column = place[column]
-    row, column = row[column >= 0], column[column >= 0]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
+    order = np.argsort(flat)
+    row, flat = np.repeat(np.arange(n, dtype=np.int32), sizes)[order], flat[order]
+    new = np.concatenate(([True], flat[1:] != flat[:-1]))[: len(flat)]
+    del flat, order
+    # Shingles of one text only are in no intersection.
+    alone = new & np.append(new[1:], True)
+    row, new = row[~alone], new[~alone]
+    column = np.cumsum(new) - 1
+    n_shared = int(new.sum())
     both = np.zeros((n, n), np.float32)
-    for at in range(0, len(shared), 4096):
+    for at in range(0, n_shared, 4096):
         a, b = np.searchsorted(column, [at, at + 4096])
-        member = np.zeros((n, min(4096, len(shared) - at)), np.float32)
+        member = np.zeros((n, min(4096, n_shared - at)), np.float32)
         member[row[a:b], column[a:b] - at] = 1
         both += member @ member.T  # counts below 2^24 are exact in this type
     inside = both[left, right].astype(np.int64)
@@ -287,7 +321,7 @@ def near_duplicates(
     dealt = into_block_pairs(matched, "root", "blocks")
 
     def verify(key, nodes, copies, texts, blocks):
-        claim("near_dedup", _WORDS.clear)
+        claim("near_dedup", list)
         _, i, j = key
         # Repeated rows of the same document arrive together; one is enough.
         order = sorted({n: k for k, n in enumerate(nodes)}.items())
