@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -16,9 +18,10 @@ from kohorta.sources.tables import read_table
 
 __all__ = ["WordCache", "claim", "durable", "fresh", "map_groups", "map_rows", "query", "read_table", "small_batches"]
 
-# Texts can be long, so few of them travel in one Arrow batch.
-ROWS_PER_BATCH = 256
+# Texts can be long: an Arrow batch is bounded by rows and by bytes.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 256, 4 << 20
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,10 +64,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows of an Arrow batch, and so the memory of a Python worker."""
+    """Bounds an Arrow batch, and so the memory of a Python worker."""
     ship(spark)
-    if int(spark.conf.get(BATCH)) > ROWS_PER_BATCH:
+    if not 0 < int(spark.conf.get(BATCH)) <= ROWS_PER_BATCH:
         spark.conf.set(BATCH, str(ROWS_PER_BATCH))
+    spark.conf.set(BATCH_BYTES, str(BYTES_PER_BATCH))
 
 
 def map_rows(
@@ -165,6 +169,16 @@ def claim(owner: str, clear: Callable[[], None]) -> None:
             if name != owner:
                 forget()
         _OWNER[:] = [owner]
+        give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 class WordCache(dict):
