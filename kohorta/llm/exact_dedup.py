@@ -2,68 +2,93 @@
 
 from __future__ import annotations
 
-import hashlib
+import math
 import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kohorta.llm.common import durable, fresh, query, read_table, small_batches
+from kohorta.llm.common import durable, fresh, query, read_table
 from kohorta.session import shared_folder
 
 # A group of copies is dealt to this many partial groups before it is joined.
 SALTS = 64
+# A load goes through the index in this many ranges of doc_id, the largest first.
+RANGES = 4
+# Digests that a bucket of a new index is made for; a small index has LEAST_BUCKETS.
+DIGESTS_PER_BUCKET, LEAST_BUCKETS = 1_000_000, 8
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-@F.pandas_udf(StringType())
-def digest(texts: pd.Series) -> pd.Series:
-    """Hash of a text with A-Z lower-cased and nothing else; missing counts as empty."""
-    return pd.Series([hashlib.sha256((t or "").encode("utf-8").lower()).hexdigest() for t in texts])
+def digest(text: Column) -> Column:
+    """32 bytes that stand for a text with A-Z lower-cased and nothing else; missing counts as empty.
+
+    In a text of ASCII only, ``lower`` does the same as ``translate``, much faster.
+    """
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    ascii_only = F.length(text) == F.octet_length(text)
+    small = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, CAPITALS, SMALL))
+    return F.unhex(F.sha2(small.cast("binary"), 256))
 
 
 def digests(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id`` and the hash of its normalised text."""
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(key).alias("doc_id"), digest(text).alias("text_sha256"))
+    """One row per document: ``doc_id`` and the digest of its normalised text."""
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), digest(F.col(text)).alias("digest"))
 
 
 class DigestIndex:
     """All digests seen so far, in a table bucketed and sorted by digest.
 
-    ``append`` adds the digests that the table does not hold yet: both sides are
-    hashed and sorted alike, so the stored side of the anti-join is neither
-    shuffled nor sorted again. The table lives in the warehouse, or under
-    ``path``, and is opened by name in later runs.
+    ``append`` adds the digests that the table does not hold yet: the new rows are
+    shuffled to the table's buckets and merged with them in an anti-join, and what
+    is left is written bucket by bucket; the stored side is never shuffled. The
+    number of buckets follows from the first load and stays with the table, which
+    lives in the warehouse, or under ``path``, and is opened by name in later runs.
     """
 
-    def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int = 32):
-        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
+    SCHEMA = "digest binary, keep_id bigint, load string"
+
+    def __init__(self, spark: SparkSession, name: str, path: str | None = None):
+        self.spark, self.name, self.path = spark, name, path
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    def create(self, expected: int) -> None:
+        """An empty table with buckets for ``expected`` digests."""
+        buckets = max(LEAST_BUCKETS, 1 << (math.ceil(expected / DIGESTS_PER_BUCKET) - 1).bit_length())
+        self._write(self.spark.createDataFrame([], self.SCHEMA), buckets)
+
+    def buckets(self) -> int:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.name}").filter("col_name = 'Num Buckets'")
+        return int(described.first()["data_type"])
+
+    def _write(self, rows: DataFrame, buckets: int) -> None:
+        writer = rows.write.bucketBy(buckets, "digest").sortBy("digest").format("parquet").mode("append")
+        (writer.option("path", self.path) if self.path else writer).saveAsTable(self.name)
+
     def read(self) -> DataFrame:
         return self.spark.read.table(self.name)
 
     def new(self, groups: DataFrame) -> DataFrame:
         """The rows of ``groups`` (one per digest) that the index does not hold."""
-        if not self.exists():
-            return groups
-        return groups.hint("merge").join(self.read().select("text_sha256"), "text_sha256", "left_anti")
-
-    def append(self, groups: DataFrame) -> None:
-        """Adds the digests that are new; each digest stays in one row."""
-        writer = (
-            self.new(groups)
-            .select("text_sha256", "keep_id", "group_size")
-            .repartition(self.buckets, "text_sha256")
-            .write.bucketBy(self.buckets, "text_sha256")
-            .sortBy("text_sha256")
-            .format("parquet")
-            .mode("append")
-        )
-        (writer.option("path", self.path) if self.path else writer).saveAsTable(self.name)
+        return groups.hint("merge").join(self.read().select("digest"), "digest", "left_anti")
+
+    def append(self, groups: DataFrame, load: str) -> None:
+        """Adds the digests that are new; the anti-join leaves them in the table's buckets."""
+        rows = self.new(groups).select("digest", "keep_id", F.lit(load).alias("load"))
+        self._write(rows, self.buckets())
+
+
+def ranges(rows: DataFrame, parts: int = RANGES) -> list[Column]:
+    """Conditions that cut the rows by doc_id, the largest first, missing ids last."""
+    shares = [i / parts for i in range(1, parts)]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or []
+    key, upper, out = F.col("doc_id"), None, []
+    for cut in sorted(set(cuts), reverse=True):
+        out.append(key > cut if upper is None else (key > cut) & (key <= upper))
+        upper = cut
+    out.append(key.isNotNull() if upper is None else key <= upper)
+    return [*out, key.isNull()]
 
 
 def decide(digest_rows: DataFrame, index: DigestIndex) -> DataFrame:
@@ -74,45 +99,22 @@ def decide(digest_rows: DataFrame, index: DigestIndex) -> DataFrame:
     stays. A text that the index held before is not kept again: its keep_id is
     the one in the index. A group whose ids are all missing keeps one row.
 
-    Groups are counted in two steps, and a group's verdict returns to its rows
-    by (digest, salt), so a group with a third of all rows is spread out.
+    The rows go through the index range by range of doc_id, from the largest
+    down, each by anti-join and append: a text met in an earlier range is not
+    added again, so the index holds the id that stays, and all verdicts are read
+    from it by a merge with its buckets. Groups are counted in two steps, and a
+    group's verdict returns to its rows by (digest, salt), so a group with a third
+    of all rows is spread out.
     """
-    rows = digest_rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    # One row per distinct (text, id); repeated rows are counted.
-    rows = durable(rows.groupBy("text_sha256", "salt", "doc_id").agg(F.count(F.lit(1)).alias("times")))
-    part = rows.groupBy("text_sha256", "salt").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size")
-    )
-    part = durable(part)
-    groups = durable(
-        part.groupBy("text_sha256").agg(
-            F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
-        )
-    )
-    if index.exists():
-        stored = index.read().select(
-            F.col("text_sha256").alias("digest"), F.col("keep_id").alias("stored_id")
-        )
-        groups_seen = groups.hint("merge").join(stored, groups.text_sha256 == stored.digest, "left")
-        groups_seen = groups_seen.select(
-            "text_sha256",
-            F.when(F.col("digest").isNotNull(), F.col("stored_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-            "group_size",
-            F.col("digest").isNotNull().alias("seen_before"),
-        )
-        groups_seen = durable(groups_seen)
-    else:
-        groups_seen = groups.withColumn("seen_before", F.lit(False))
-    index.append(groups)
-    verdicts = part.select("text_sha256", "salt").join(groups_seen, "text_sha256")
+    rows = _counted(digest_rows)
+    out = rows.join(_verdicts(rows, index), ["digest", "salt"])
     # doc_id is not a join key: a missing id is an id like any other.
-    joined = rows.join(verdicts, ["text_sha256", "salt"])
-    return joined.select(
+    return out.select(
         "doc_id",
         "keep_id",
         "group_size",
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"),
-        "text_sha256",
+        F.lower(F.hex("digest")).alias("text_sha256"),
         "seen_before",
     ).select(
         "doc_id",
@@ -124,6 +126,27 @@ def decide(digest_rows: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
+def _counted(digest_rows: DataFrame, *more: Column) -> DataFrame:
+    """One row per distinct (text, id), with the times it is there, and a salt."""
+    salted = digest_rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return durable(salted.groupBy("digest", "salt", "doc_id").agg(F.count(F.lit(1)).alias("times"), *more))
+
+
+def _verdicts(rows: DataFrame, index: DigestIndex) -> DataFrame:
+    """digest, salt, keep_id, group_size, seen_before, after the rows went through the index."""
+    part = durable(rows.groupBy("digest", "salt").agg(F.sum("times").alias("group_size")))
+    load = uuid.uuid4().hex
+    if not index.exists():
+        index.create(part.count())
+    for own in ranges(rows):
+        index.append(rows.filter(own).groupBy("digest").agg(F.max("doc_id").alias("keep_id")), load)
+    sizes = part.groupBy("digest").agg(F.sum("group_size").alias("group_size"))
+    stays = sizes.hint("merge").join(index.read(), "digest").select(
+        "digest", "keep_id", "group_size", (F.col("load") != load).alias("seen_before")
+    )
+    return part.select("digest", "salt").join(durable(stays), "digest")
+
+
 def new_index(spark: SparkSession) -> DigestIndex:
     """An empty index in the shared folder, for one run."""
     name = f"digests_{uuid.uuid4().hex}"
@@ -131,17 +154,25 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def keep_one(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The documents that stay, with all their columns; texts move in one shuffle."""
-    mark = fresh(docs, "row_mark")
+    """The documents that stay, with all their columns; texts move in one shuffle.
 
-    def marked(key, sha):
-        return F.concat(F.coalesce(key.cast("string"), F.lit("-")), F.lit(":"), sha)
+    Rows with the same doc_id and equal texts stay once.
+    """
+    mark = fresh(docs, "row_mark")
 
-    kept = decide(digests(docs), index).filter("kept")
-    kept = kept.select(marked(F.col("doc_id"), F.col("text_sha256")).alias(mark))
-    rows = docs.withColumn(mark, marked(F.col("doc_id"), digest("text")))
+    def marked(key: Column, content: Column) -> Column:
+        return F.concat(F.coalesce(key.cast("string"), F.lit("-")), F.lit(":"), content)
+
+    # Names one spelling of a text among those that differ in A-Z only.
+    spelling = F.concat_ws(".", F.xxhash64("text"), F.coalesce(F.octet_length("text"), F.lit(-1)))
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("digest"), spelling.alias("spelling"))
+    rows = _counted(narrow, F.max("spelling").alias("spelling"))
+    stays = rows.join(_verdicts(rows, index), ["digest", "salt"])
+    stays = stays.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("seen_before"))
+    stays = stays.select(marked(F.col("doc_id"), F.col("spelling")).alias(mark))
+    out = docs.withColumn(mark, marked(F.col("doc_id"), spelling))
     # Repeated rows share their mark; one of them stays.
-    return rows.join(kept, mark, "left_semi").dropDuplicates([mark]).drop(mark)
+    return out.join(stays, mark, "left_semi").dropDuplicates([mark]).drop(mark)
 
 
 ORACLE = """

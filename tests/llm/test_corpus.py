@@ -1,5 +1,6 @@
 """Operators and stages that look at all documents."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -51,10 +52,60 @@ def test_index_grows_by_what_is_new(spark):
         (4, 2, False, True), (5, 6, False, False), (6, 6, True, False)
     }
     assert {r.keep_id for r in index.read().collect()} == {2, 3, 6}
-    plan = index.new(index.read().select("text_sha256", "keep_id", "group_size"))._jdf.queryExecution().executedPlan().toString()
+    plan = index.new(index.read().select("digest", "keep_id"))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_ranges_go_through_the_index(spark, monkeypatch):
+    """Every range but the first finds texts that a larger doc_id has put there."""
+    rng = random.Random(6)
+    rows = [(rng.randrange(-50, 200), rng.choice("abcdefgABCDEFG") * rng.randrange(4)) for _ in range(600)]
+    rows += [(None, "only"), (None, "Only"), (None, "a"), (5, None)]
+    held, plans = [], []
+    append = exact_dedup.DigestIndex.append
+
+    def spied(self, groups, load):
+        plans.append(self.new(groups)._jdf.queryExecution().executedPlan().toString())
+        before, asked = self.read().count(), groups.count()
+        append(self, groups, load)
+        held.append((asked, self.read().count() - before))
+
+    monkeypatch.setattr(exact_dedup.DigestIndex, "append", spied)
+    index = exact_dedup.new_index(spark)
+    out = exact_dedup.decide(exact_dedup.digests(docs_of(spark, rows).repartition(4)), index).collect()
+    assert len(held) == exact_dedup.RANGES + 1 and sum(n for _, n in held) == index.read().count()
+    assert all(added < asked for asked, added in held[1:])
+    assert all("SortMergeJoin" in p and "LeftAnti" in p and "Bucketed: true" in p for p in plans)
+    small = lambda t: (t or "").translate(str.maketrans(exact_dedup.CAPITALS, exact_dedup.SMALL))
+    groups = defaultdict(list)
+    for k, t in rows:
+        groups[small(t)].append(k)
+    want = Counter()
+    for t, keys in groups.items():
+        top = max((k for k in keys if k is not None), default=None)
+        for place, k in enumerate(sorted(keys, key=lambda k: (k is None, k or 0))):
+            want[(k, top, len(keys), hashlib.sha256(t.encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in out) == want
+    assert sum(r.kept for r in out) == len(groups) and all(r.doc_id == r.keep_id for r in out if r.kept)
+
+
+def test_buckets_follow_the_first_load(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "DIGESTS_PER_BUCKET", 10)
+    index = exact_dedup.new_index(spark)
+    exact_dedup.decide(exact_dedup.digests(docs_of(spark, [(i, f"t{i}") for i in range(150)])), index)
+    assert index.buckets() == 16
+    exact_dedup.decide(exact_dedup.digests(docs_of(spark, [(i, f"t{i}") for i in range(400)])), index)
+    assert index.buckets() == 16 and index.read().count() == 400
+
+
+def test_digest_is_that_of_the_lowered_text(spark):
+    texts = ["", None, "AbC", "ÀÉ Kelvin K İ ß Σς", "x" * 10_000 + "É"]
+    got = exact_dedup.digests(docs_of(spark, list(enumerate(texts)))).collect()
+    small = str.maketrans(exact_dedup.CAPITALS, exact_dedup.SMALL)
+    for r in got:
+        assert bytes(r.digest) == hashlib.sha256((texts[r.doc_id] or "").translate(small).encode()).digest()
+
+
 # Near duplicates
 
 
