@@ -6,6 +6,7 @@ Each takes a few numbers, never a data set.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from itertools import product
 
 
@@ -111,6 +112,104 @@ def fisher_rare(table: list[list[int]]) -> float:
     return min(1.0, math.fsum(n * math.exp(fixed + w) for w, n in found.items() if w <= observed + 1e-7))
 
 
+def fisher_network(table: list[list[int]], most: int) -> float | None:
+    """``fisher_exact`` over layers of partial margins; None beyond ``most`` entries.
+
+    Columns are filled one by one. Row totals still open, in sorted order, are a
+    node: paths that lead to the same node with the same probability so far are one
+    entry. An entry ends where bounds on what is left decide it: if even the
+    likeliest rest is no likelier than the observed table, all rests count, and
+    their sum is known in closed form; if even the least likely rest is likelier,
+    none counts.
+    """
+    table = [r for r in table if sum(r)]
+    columns = [c for c in zip(*table) if sum(c)]
+    if len(table) < 2 or len(columns) < 2:
+        return 1.0
+    if len(columns) < len(table):
+        table, columns = [list(c) for c in columns], [tuple(r) for r in zip(*columns)]
+    log = lambda n: math.lgamma(n + 1.0)
+    totals = sorted((sum(c) for c in columns), reverse=True)
+    rows = tuple(sorted(map(sum, table)))
+    n = sum(rows)
+    fixed = math.fsum(map(log, rows)) + math.fsum(map(log, totals)) - log(n)
+    # The cost of a table is the sum of log(cell!); it counts from the observed cost on.
+    observed = math.fsum(log(v) for r in table for v in r) - 1e-7
+    rest = [math.fsum(map(log, totals[i:])) for i in range(len(totals) + 1)]
+    left = [sum(totals[i:]) for i in range(len(totals) + 1)]
+    sizes = [totals[i:] for i in range(len(totals) + 1)]
+
+    def weight(at: int, open_rows: tuple[int, ...]) -> float:
+        """log of the sum over all rests of the product of 1 / cell!."""
+        return log(left[at]) - math.fsum(map(log, open_rows)) - rest[at]
+
+    def least(at: int, open_rows: tuple[int, ...]) -> float:
+        """Each column dealt as evenly as the open rows allow, or each row over the columns."""
+        by_column = math.fsum(_even_cost(c, open_rows) for c in sizes[at])
+        return max(by_column, math.fsum(_even_cost(r, sizes[at][::-1]) for r in open_rows))
+
+    def largest(at: int, open_rows: tuple[int, ...]) -> float:
+        return min(math.fsum(map(log, open_rows)), rest[at])
+
+    nodes: dict[tuple[int, ...], dict[float, int]] = {rows: {0.0: 1}}
+    total, entries = 0.0, 0
+    for at, size in enumerate(totals):
+        following: dict[tuple[int, ...], dict[float, int]] = {}
+        for open_rows, costs in nodes.items():
+            low, high, whole = least(at, open_rows), largest(at, open_rows), weight(at, open_rows)
+            undecided = {}
+            for cost, times in costs.items():
+                if cost + low >= observed:
+                    total += times * math.exp(fixed - cost + whole)
+                elif cost + high >= observed:
+                    undecided[cost] = times
+            if not undecided:
+                continue
+            for cells in _fillings(size, open_rows):
+                entries += len(undecided)
+                if entries > most:
+                    return None
+                gain = math.fsum(map(log, cells))
+                target = following.setdefault(tuple(sorted(a - b for a, b in zip(open_rows, cells))), {})
+                for cost, times in undecided.items():
+                    key = round(cost + gain, 9)
+                    target[key] = target.get(key, 0) + times
+        nodes = following
+    total += math.fsum(
+        times * math.exp(fixed - cost) for costs in nodes.values() for cost, times in costs.items() if cost >= observed
+    )
+    return min(1.0, total)
+
+
+def _even_cost(total: int, most: Sequence[int]) -> float:
+    """Least sum of log(x!) of whole numbers with this total, none above its entry of the rising ``most``."""
+    cost = 0.0
+    for i, cap in enumerate(most):
+        share, more = divmod(total, len(most) - i)
+        if cap > share:
+            return cost + more * math.lgamma(share + 2.0) + (len(most) - i - more) * math.lgamma(share + 1.0)
+        cost += math.lgamma(cap + 1.0)
+        total -= cap
+    return cost
+
+
+def rank_sum_exact(w: float, a: int, b: int) -> float:
+    """Two-sided p-value of the rank-sum statistic w (less its minimum) without ties.
+
+    The ways to reach each statistic are counted by taking the a ranks one by one.
+    """
+    ways = [1] + [0] * (a * b)
+    # Product of (1 - q^(b + i)) / (1 - q^i): the generating function of the statistic.
+    for i in range(1, a + 1):
+        for s in range(a * b, b + i - 1, -1):
+            ways[s] -= ways[s - b - i]
+        for s in range(i, a * b + 1):
+            ways[s] += ways[s - i]
+    w = round(w)
+    tail = sum(ways[: w + 1]) if 2 * w <= a * b else sum(ways[w:])
+    return min(1.0, 2 * tail / math.comb(a + b, a))
+
+
 def fisher_exact(table: list[list[int]]) -> float:
     """Two-sided exact test of an r x c table.
 

@@ -16,10 +16,14 @@ from kohorta.operators.selectors import is_number
 from kohorta.session import durable
 
 
-# Exact tests are for 2 x 2 tables, small ones, and those with few tables of the same margins, at any number of rows;
-# others get chi-square, named as such.
-FISHER_ROWS, FISHER_DF = 2_000, 12
+# Exact tests are for 2 x 2 tables, those with few tables of the same margins, at any number of rows, and those
+# that take the network at most this many entries; others get chi-square, named as such.
 FISHER_TABLES = 200_000
+FISHER_ENTRIES = 1_000_000
+# Cells of a table that may be taken to the driver for it.
+FISHER_CELLS = 100_000
+# Samples below this size get the exact rank-sum test if no value is there twice.
+EXACT_RANKS = 50
 
 
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -95,11 +99,12 @@ def kruskal_statistic(df: DataFrame, value: str, by: str) -> DataFrame:
 def compare(df: DataFrame, column: str, by: str) -> dict[str, object]:
     """Choose and run the test that suits the column type.
 
-    Numbers: rank-sum for two strata (normal approximation with continuity
-    correction), Kruskal-Wallis for more. Labels: chi-square when every expected
-    count is at least 5, else Fisher's exact test, unless the table is neither
-    2 x 2 nor small (``FISHER_ROWS``, ``FISHER_DF``) nor of few possible tables
-    (``FISHER_TABLES``): then chi-square, named as such.
+    Numbers: rank-sum for two strata (exact for two samples below ``EXACT_RANKS``
+    without ties, else the normal approximation with continuity correction),
+    Kruskal-Wallis for more. Labels: chi-square when every expected count is at
+    least 5, else Fisher's exact test, unless the table is neither 2 x 2 nor of
+    few possible tables (``FISHER_TABLES``) and its network has more than
+    ``FISHER_ENTRIES`` entries: then chi-square, named as such.
     """
     if is_number(df, column):
         return _compare_numbers(df, column, by)
@@ -115,6 +120,8 @@ def _compare_numbers(df: DataFrame, column: str, by: str) -> dict[str, object]:
     if len(per) == 2:
         a, b = per[0]["n"], per[1]["n"]
         w = per[0]["rank_sum"] - a * (a + 1) / 2.0
+        if max(a, b) < EXACT_RANKS and not ties:
+            return {"test": "rank-sum", "statistic": w, "df": None, "p_value": tails.rank_sum_exact(w, a, b)}
         spread = math.sqrt(a * b / 12.0 * ((total + 1) - ties / (total * (total - 1.0))))
         shift = w - a * b / 2.0
         z = 0.0 if spread == 0 else (shift - math.copysign(0.5, shift) * (shift != 0)) / spread
@@ -142,9 +149,7 @@ def _compare_labels(df: DataFrame, column: str, by: str) -> dict[str, object]:
 
 def _fisher(df: DataFrame, column: str, by: str, s) -> float | None:
     """Exact p-value, None where the table is too large for it."""
-    small = s["n"] <= FISHER_ROWS and s["df"] <= FISHER_DF
-    # With more degrees of freedom than this there are too many tables whatever their margins are.
-    if not small and s["df"] >= FISHER_TABLES:
+    if s["df"] >= FISHER_CELLS:
         return None
     cells = contingency(df, column, by).collect()
     rows = sorted({r[column] for r in cells})
@@ -156,7 +161,7 @@ def _fisher(df: DataFrame, column: str, by: str, s) -> float | None:
     sides = sorted((tails.rare_tables(t), t) for t in (table, [list(c) for c in zip(*table)]))
     if sides[0][0] <= FISHER_TABLES:
         return tails.fisher_rare(sides[0][1])
-    return tails.fisher_exact(table) if small else None
+    return tails.fisher_network(table, FISHER_ENTRIES)
 
 
 def chi_square_test(df: DataFrame, column: str, by: str) -> dict[str, object]:
