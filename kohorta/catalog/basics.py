@@ -37,6 +37,19 @@ def scan_csv_roundtrip(spark, d):
     return io.read_csv(spark, path, f"row bigint, {ORDER_SCHEMA}", drop=["row"])
 
 
+@query(
+    "scan_csv_inferred",
+    """SELECT o_orderkey, o_totalprice, o_orderpriority || chr(10) || '"' || o_orderstatus || '"' AS note, o_custkey % 2 = 0 AS even
+       FROM orders""",
+)
+def scan_csv_inferred(spark, d):
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('"'))
+    orders = io.read_table(spark, d, "orders").select(
+        "o_orderkey", "o_totalprice", note.alias("note"), (F.col("o_custkey") % 2 == 0).alias("even")
+    )
+    return io.read_csv(spark, io.write_csv(orders, _scratch(spark, "typed")))
+
+
 # Texts with line breaks as they are, and with quotes, commas, edge blanks, none and nothing.
 _AWKWARD = """CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '"' || text || '", "x""y"'
     WHEN 3 THEN '  ' || text || ' ' WHEN 4 THEN 'NA' ELSE text END"""

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from kohorta.session import durable
 from kohorta.sources.csv_records import read_records
+from kohorta.sources.releases import Release
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,35 +63,59 @@ def dated(base: str, day: dt.date | None = None) -> str:
 
 def write_csv(df: DataFrame, base: str, day: dt.date | None = None) -> str:
     path = f"{dated(base, day)}.csv"
-    df.write.mode("overwrite").options(**CSV, emptyValue='""').csv(path)
+    _put(df, "csv", path)
     return path
 
 
 def write_parquet(df: DataFrame, base: str, day: dt.date | None = None) -> str:
     path = f"{dated(base, day)}.parquet"
-    df.write.mode("overwrite").parquet(path)
+    _put(df, "parquet", path)
     return path
 
 
+ENDINGS = {"csv": "csv", "parquet": "parquet"}
+
+
 def write_all(df: DataFrame, targets: Sequence[tuple[str, str]], day: dt.date | None = None) -> list[str]:
     """Write one result to several ``(format, base)`` targets, computing it once.
 
     The first Parquet target, or else a table in the shared folder, is written
     first; the others are copied from it, so all hold the same rows even where
-    computing them again would give others.
+    computing them again would give others. All are written beside their places
+    and moved there together (``releases``): a write that fails leaves every
+    target as it was, and moves that were cut off are finished by the next run.
     """
-    writers = {"csv": write_csv, "parquet": write_parquet}
-    first = next((t for t in targets if t[0] == "parquet"), None)
-    paths = {}
+    paths = [f"{dated(base, day)}.{ENDINGS[kind]}" for kind, base in targets]
+    if not paths:
+        return []
+    release = Release(df.sparkSession, list(dict.fromkeys(paths)))
+    release.finish()
+    try:
+        _stage(df, [kind for kind, _ in targets], [release.staged(p) for p in paths])
+    except BaseException:
+        release.withdraw()
+        raise
+    release.publish()
+    return paths
+
+
+def _stage(df: DataFrame, kinds: Sequence[str], places: Sequence[str]) -> None:
+    first = next((i for i, kind in enumerate(kinds) if kind == "parquet"), None)
     if first is None:
         source = durable(df)
     else:
-        paths[first] = write_parquet(df, first[1], day)
-        source = df.sparkSession.read.schema(df.schema).parquet(paths[first])
-    for target in targets:
-        if target not in paths:
-            paths[target] = writers[target[0]](source, target[1], day)
-    return [paths[t] for t in targets]
+        df.write.mode("overwrite").parquet(places[first])
+        source = df.sparkSession.read.schema(df.schema).parquet(places[first])
+    for i, (kind, place) in enumerate(zip(kinds, places)):
+        if i != first:
+            _put(source, kind, place)
+
+
+def _put(df: DataFrame, kind: str, path: str) -> None:
+    if kind == "csv":
+        df.write.mode("overwrite").options(**CSV, emptyValue='""').csv(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def add_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
