@@ -10,10 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.events import keep_first
 from kohorta.operators.keys import as_list, equi_join, keyed_join, pairs
+from kohorta.session import settled, ship
 
 
 def restrict(
@@ -33,26 +36,71 @@ def restrict(
     return keyed_join(df, _containing(df, left, keys, right), left, f"left_{how}")
 
 
+# Numbers that stand for characters: a piece's hash is the sum of its characters' numbers times powers of an odd base.
+_HASH_BASE = 0x9E3779B97F4A7C55
+_HASH_MIX = 0xBF58476D1CE4E5B9
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base % (1 << 64), np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def window_hashes(text: str, lengths: Sequence[int]) -> dict[int, np.ndarray]:
+    """Per length the distinct 64-bit hashes of all pieces of that length, from one running sum."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    codes = (codes + np.uint64(1)) * np.uint64(_HASH_MIX)
+    codes ^= codes >> np.uint64(29)
+    n = len(codes)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(codes * _powers(_HASH_BASE, n), out=total[1:])
+    back = _powers(pow(_HASH_BASE, -1, 1 << 64), n + 1)
+    return {
+        k: np.unique(((total[k:] - total[: n + 1 - k]) * back[: n + 1 - k]).view(np.int64)) for k in lengths if 0 < k <= n
+    }
+
+
+def _hashed(values: DataFrame, column: str, lengths: Sequence[int] | None) -> DataFrame:
+    """``column``, length, hash: of every piece with one of the lengths, or of the whole text."""
+    ship(values.sparkSession)
+    names = [column, "__length", "__hash"]
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(0)
+            row, length, hashes = [], [], []
+            for i, text in enumerate(texts.to_pylist()):
+                for k, found in window_hashes(text, lengths if lengths is not None else [len(text)]).items():
+                    row.append(np.full(len(found), i))
+                    length.append(np.full(len(found), k))
+                    hashes.append(found)
+            if row:
+                cells = [texts.take(pa.array(np.concatenate(row))), pa.array(np.concatenate(length)), pa.array(np.concatenate(hashes))]
+                yield pa.RecordBatch.from_arrays(cells, names=names)
+
+    return values.select(F.col(column).cast("string")).mapInArrow(run, f"`{column}` string, __length bigint, __hash bigint")
+
+
 def _containing(df: DataFrame, left: str, keys: DataFrame, right: str) -> DataFrame:
     """Distinct ``left`` values that contain a listed key, found by equi-join.
 
-    Every piece of the value that has the length of some listed key is looked up,
-    so the work grows with the text and not with the number of key pairs.
+    Every piece of the value that has the length of some listed key is looked up by
+    a rolling hash, so the work grows with the text and not with the number of key
+    pairs, and no piece is ever cut out; matches of the hashes are then verified.
+    Only the lengths of the keys are known to the driver. An empty key is in every
+    value.
     """
-    wanted = keys.select(F.col(right).alias("__piece")).filter(F.col(right).isNotNull()).distinct()
+    wanted = keys.select(F.col(right).cast("string").alias("__piece")).filter(F.col(right).isNotNull()).distinct()
+    wanted = settled(wanted)
     lengths = sorted(r[0] for r in wanted.select(F.length("__piece")).distinct().collect())
-    value = F.col(left)
-
-    def pieces_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(value) - n + 1)
-        cut = F.transform(starts, lambda i: F.substring(value, i, F.lit(n)))
-        return F.when(F.length(value) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = [pieces_of(n) for n in lengths]
-    found = F.array_distinct(F.concat(*pieces)) if pieces else F.array().cast("array<string>")
-    distinct = df.select(left).filter(value.isNotNull()).distinct()
-    exploded = distinct.select(left, F.explode(found).alias("__piece"))
-    return exploded.join(wanted, "__piece", "left_semi").select(left).distinct()
+    distinct = df.select(left).filter(F.col(left).isNotNull()).distinct()
+    if lengths[:1] == [0] or not lengths:
+        return distinct if lengths else distinct.limit(0)
+    pieces = _hashed(distinct, left, lengths)
+    looked_up = _hashed(wanted, "__piece", None)
+    met = pieces.join(looked_up, ["__length", "__hash"])
+    return met.filter(F.contains(left, "__piece")).select(left).distinct()
 
 
 def semi_or_anti(df: DataFrame, absent: DataFrame, present: DataFrame, on: str) -> DataFrame:

@@ -382,3 +382,29 @@ def test_many_levels(spark):
     df = spark.range(600).select((F.col("id") % 7).cast("double").alias("t"), (F.col("id") % 2).cast("int").alias("e"), F.format_string("g%03d", F.col("id") % 150).alias("g"))
     out = sv.log_rank(df, "t", "e", "g")
     assert out.count() == 150 and out.agg(F.sum("observed"), F.round(F.sum("expected"), 6)).first() == (300, 300.0)
+
+
+def test_rolling_hashes_are_those_of_the_pieces():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(200):
+        text = "".join(rng.choice("abé🙂 ") for _ in range(rng.randrange(0, 40)))
+        found = j.window_hashes(text, [1, 2, 5, 50])
+        for n, hashes in found.items():
+            pieces = {text[i : i + n] for i in range(len(text) - n + 1)}
+            assert sorted(hashes.tolist()) == sorted(j.window_hashes(p, [n])[n][0] for p in pieces)
+
+
+def test_substring_membership_by_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcé") for _ in range(rng.randrange(0, 9))) for _ in range(300)] + [None]
+    listed = ["".join(rng.choice("abcé") for _ in range(rng.randrange(3, 6))) for _ in range(25)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, k string")
+    keys = spark.createDataFrame([(v,) for v in listed], "key string")
+    want = {i for i, t in enumerate(texts) if t is not None and any(v is not None and v in t for v in listed)}
+    assert {r["i"] for r in j.restrict(df, keys, {"k": "key"}, substring=True).collect()} == want
+    every = j.restrict(df, spark.createDataFrame([("",)], "key string"), {"k": "key"}, substring=True)
+    assert every.count() == 300
