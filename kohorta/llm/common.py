@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from kohorta.session import shared_folder
+from kohorta.session import shared_folder, ship
 from kohorta.sources.tables import read_table
 
 __all__ = ["WordCache", "claim", "durable", "fresh", "map_groups", "map_rows", "query", "read_table", "small_batches"]
@@ -46,23 +43,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="kohorta-code-")) / "kohorta_code.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(target))
-    _SHIPPED.add(context.applicationId)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bounds an Arrow batch, and so the memory of a Python worker."""
     ship(spark)
