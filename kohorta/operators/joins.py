@@ -8,7 +8,7 @@ is counted first, is sent to the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.events import keep_first
 from kohorta.operators.keys import as_list, equi_join, keyed_join, pairs
-from kohorta.session import settled, ship
+from kohorta.session import bucketed, settled, ship, together
 
 
 def restrict(
@@ -284,13 +284,22 @@ def merge_on_index(
     required_any: Sequence[DataFrame],
     others: Sequence[DataFrame],
     key: str,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Wide table: index rows present in a required table, with all columns.
 
     Same rows as full-joining the required tables, then inner-joining the index
     and left-joining the others, but every join keeps the index table's
-    partitioning, which a chain of full joins would lose.
+    partitioning, which a chain of full joins would lose. With ``buckets`` the
+    tables are written first, side by side, in that many buckets by key: the
+    joins then shuffle nothing, and a lost executor costs the joins of its
+    buckets, not the tables. That takes tables with few rows per key.
     """
+    if buckets is not None:
+        # Rows without a key meet nothing, and would all come to one bucket.
+        tables = [index, *[t.filter(F.col(key).isNotNull()) for t in (*required_any, *others)]]
+        index, *pieces = together(index.sparkSession, *[partial(bucketed, table, key, buckets) for table in tables])
+        required_any, others = pieces[: len(required_any)], pieces[len(required_any) :]
     out = index
     flags = []
     for i, table in enumerate(required_any):

@@ -11,7 +11,7 @@ from kohorta.operators.joins import merge_on_index
 from kohorta.plans import diagnosis as dx, local_treatment as lt, patients as p
 from kohorta.plans.base import KEY
 from kohorta.plans.medication import Medication, medication
-from kohorta.session import durable
+from kohorta.session import buckets_for, durable, together
 
 
 @dataclass(frozen=True)
@@ -41,31 +41,51 @@ def build_patient_tables(
     cohort = durable(p.cohort(tables["cohort"], tables["sample_linkage"]))
     # Nine blocks read the index diagnosis: written once, it also cuts their lineage.
     index = durable(dx.index_diagnosis(tables["diagnosis"], cohort))
-    drugs_ = medication(tables["medication"], tables["drug_class"], cohort, index)
-    rad = durable(lt.radiation(tables["radiation"], cohort, index))
-    surg = durable(lt.surgery(tables["surgery"], cohort, index))
-    markers = durable(p.markers_long(tables["marker"], tables["marker_flow"], cohort))
+
+    spark = index.sparkSession
+
+    def radiation():
+        rows = durable(lt.radiation(tables["radiation"], cohort, index))
+        return rows, lt.radiation_wide(rows)
+
+    def surgery():
+        rows = durable(lt.surgery(tables["surgery"], cohort, index))
+        return rows, lt.surgery_wide(rows)
+
+    def markers():
+        rows = durable(p.markers_long(tables["marker"], tables["marker_flow"], cohort))
+        return rows, p.markers_wide(rows, marker_names)
+
+    # The blocks need the cohort and the index diagnosis, not each other.
+    drugs_, (rad, rad_wide), (surg, surg_wide), (marks, marks_wide), required, plain = together(
+        spark,
+        lambda: medication(tables["medication"], tables["drug_class"], cohort, index),
+        radiation,
+        surgery,
+        markers,
+        lambda: together(
+            spark,
+            lambda: p.demographics(tables["patient"], cohort),
+            lambda: p.history(tables["history"], cohort),
+            lambda: p.vital_status(tables["vital"], cohort),
+        ),
+        lambda: together(
+            spark,
+            lambda: p.cytogenetics(tables["cytogenetics"], abnormality_names),
+            lambda: p.exam(tables["exam"], cohort, index),
+            lambda: dx.outcomes(tables["outcome"], cohort, index),
+            lambda: dx.metastasis(tables["metastasis"], cohort, index),
+            lambda: p.last_date(tables["imaging"], tables["labs"]),
+            lambda: p.family_history(tables["family"], index),
+        ),
+    )
+    cytogenetics, exam, outcomes, metastasis, last_date, family = plain
     wide = merge_on_index(
         index,
-        [
-            cohort,
-            p.demographics(tables["patient"], cohort),
-            p.history(tables["history"], cohort),
-            p.vital_status(tables["vital"], cohort),
-        ],
-        [
-            p.cytogenetics(tables["cytogenetics"], abnormality_names),
-            p.exam(tables["exam"], cohort, index),
-            drugs_.wide,
-            lt.radiation_wide(rad),
-            lt.surgery_wide(surg),
-            dx.outcomes(tables["outcome"], cohort, index),
-            dx.metastasis(tables["metastasis"], cohort, index),
-            p.last_date(tables["imaging"], tables["labs"]),
-            p.family_history(tables["family"], index),
-            p.markers_wide(markers, marker_names),
-        ],
+        [cohort, *required],
+        [cytogenetics, exam, drugs_.wide, rad_wide, surg_wide, outcomes, metastasis, last_date, family, marks_wide],
         KEY,
+        buckets_for(index.count()),
     )
     return PatientTables(
         durable(wide),
@@ -73,5 +93,5 @@ def build_patient_tables(
         drugs_,
         lt.around_sample(rad, cohort, "AgeAtRadiationStart", "radiation"),
         lt.around_sample(surg, cohort, "AgeAtSurgeryBiopsy", "surgery"),
-        markers,
+        marks,
     )

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import math
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 TABLE = "table-"
 # A group may hold at most this many rows in one task; larger groups are sliced.
@@ -18,6 +23,10 @@ ROWS_PER_TASK_DEFAULT = 5_000_000
 # Inputs whose planned size is below this fit one task, so no group can be too large.
 BYTES_PER_TASK = "spark.kohorta.bytesPerTask"
 BYTES_PER_TASK_DEFAULT = 256 * 1024 * 1024
+# Keys that a bucket of a wide merge is made for; a small merge has LEAST_BUCKETS.
+KEYS_PER_BUCKET, LEAST_BUCKETS = 100_000, 4
+# Independent steps that run at a time: more would only queue for the same executors.
+STEPS_AT_A_TIME = 8
 
 
 def build_session(app: str = "kohorta", cpus: int | str = "*", shuffle: int = 8) -> SparkSession:
@@ -86,12 +95,20 @@ def fits_one_task(df: DataFrame) -> bool:
     return size is not None and size <= limit and not makes_rows(df)
 
 
+_FOLDER_LOCK = threading.Lock()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors see: the one named in ``spark.checkpoint.dir``.
 
     Only a local master may go without; it gets a scratch folder that goes with
     the process.
     """
+    with _FOLDER_LOCK:
+        return _shared_folder(spark)
+
+
+def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
@@ -112,6 +129,8 @@ def release(spark: SparkSession) -> None:
 
     For the end of a run: results that were not written elsewhere go with them.
     """
+    while _BUCKETED:
+        spark.sql(f"DROP TABLE IF EXISTS {_BUCKETED.pop()}")
     folder = shared_folder(spark)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -133,6 +152,48 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Names of the bucketed tables written for this application.
+_BUCKETED: list[str] = []
+
+
+def buckets_for(keys: int) -> int:
+    """A power of two, so that tables of different size still fit each other's buckets."""
+    return max(LEAST_BUCKETS, 1 << (math.ceil(keys / KEYS_PER_BUCKET) - 1).bit_length())
+
+
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Like ``durable``, in a table bucketed and sorted by ``key``, one file a bucket.
+
+    Tables with the same number of buckets are joined on that key without a
+    shuffle. One task writes one bucket, so this is for tables with few rows per
+    key. Columns have plain names in the table, as catalogs limit what a name may
+    hold; missing keys stay.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    name = f"kohorta_{mark}"
+    stored = [f"c{i}" for i in range(len(df.columns))]
+    place = stored[df.columns.index(key)]
+    rows = df.toDF(*stored).repartition(buckets, place)
+    writer = rows.write.bucketBy(buckets, place).sortBy(place).format("parquet")
+    _BUCKETED.append(name)
+    writer.option("path", f"{shared_folder(spark)}/{TABLE}{mark}").saveAsTable(name)
+    return spark.read.table(name).toDF(*df.columns)
+
+
+def together(spark: SparkSession, *steps: Callable) -> list:
+    """Results of steps that do not need each other, run side by side.
+
+    A step waits for its own jobs only, so that the tasks of small steps fill the
+    executors which a single one leaves idle. The first error is raised when all
+    steps have ended.
+    """
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(STEPS_AT_A_TIME) as pool:
+        running = [pool.submit(inherit(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def settled(df: DataFrame) -> DataFrame:
     """For a small result of large tables that is read several times: write it once.
 
@@ -145,6 +206,7 @@ def settled(df: DataFrame) -> DataFrame:
 # A list that has become old is still right to use: it only says which rows to slice.
 _FOUND: dict[tuple, tuple[DataFrame, DataFrame | None]] = {}
 MOST_FOUND = 64
+_FOUND_LOCK = threading.Lock()
 
 
 def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
@@ -157,8 +219,9 @@ def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
         return None
     limit = rows_per_task(df.sparkSession)
     name = (df.sparkSession.sparkContext.applicationId, tuple(keys), limit, df.semanticHash())
-    if name in _FOUND and _FOUND[name][0].sameSemantics(df):
-        return _FOUND[name][1]
+    known = _FOUND.get(name)
+    if known is not None and known[0].sameSemantics(df):
+        return known[1]
     counts = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -166,7 +229,8 @@ def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
     )
     counts = durable(counts)
     found = None if counts.isEmpty() else counts
-    while len(_FOUND) >= MOST_FOUND:
-        _FOUND.pop(next(iter(_FOUND)))
-    _FOUND[name] = (df, found)
+    with _FOUND_LOCK:
+        while len(_FOUND) >= MOST_FOUND:
+            _FOUND.pop(next(iter(_FOUND)))
+        _FOUND[name] = (df, found)
     return found

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from frames import rows
+from kohorta import session
 from kohorta.operators import association as a, events as e, joins as j, ordered as o, reshape as w, summary, survival as sv
 from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.plans import endpoints as ep, therapy as th
@@ -131,6 +132,42 @@ def test_full_join_and_merge(spark):
     assert rows(j.merge_on_index(index, [one, two], [other], "k")) == [(1, 10, "p", None, "w"), (2, 20, None, "q", None)]
 
 
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_merge_on_bucketed_tables(spark, buckets):
+    index = spark.createDataFrame([(1, 10), (2, 20), (None, 30), (4, 40)], "k int, t int")
+    one = spark.createDataFrame([("p", 1), ("n", None)], "`p(4;14)` string, k int")
+    other = spark.createDataFrame([(1, "w"), (1, "w2"), (None, "z"), (2, "y")], "k int, o string")
+    merged = j.merge_on_index(index, [one], [other], "k", buckets)
+    assert merged.columns == ["k", "t", "p(4;14)", "o"]
+    assert rows(merged) == [(1, 10, "p", "w"), (1, 10, "p", "w2")]
+    nothing = j.merge_on_index(index.limit(0), [one], [other.limit(0)], "k", buckets)
+    assert rows(nothing) == []
+
+
+def test_bucketed_tables_keep_missing_keys_and_go_with_the_run(spark):
+    written = session.bucketed(spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string"), "k", 4)
+    assert rows(written) == [(1, "a"), (None, "b")] or rows(written) == [(None, "b"), (1, "a")]
+    names = list(session._BUCKETED)
+    assert names and all(spark.catalog.tableExists(n) for n in names)
+    session.release(spark)
+    assert not session._BUCKETED and not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_buckets_follow_the_keys():
+    assert [session.buckets_for(n) for n in (0, 1, 400_000, 400_001, 10**8)] == [4, 4, 4, 8, 1024]
+
+
+def test_steps_side_by_side(spark):
+    counts = session.together(spark, *[lambda n=n: spark.range(n).count() for n in range(12)])
+    assert counts == list(range(12)) and session.together(spark) == []
+
+    def fails():
+        raise ValueError("second step")
+
+    with pytest.raises(ValueError, match="second step"):
+        session.together(spark, lambda: spark.range(3).count(), fails)
+
+
 def test_reshape(spark, events):
     wide = w.pivot_occurrence(events, "k", ["v", "t"], 4, ["id"], overflow="error")
     assert rows(wide.filter("k = 'a'"), "v_1", "v_2", "v_3", "v_4", "t_1") == [("x", None, "y", "z", 3.0)]

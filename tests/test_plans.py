@@ -68,3 +68,16 @@ def test_merge_keeps_one_partitioning(spark):
     text = plan(j.merge_on_index(index, sides[:2], sides[2:], "o_custkey"))
     # One shuffle per aggregate, none for the joins.
     assert count(r"Exchange hash", text) == 5 and count(r"SortMergeJoin", text) == 4
+
+
+def test_merge_of_bucketed_tables_shuffles_nothing(spark):
+    index = v.idx(spark, FOLDER)
+    sides = [
+        v.ord_n(spark, FOLDER).groupBy("o_custkey").agg(F.max(c).alias(f"top; {c}")) for c in ("day", "nday", "evt", "o_totalprice")
+    ]
+    plain = j.merge_on_index(index, sides[:2], sides[2:], "o_custkey")
+    merged = j.merge_on_index(index, sides[:2], sides[2:], "o_custkey", buckets=4)
+    text = plan(merged)
+    assert "Exchange" not in text and count(r"SortMergeJoin", text) == 4
+    assert count(r"Bucketed: true", text) == 5
+    assert merged.columns == plain.columns and merged.exceptAll(plain).isEmpty() and plain.exceptAll(merged).isEmpty()
