@@ -38,6 +38,8 @@ CALL_CHARS = 16_000
 
 # A space between two other characters: no token of either vocabulary goes across it.
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+# White space at the beginning or end of a whole text.
+_PADDED = re.compile(r"\A\s|\s\Z")
 # Texts that tokenizers and tiktoken cut alike.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9.,;:!?|#$%&*\n-]*")
 
@@ -108,10 +110,17 @@ class Aligner:
         self.links.frombytes(links.tobytes())
 
     def learn(self, segments: list[str]) -> None:
-        """Aligns new segments, many in one text: at the spaces between them both tokens end."""
+        """Aligns new segments, many in one text: at the spaces between them both tokens end.
+
+        A segment with white space at an end stays alone, as a blank may go into
+        one token with the space that would be put next to it.
+        """
         plain, other = [], []
         for segment in segments:
-            (plain if _PLAIN.fullmatch(segment) else other).append(segment)
+            if _PADDED.search(segment):
+                self.learn_joined([segment], self.any_ids)
+            else:
+                (plain if _PLAIN.fullmatch(segment) else other).append(segment)
         for kind, encode in (plain, self.plain_ids), (other, self.any_ids):
             at = 0
             while at < len(kind):

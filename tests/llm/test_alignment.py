@@ -114,6 +114,20 @@ def test_kept_segments_are_renewed(libraries, monkeypatch):
         check_text(text, libraries)
 
 
+def test_blanks_at_the_ends_of_texts_stay_with_their_text(libraries):
+    own = libraries[2]
+    texts = ["abc ", "  def", "ghi\n", "\njkl", " ", "mno  ", "pqr", "   ", "\tstu\u3000", " é ", " ü", "x"]
+    for order in texts, texts[::-1]:
+        own.forget()
+        sums, digests, links, per_text = own.documents(order)
+        ends = np.cumsum(per_text)
+        for i, text in enumerate(order):
+            want = brute([(0, text)], libraries)[0]
+            assert (*[int(s[i]) for s in sums], digests[i]) == (*want[1:5], want[7])
+            pairs = Counter((x >> alignment.ID_BITS, x & ((1 << alignment.ID_BITS) - 1)) for x in links[ends[i] - per_text[i] : ends[i]].tolist())
+            assert pairs == Counter(whole(text, *libraries)[1])
+
+
 def test_bitmaps_round_trip():
     rng = np.random.default_rng(1)
     keys = np.concatenate([(i << np.uint64(alignment.BLOCK_BITS)) | rng.integers(0, alignment.BLOCK, n, dtype=np.uint64)
