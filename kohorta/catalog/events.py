@@ -10,6 +10,7 @@ from kohorta.functions.exprs import concat_text, fmt_num, group_max_skip, group_
 from kohorta.operators import events as e, joins as j, ordered as o, reshape as w
 from kohorta.operators.collapse import collapse, collapse_to_rows, collapse_two_level
 from kohorta.operators.keys import attach, equi_join
+from kohorta.session import durable
 from kohorta.sources.tables import read_table
 
 
@@ -125,8 +126,9 @@ def join_attribution(spark, d):
            SELECT a.o_custkey FROM med a JOIN idx_site b ON a.o_custkey = b.o_custkey AND a.class = b.site AND a.line = 1)""",
 )
 def attribution_fallback(spark, d):
-    rows = v.med(spark, d).select("o_custkey", "start", "drug", "class", "line")
-    index = v.idx_site(spark, d)
+    # Read by every step and by the count of large keys before it: written once.
+    rows = durable(v.med(spark, d).select("o_custkey", "start", "drug", "class", "line"))
+    index = durable(v.idx_site(spark, d, rows))
     direct = j.attribute(
         rows.filter(F.col("line") == 1), index, {"o_custkey": "o_custkey", "class": "site"}, na_matches=False
     )

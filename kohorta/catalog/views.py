@@ -160,10 +160,13 @@ def med(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_custkey", "start", "stop", "drug", "class", "line")
 
 
-def idx_site(spark: SparkSession, d: str) -> DataFrame:
-    """Index events with the site of the rows that start with them."""
+def idx_site(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    """Index events with the site of the rows that start with them.
+
+    ``rows`` are those of ``med``, where the caller has written them.
+    """
     index = idx(spark, d)
-    rows = med(spark, d).select("o_custkey", "start", "class")
+    rows = (med(spark, d) if rows is None else rows).select("o_custkey", "start", "class")
     at_index = equi_join(rows, index.select("o_custkey", "t0"), {"o_custkey": "o_custkey", "start": "t0"})
     sites = at_index.groupBy("o_custkey").agg(F.min("class").alias("site"))
     return equi_join(index, sites, "o_custkey", "left")

@@ -81,3 +81,8 @@ def test_merge_of_bucketed_tables_shuffles_nothing(spark):
     assert "Exchange" not in text and count(r"SortMergeJoin", text) == 4
     assert count(r"Bucketed: true", text) == 5
     assert merged.columns == plain.columns and merged.exceptAll(plain).isEmpty() and plain.exceptAll(merged).isEmpty()
+
+
+def test_therapy_rows_of_the_fallback_are_joined_once(spark):
+    found = QUERIES["attribution_fallback"](spark, FOLDER)
+    assert not [f for f in found.inputFiles() if "lineitem" in f or "part.parquet" in f]
