@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from kohorta.functions.clinical import MIGRATED
 from kohorta.functions.exprs import parse_age
 from kohorta.operators.joins import restrict
+from kohorta.operators.keys import equi_join
 from kohorta.operators.selectors import across
-from kohorta.session import durable
+from kohorta.session import bucketed, durable, large_groups, row_buckets
 
 KEY = "AvatarKey"
 ROW = "row_id"
@@ -38,6 +39,20 @@ def cohort_rows(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> Dat
     return durable(across(restrict(table, cohort, KEY), ages, parse_age))
 
 
+def rows_by_patient(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> DataFrame:
+    """``cohort_rows`` in buckets by patient, for blocks with many steps per patient.
+
+    Those steps then shuffle nothing. A patient with more rows than one task
+    should take would fill a bucket, so tables with one are written as they come.
+    """
+    if large_groups(table, [KEY]) is not None:
+        return cohort_rows(table, cohort, ages)
+    buckets = row_buckets(table)
+    patients = cohort.select(KEY).distinct()
+    mine = equi_join(table.repartition(buckets, KEY), patients, KEY, "left_semi")
+    return bucketed(across(mine, ages, parse_age), KEY, buckets)
+
+
 def known_rows(table: DataFrame, indicator: str) -> DataFrame:
     return table.filter(F.col(indicator) != MIGRATED)
 

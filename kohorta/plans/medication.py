@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from kohorta.functions import clinical as c, exprs as x
 from kohorta.operators.events import ever, keep_first
 from kohorta.operators.joins import attribute, attribute_fallback, label_sequence, lookup, restrict
-from kohorta.operators.keys import attach
+from kohorta.operators.keys import attach, equi_join
 from kohorta.operators.reshape import pivot_occurrence, union_by_name
 from kohorta.plans import therapy
-from kohorta.plans.base import KEY, ROW, SOURCE, cohort_rows, known_rows, site_keys, stacked
-from kohorta.session import durable
+from kohorta.plans.base import KEY, ROW, SOURCE, known_rows, rows_by_patient, site_keys, stacked
+from kohorta.session import durable, durable_like, ordinary
 from kohorta.sources.tables import add_rows
 
 START, STOP, LINE, SITE = "AgeAtMedStart", "AgeAtMedStop", "MedLineRegimen", "MedPrimaryDiagnosisSite"
@@ -50,30 +50,39 @@ def drug_dimension(table: DataFrame) -> DataFrame:
 
 def drug_rows(table: DataFrame, cohort: DataFrame, drugs: DataFrame) -> DataFrame:
     """Cohort drug rows with clean names, classes and filled line labels."""
-    rows = known_rows(cohort_rows(table, cohort, [START, STOP]), "MedicationInd")
-    rows = attach(rows, KEY, {"ever_first_med_age": x.group_min_strict(START, STOP)})
-    rows = rows.withColumn("Medication", F.lower(c.drug_name(F.col("Medication"))))
-    rows = lookup(rows, drug_dimension(drugs), {"Medication": "drug_name"})
-    rows = rows.withColumn(
-        "received_chemotherapy", c.chemotherapy_flag(F.col(NARROW), F.col("Medication"))
-    )
-    rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
-    # Equal rows are one record; its number is that of the first of them.
-    others = [n for n in rows.columns if n != ROW]
-    return durable(rows.groupBy(*others).agg(F.min(ROW).alias(ROW)))
+    mine = rows_by_patient(table, cohort, [START, STOP])
+    with ordinary(mine, KEY):
+        # Every row has a patient here, and a plain comparison keeps the buckets.
+        ever_first = {"ever_first_med_age": x.group_min_strict(START, STOP)}
+        rows = attach(known_rows(mine, "MedicationInd"), KEY, ever_first, na_matches=False)
+        rows = rows.withColumn("Medication", F.lower(c.drug_name(F.col("Medication"))))
+        # Written, so that its size is known: the rows are not shuffled by drug for a small table.
+        rows = lookup(rows, durable(drug_dimension(drugs)), {"Medication": "drug_name"})
+        rows = rows.withColumn(
+            "received_chemotherapy", c.chemotherapy_flag(F.col(NARROW), F.col("Medication"))
+        )
+        rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
+        # Equal rows are one record; its number is that of the first of them.
+        others = [n for n in rows.columns if n != ROW]
+        return durable_like(rows.groupBy(*others).agg(F.min(ROW).alias(ROW)), KEY, mine)
 
 
 def index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Chemotherapy rows of the index cancer, unknown-site rows rescued, lines numbered."""
+    with ordinary(rows, KEY):
+        return _index_therapy(rows, index)
+
+
+def _index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:
     chemo = rows.filter((F.col("MedicationInd") == "Yes") & F.col("received_chemotherapy").isNotNull())
-    chemo = durable(therapy.rank_lines(chemo, KEY, SITE, START, LINE, "first_rank"))
+    chemo = durable_like(therapy.rank_lines(chemo, KEY, SITE, START, LINE, "first_rank"), KEY, rows)
     on_site = attribute(chemo, index, site_keys("Med"))
     no_first = ever(on_site, KEY, F.col(LINE).isin(*FIRST_LINES), "has_first").filter(
         F.col("has_first").isNull()
     )
     unknown = F.col(SITE) == c.UNKNOWN
     rescued = attribute_fallback(chemo, no_first.select(KEY).distinct(), index, KEY, unknown, mode="present")
-    mine = durable(stacked(on_site, rescued))
+    mine = durable_like(stacked(on_site, rescued), KEY, rows)
     unplaced = attribute_fallback(chemo, mine, index, KEY, unknown)
     never = rows.filter(F.col("MedicationInd") == "No").withColumn("received_chemotherapy", F.lit("Never"))
     together = union_by_name(
@@ -81,20 +90,20 @@ def index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:
     )
     unique = keep_first(together, [KEY, START, "Medication", STOP], [SOURCE, "first_rank", ROW])
     order = [SOURCE, "first_rank", ROW]
-    return durable(therapy.therapy_lines(unique, KEY, SITE, START, LINE, order, "regimen_line"))
+    return durable_like(therapy.therapy_lines(unique, KEY, SITE, START, LINE, order, "regimen_line"), KEY, rows)
 
 
 def regimens_long(drugs: DataFrame, cohort: DataFrame) -> DataFrame:
     """Regimens with their place before or after the germline sample."""
     keys = [KEY, "regimen_line", START, "MedicationInd", "ever_first_med_age"]
-    long = therapy.regimens(
-        drugs, keys, STOP, ["Medication", NARROW, GENERAL], [SOURCE, "first_rank", ROW]
-    ).withColumnRenamed("Medication", "regimen_drugs")
-    return durable(
-        therapy.exposure_flags(
+    with ordinary(drugs, KEY):
+        long = therapy.regimens(
+            drugs, keys, STOP, ["Medication", NARROW, GENERAL], [SOURCE, "first_rank", ROW]
+        ).withColumnRenamed("Medication", "regimen_drugs")
+        flagged = therapy.exposure_flags(
             long, cohort, KEY, START, "germline_collection_age", EXPOSURES, SPECIMEN_LABELS
         )
-    )
+        return durable_like(flagged, KEY, drugs)
 
 
 def regimens_wide(long: DataFrame) -> DataFrame:
@@ -119,7 +128,15 @@ def regimens_wide(long: DataFrame) -> DataFrame:
 
 def drug_phases(rows: DataFrame, index_rows: DataFrame, long: DataFrame, cohort: DataFrame) -> DataFrame:
     """All drugs of treated patients: before, in and after the index therapy."""
-    other = restrict(restrict(rows, index_rows, KEY), index_rows, ROW, "anti")
+    with ordinary(rows, KEY):
+        return _drug_phases(rows, index_rows, long, cohort)
+
+
+def _drug_phases(rows: DataFrame, index_rows: DataFrame, long: DataFrame, cohort: DataFrame) -> DataFrame:
+    treated = restrict(rows, index_rows, KEY)
+    # Only patient and number go to where equal numbers meet, whoever's they are.
+    taken = restrict(treated.select(KEY, ROW), index_rows, ROW).distinct()
+    other = equi_join(treated, taken, [KEY, ROW], "left_anti")
     first = long.groupBy(KEY).agg(F.min(START).alias("first_start"))
     phases = therapy.therapy_phase(
         other, index_rows, first, KEY, START, "first_start", phase="drug_sequence_vs_ovarian_drugs"

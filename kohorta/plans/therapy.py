@@ -12,7 +12,7 @@ from kohorta.operators.events import ever_flags
 from kohorta.operators.joins import label_sequence
 from kohorta.operators.keys import as_list, keyed_join
 from kohorta.operators.ordered import dense_rank_valid, fill
-from kohorta.session import durable
+from kohorta.session import durable_like
 
 # Codes of the therapy line labels.
 UNKNOWN_LINES = ("Unknown/Not Applicable", "Unknown/Not Reported")
@@ -110,7 +110,7 @@ def exposure_flags(
     ``contains`` maps a flag to (column, text): any regimen up to the anchor
     whose column holds the text makes the flag "Yes" on all rows of the key.
     """
-    labelled = durable(label_sequence(df, anchor, key, start, anchor_time, labels, sequence))
+    labelled = durable_like(label_sequence(df, anchor, key, start, anchor_time, labels, sequence), key, df)
     before = F.col(sequence) == labels[0]
     return ever_flags(
         labelled, key, {n: before & F.col(c).contains(text) for n, (c, text) in contains.items()}

@@ -9,8 +9,9 @@ import tempfile
 import threading
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -130,7 +131,7 @@ def release(spark: SparkSession) -> None:
     For the end of a run: results that were not written elsewhere go with them.
     """
     while _BUCKETED:
-        spark.sql(f"DROP TABLE IF EXISTS {_BUCKETED.pop()}")
+        spark.sql(f"DROP TABLE IF EXISTS {_BUCKETED.popitem()[0]}")
     folder = shared_folder(spark)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -152,8 +153,12 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Names of the bucketed tables written for this application.
-_BUCKETED: list[str] = []
+# Names of the bucketed tables written for this application, with their number of buckets.
+_BUCKETED: dict[str, int] = {}
+# Bytes of source files that a bucket of event rows is made for.
+BYTES_PER_BUCKET = 16 * 1024 * 1024
+# Sources that are no files have a size beyond this in Spark; their rows are counted, at so many bytes each.
+SIZE_UNKNOWN, BYTES_PER_ROW = 1 << 60, 64
 
 
 def buckets_for(keys: int) -> int:
@@ -161,6 +166,35 @@ def buckets_for(keys: int) -> int:
     return max(LEAST_BUCKETS, 1 << (math.ceil(keys / KEYS_PER_BUCKET) - 1).bit_length())
 
 
+def row_buckets(df: DataFrame) -> int:
+    """Buckets for a table of many rows per key, by the size of its sources.
+
+    Not fewer than a shuffle has partitions: Spark would shuffle once more to get those.
+    """
+    size = source_bytes(df)
+    if size is None or size >= SIZE_UNKNOWN:
+        size = df.count() * BYTES_PER_ROW
+    shares = math.ceil(size / BYTES_PER_BUCKET)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << (max(shares, least, LEAST_BUCKETS) - 1).bit_length()
+
+
+def buckets_of(df: DataFrame) -> int | None:
+    """Number of buckets of the first bucketed table that the frame reads, if any."""
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        names = " ".join(leaves.apply(i).toString() for i in range(leaves.size()))
+    except AttributeError:
+        return None
+    return next((n for name, n in _BUCKETED.items() if name in names), None)
+
+
+def durable_like(df: DataFrame, key: str, rows: DataFrame) -> DataFrame:
+    """``durable``, in buckets where ``rows``, from which ``df`` comes, lie in buckets by ``key``."""
+    buckets = buckets_of(rows)
+    return durable(df) if buckets is None else bucketed(df, key, buckets)
+
+
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Like ``durable``, in a table bucketed and sorted by ``key``, one file a bucket.
 
@@ -170,13 +204,15 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     hold; missing keys stay.
     """
     spark = df.sparkSession
+    # Joins by the key and further columns keep the buckets too.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     mark = uuid.uuid4().hex
     name = f"kohorta_{mark}"
     stored = [f"c{i}" for i in range(len(df.columns))]
     place = stored[df.columns.index(key)]
     rows = df.toDF(*stored).repartition(buckets, place)
     writer = rows.write.bucketBy(buckets, place).sortBy(place).format("parquet")
-    _BUCKETED.append(name)
+    _BUCKETED[name] = buckets
     writer.option("path", f"{shared_folder(spark)}/{TABLE}{mark}").saveAsTable(name)
     return spark.read.table(name).toDF(*df.columns)
 
@@ -209,13 +245,34 @@ MOST_FOUND = 64
 _FOUND_LOCK = threading.Lock()
 
 
+_ORDINARY = threading.local()
+
+
+@contextmanager
+def ordinary(df: DataFrame, key: str, times: int = 4) -> Iterator[None]:
+    """One count of ``df`` by ``key`` stands for those of all frames made within the block.
+
+    For steps whose frames hold a row of ``df`` at most ``times`` times. Where ``df``
+    has a group that could become too large for a task, every frame is counted.
+    """
+    held = getattr(_ORDINARY, "keys", frozenset())
+    if key not in held and not fits_one_task(df):
+        most = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if most * times <= rows_per_task(df.sparkSession):
+            _ORDINARY.keys = held | {key}
+    try:
+        yield
+    finally:
+        _ORDINARY.keys = held
+
+
 def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Keys with more rows than one task should take, with their counts ``n``.
 
     None when there is none. The result has at most rows / ROWS_PER_TASK rows,
     and the count is combined map-side, so finding it is cheap at any skew.
     """
-    if fits_one_task(df):
+    if not getattr(_ORDINARY, "keys", frozenset()).isdisjoint(keys) or fits_one_task(df):
         return None
     limit = rows_per_task(df.sparkSession)
     name = (df.sparkSession.sparkContext.applicationId, tuple(keys), limit, df.semanticHash())

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from kohorta.catalog import QUERIES, views as v  # noqa: E402
+from kohorta import session  # noqa: E402
 from kohorta.operators import events as e, joins as j, ordered as o  # noqa: E402
+from kohorta.operators.keys import keyed_join  # noqa: E402
+from kohorta.plans import medication as md  # noqa: E402
 from kohorta.sources.tables import read_table  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -86,3 +89,35 @@ def test_merge_of_bucketed_tables_shuffles_nothing(spark):
 def test_therapy_rows_of_the_fallback_are_joined_once(spark):
     found = QUERIES["attribution_fallback"](spark, FOLDER)
     assert not [f for f in found.inputFiles() if "lineitem" in f or "part.parquet" in f]
+
+
+def test_drug_rows_stay_in_buckets_by_patient(spark):
+    cohort = spark.createDataFrame([("a",), ("b",), (None,)], "AvatarKey string")
+    names = ["row_id", "AvatarKey", "MedicationInd", "Medication", "MedLineRegimen", "AgeAtMedStart", "AgeAtMedStop"]
+    cells = [(i, k, "Yes", "x", "Maintenance", str(i % 3), "9") for i in range(4) for k in ("a", "b", "c", None)]
+    table = spark.createDataFrame(cells, "row_id bigint, " + ", ".join(f"{n} string" for n in names[1:]))
+    drugs = spark.createDataFrame([("X", "taxane", "chemo")], f"drug_name string, {md.NARROW} string, {md.GENERAL} string")
+    rows = md.drug_rows(table, cohort, drugs)
+    got = sorted((r.AvatarKey, r.row_id, r.ever_first_med_age, r[md.NARROW]) for r in rows.collect())
+    assert got == [(k, i, 0.0, "taxane") for k in ("a", "b") for i in range(3)]
+    first = rows.groupBy("AvatarKey").agg(F.min("AgeAtMedStart").alias("first"))
+    both = o.fill(keyed_join(rows, first, "AvatarKey"), ["MedLineRegimen"], ["AvatarKey", "AgeAtMedStart"], ["row_id"])
+    assert "Exchange" not in plan(both)
+
+
+def test_one_count_stands_for_the_frames_of_a_block(spark, small_tasks):
+    rows = spark.range(40).select((F.col("id") % 4).alias("k"), "id")
+    derived = rows.withColumn("x", F.col("id") + 1)
+    with small_tasks(9):
+        with session.ordinary(rows, "k", times=1):  # ten rows a key: every frame is counted
+            assert session.large_groups(derived, ["k"]).count() == 4
+    with small_tasks(40):
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("ordinary", "")
+        with session.ordinary(rows, "k"):
+            before = len(jobs.getJobIdsForGroup("ordinary"))
+            assert session.large_groups(derived, ["k", "id"]) is None
+            assert len(jobs.getJobIdsForGroup("ordinary")) == before
+        assert session.large_groups(rows.withColumn("y", F.lit(1)), ["k"]) is None
+        assert len(jobs.getJobIdsForGroup("ordinary")) > before
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
