@@ -162,6 +162,22 @@ def test_gradients_match_differences():
             assert g[at] == pytest.approx((up - down) / (2 * step), abs=2e-3)
 
 
+def test_long_texts_are_searched_piece_by_piece(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = small_model(rng)
+    vocabulary = toxicity.vocabulary_of(model)
+    texts = [" ".join(f"w{chr(97 + c)}x" for c in rng.integers(0, 20, n)) for n in (3, 40, 0, 1, 7, 23, 2)]
+    ids, starts = vocabulary.encode(texts)
+    starts = np.append(starts, len(ids))
+    projected = np.concatenate([np.zeros((1, 12), np.float32), model.projected(vocabulary.take())])
+    want = model.pooled(model.responses(projected, ids), starts)
+    for piece in (1, 5, 11, 1000):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        pooled, places = toxicity._peaks(model, projected, ids, starts)
+        assert (pooled == want).all()
+        assert (places >= starts[:-1, None]).all() and (places < starts[1:, None] - 2).all()
+
+
 # Page text: stacks walked as a whole, neighbours looked for one by one.
 
 

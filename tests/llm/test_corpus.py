@@ -241,6 +241,29 @@ def test_toxicity_rows(spark, toxic, hard_docs, no_docs):
     assert all(r.predicted == 0 for r in toxicity.score(hard_docs, untaught).collect())
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    rng = random.Random(4)
+    rows = [(i, words(rng, 12_000) + (" scumbag" if i % 2 else ""), "en", i % 2) for i in range(60)]
+    assert all(len(r[1]) > 30_000 for r in rows)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    out = toxicity.score(docs, toxicity.train(docs, labels, toxicity.Settings(steps=60))).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in out) >= 54
+
+
+def test_toxicity_takes_all_labelled_rows_in_shards(spark, toxic):
+    docs, labels, _ = toxic
+    settings = toxicity.Settings(rows=48, rounds=3, steps=400, width=4)
+    rows = toxicity._labelled(docs.union(docs), labels, settings)
+    assert sorted(r.doc_id for r in rows.select("doc_id").collect()) == [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = toxicity.train(docs, labels, settings)
+    held = toxicity.score(docs, model).filter("held_out").collect()
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+    again = toxicity.train(docs.repartition(7), labels.repartition(3), settings)
+    assert all((a == b).all() for a, b in zip(model.parameters(), again.parameters()))
+    assert (model.scale, model.thresholds) == (again.scale, again.thresholds)
+
+
 # Mixing
 
 
