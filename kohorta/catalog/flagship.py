@@ -10,6 +10,7 @@ from kohorta.operators.events import index_event
 from kohorta.operators.joins import pick_nearest, restrict
 from kohorta.operators.keys import equi_join
 from kohorta.operators.survival import kaplan_meier
+from kohorta.session import ordinary, rows_in_buckets
 from kohorta.sources.tables import read_table
 
 
@@ -41,7 +42,13 @@ def flagship(spark, d):
     the last order, Kaplan-Meier by segment.
     """
     customers = read_table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    orders = restrict(v.ord_n(spark, d), customers, {"o_custkey": "c_custkey"})
+    orders = v.ord_n(spark, d).select("o_custkey", "o_orderkey", "day", "o_orderpriority", "o_orderstatus")
+    with ordinary(orders, "o_custkey"):
+        return _curve(rows_in_buckets(orders, "o_custkey"), customers)
+
+
+def _curve(orders, customers):
+    orders = restrict(orders, customers, {"o_custkey": "c_custkey"})
     index = index_event(orders, "o_custkey", "day", F.col("o_orderpriority") == "1-URGENT", ["o_orderkey"])
     anchor = index.select("o_custkey", F.col("day").alias("t0"))
     finished = orders.filter(F.col("o_orderstatus") == "F").select("o_custkey", "o_orderkey", "day")

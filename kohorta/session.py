@@ -291,3 +291,15 @@ def large_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
             _FOUND.pop(next(iter(_FOUND)))
         _FOUND[name] = (df, found)
     return found
+
+
+def rows_in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in buckets by ``key``, so that a task's share does not grow with the table.
+
+    Tables of one bucket's size are left as they are, and tables with a key that
+    has more rows than one task should take, which would fill a bucket.
+    """
+    size = source_bytes(df)
+    if size is not None and size <= BYTES_PER_BUCKET or large_groups(df, [key]) is not None:
+        return df
+    return bucketed(df, key, row_buckets(df))

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
+from kohorta import session
+from kohorta.catalog.flagship import flagship
 from kohorta.operators import association, ordered, summary, survival
 from kohorta.operators.collapse import collapse, collapse_two_level
 from kohorta.session import large_groups
@@ -116,3 +118,23 @@ def test_joins_without_broadcast(events, small_tasks):
 
     many = events.select("k", F.col("id").alias("other")).cache()
     same(small_tasks, lambda: keyed_join(events, many, "k", "inner", na_matches=True), 30)
+
+
+def test_flagship_in_buckets(spark, tmp_path, monkeypatch, small_tasks):
+    rng = random.Random(3)
+    customers = [(k, f"S{k % 3}") for k in [*range(40), 5, 5]] + [(None, "S0"), (50, None)]
+    days = [f"199{y}-0{m}-11" for y in (5, 6, 7) for m in (1, 4, 9)]
+    orders = [
+        (i, rng.choice([None, 5, *range(60)]), rng.choice("FOP"), rng.choice([None, *days]), 1.0, rng.choice(["1-URGENT", "5-LOW", None]))
+        for i in range(900)
+    ]
+    spark.createDataFrame(customers, "c_custkey bigint, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, day string, o_totalprice double, o_orderpriority string"
+    table = spark.createDataFrame(orders, schema).withColumn("o_orderdate", F.to_date("day")).drop("day")
+    table.unionByName(table.limit(50)).write.parquet(f"{tmp_path}/orders.parquet")
+    want = rows(flagship(spark, str(tmp_path)))
+    monkeypatch.setattr(session, "BYTES_PER_BUCKET", 4096)
+    before = len(session._BUCKETED)
+    assert rows(flagship(spark, str(tmp_path))) == want and len(session._BUCKETED) == before + 1
+    with small_tasks(10):  # a customer beyond one task's share
+        assert rows(flagship(spark, str(tmp_path))) == want and len(session._BUCKETED) == before + 1
