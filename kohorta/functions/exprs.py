@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, WindowSpec, functions as F
 
 # Age texts that stand for a number or for "not known".
 AGE_SENTINELS: dict[str, float | None] = {
@@ -148,11 +148,15 @@ def in_range_label(
     return label if indicator is None else F.coalesce(_col(indicator), label)
 
 
-def group_min_strict(*cols: Column | str) -> Column:
-    """Aggregate: smallest value of all columns, null if any value is missing."""
+def group_min_strict(*cols: Column | str, over: WindowSpec | None = None) -> Column:
+    """Aggregate: smallest value of all columns, null if any value is missing.
+
+    ``over`` a window it is the value of the row's group.
+    """
     values = [_col(c) for c in cols]
-    complete = reduce(lambda a, b: a & b, [F.count(v) == F.count(F.lit(1)) for v in values])
-    smallest = [F.min(v) for v in values]
+    part = (lambda a: a) if over is None else (lambda a: a.over(over))
+    complete = reduce(lambda a, b: a & b, [part(F.count(v)) == part(F.count(F.lit(1))) for v in values])
+    smallest = [part(F.min(v)) for v in values]
     return F.when(complete, smallest[0] if len(values) == 1 else F.least(*smallest))
 
 

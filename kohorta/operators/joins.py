@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.operators.events import keep_first
 from kohorta.operators.keys import as_list, equi_join, keyed_join, pairs
-from kohorta.session import bucketed, settled, ship, together
+from kohorta.session import bucketed, fits_broadcast, settled, ship, together
 
 
 def restrict(
@@ -142,6 +142,9 @@ def lookup(df: DataFrame, dimension: DataFrame, on: Mapping[str, str], normalize
     """
     (left, right), = on.items()
     if normalize is None:
+        if fits_broadcast(dimension):
+            # No row is shuffled, so no name can be too large for a task.
+            return equi_join(df, F.broadcast(dimension), on, "left", na_matches=True)
         return keyed_join(df, dimension, on, "left", na_matches=True)
     probe = df.withColumn("__probe", normalize(F.col(left)))
     build = dimension.withColumn(right, normalize(F.col(right)))

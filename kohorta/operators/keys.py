@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kohorta.session import large_groups, rows_per_task
 
@@ -124,17 +124,26 @@ def keyed_join(
 def attach(
     df: DataFrame,
     keys: str | Keys,
-    aggregates: Mapping[str, Column],
+    aggregates: Mapping[str, Column | Callable[..., Column]],
     where: Column | None = None,
     na_matches: bool = True,
 ) -> DataFrame:
     """Add group aggregates to every row.
 
     The aggregate is combined map-side and joined back, so one very large group
-    is never gathered in one task.
+    is never gathered in one task. Aggregates given as functions that take a window
+    (``over``) are read off it where every group fits a task: the rows, if they are
+    costly to come by, are made once.
     """
     keys = as_list(keys)
+    functions = all(not isinstance(c, Column) for c in aggregates.values())
+    if functions and where is None and large_groups(df, keys) is None:
+        known = F.lit(True) if na_matches else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        w = Window.partitionBy(*keys)
+        kept = df.drop(*aggregates)
+        return kept.select("*", *[F.when(known, c(over=w)).alias(n) for n, c in aggregates.items()])
     source = df if where is None else df.filter(where)
-    totals = source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
+    made = {n: c if isinstance(c, Column) else c() for n, c in aggregates.items()}
+    totals = source.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()])
     kept = df.drop(*aggregates)
     return keyed_join(kept, totals, keys, "left", na_matches)

@@ -74,6 +74,11 @@ class LastKnown:
             w.rowsBetween(Window.unboundedPreceding, 0)
         )
 
+    def following(self, w: WindowSpec) -> Column:
+        """The value read backwards, by a window that runs forwards."""
+        ahead = F.expr(f"lead(`{self.column}`) IGNORE NULLS").over(w)
+        return F.coalesce(F.col(self.column), ahead)
+
     def summary(self) -> Column:
         known = F.when(F.col(self.column).isNotNull(), F.col(ROW))
         pick = F.min_by if self.backwards else F.max_by
@@ -122,8 +127,9 @@ def _windows(groups: list[str], order_by) -> tuple[WindowSpec, WindowSpec]:
 
 
 def _whole(df: DataFrame, keys: list[str], order_by, ops) -> DataFrame:
-    ahead, behind = _windows(keys, order_by)
-    return df.withColumns({n: op.local(behind if op.backwards else ahead) for n, op in ops.items()})
+    # One order for all, so that the rows are sorted once.
+    ahead, _ = _windows(keys, order_by)
+    return df.withColumns({n: op.following(ahead) if op.backwards else op.local(ahead) for n, op in ops.items()})
 
 
 def _sliced(df: DataFrame, keys: list[str], order_by, ops, rows: int) -> DataFrame:

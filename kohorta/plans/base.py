@@ -7,7 +7,8 @@ several steps take the first of otherwise equal rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,7 +17,7 @@ from kohorta.functions.exprs import parse_age
 from kohorta.operators.joins import restrict
 from kohorta.operators.keys import equi_join
 from kohorta.operators.selectors import across
-from kohorta.session import bucketed, durable, large_groups, row_buckets
+from kohorta.session import durable, large_groups, ordinary, row_buckets
 
 KEY = "AvatarKey"
 ROW = "row_id"
@@ -39,18 +40,29 @@ def cohort_rows(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> Dat
     return durable(across(restrict(table, cohort, KEY), ages, parse_age))
 
 
-def rows_by_patient(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> DataFrame:
-    """``cohort_rows`` in buckets by patient, for blocks with many steps per patient.
+def rows_by_patient(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> tuple[DataFrame, int | None]:
+    """``cohort_rows`` dealt into a number of buckets by patient, and that number.
 
-    Those steps then shuffle nothing. A patient with more rows than one task
+    For blocks with many steps per patient, which then shuffle nothing more. The
+    cohort is met before the shuffle. A patient with more rows than one task
     should take would fill a bucket, so tables with one are written as they come.
     """
     if large_groups(table, [KEY]) is not None:
-        return cohort_rows(table, cohort, ages)
+        return cohort_rows(table, cohort, ages), None
     buckets = row_buckets(table)
-    patients = cohort.select(KEY).distinct()
-    mine = equi_join(table.repartition(buckets, KEY), patients, KEY, "left_semi")
-    return bucketed(across(mine, ages, parse_age), KEY, buckets)
+    mine = equi_join(table, cohort.select(KEY).distinct(), KEY, "left_semi")
+    return across(mine.repartition(buckets, KEY), ages, parse_age), buckets
+
+
+def counted_once(block: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """One count of a block's table by patient stands for those of all the frames it makes."""
+
+    @wraps(block)
+    def counted(table: DataFrame, *args, **kwargs) -> DataFrame:
+        with ordinary(table, KEY):
+            return block(table, *args, **kwargs)
+
+    return counted
 
 
 def known_rows(table: DataFrame, indicator: str) -> DataFrame:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from kohorta.functions import clinical as c, exprs as x
 from kohorta.operators.events import ever, keep_first
 from kohorta.operators.joins import attribute, attribute_fallback, label_sequence, lookup, restrict
-from kohorta.operators.keys import attach, equi_join
+from kohorta.operators.keys import attach, equi_join, sort_columns
 from kohorta.operators.reshape import pivot_occurrence, union_by_name
 from kohorta.plans import therapy
 from kohorta.plans.base import KEY, ROW, SOURCE, known_rows, rows_by_patient, site_keys, stacked
-from kohorta.session import durable, durable_like, ordinary
+from kohorta.session import bucketed, durable, durable_like, ordinary
 from kohorta.sources.tables import add_rows
 
 START, STOP, LINE, SITE = "AgeAtMedStart", "AgeAtMedStop", "MedLineRegimen", "MedPrimaryDiagnosisSite"
@@ -50,21 +51,26 @@ def drug_dimension(table: DataFrame) -> DataFrame:
 
 def drug_rows(table: DataFrame, cohort: DataFrame, drugs: DataFrame) -> DataFrame:
     """Cohort drug rows with clean names, classes and filled line labels."""
-    mine = rows_by_patient(table, cohort, [START, STOP])
-    with ordinary(mine, KEY):
-        # Every row has a patient here, and a plain comparison keeps the buckets.
-        ever_first = {"ever_first_med_age": x.group_min_strict(START, STOP)}
-        rows = attach(known_rows(mine, "MedicationInd"), KEY, ever_first, na_matches=False)
+    with ordinary(table, KEY):
+        mine, buckets = rows_by_patient(table, cohort, [START, STOP])
+        rows = known_rows(mine, "MedicationInd")
+        if buckets is not None:
+            # Sorted once, in the order that the fill needs; the other steps keep it.
+            rows = rows.sortWithinPartitions(KEY, START, *sort_columns(ROW))
+        rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
+        rows = attach(rows, KEY, {"ever_first_med_age": partial(x.group_min_strict, START, STOP)}, na_matches=False)
         rows = rows.withColumn("Medication", F.lower(c.drug_name(F.col("Medication"))))
         # Written, so that its size is known: the rows are not shuffled by drug for a small table.
         rows = lookup(rows, durable(drug_dimension(drugs)), {"Medication": "drug_name"})
         rows = rows.withColumn(
             "received_chemotherapy", c.chemotherapy_flag(F.col(NARROW), F.col("Medication"))
         )
-        rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
-        # Equal rows are one record; its number is that of the first of them.
+        # Equal rows are one record; its number is that of the first of them. The
+        # hash decides nearly every comparison of the sort, and the patient comes first still.
         others = [n for n in rows.columns if n != ROW]
-        return durable_like(rows.groupBy(*others).agg(F.min(ROW).alias(ROW)), KEY, mine)
+        alike = [KEY, F.xxhash64(*others).alias("__hash"), *[n for n in others if n != KEY]]
+        records = rows.groupBy(*alike).agg(F.min(ROW).alias(ROW)).select(*others, ROW)
+        return durable(records) if buckets is None else bucketed(records, KEY, buckets)
 
 
 def index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:

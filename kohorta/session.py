@@ -96,6 +96,17 @@ def fits_one_task(df: DataFrame) -> bool:
     return size is not None and size <= limit and not makes_rows(df)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """True for a written table, as it was read, that Spark would send whole to every task."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    except AttributeError:
+        return False
+    size = source_bytes(df)
+    return not plan.children().size() and size is not None and size <= limit
+
+
 _FOLDER_LOCK = threading.Lock()
 
 
@@ -204,6 +215,8 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     hold; missing keys stay.
     """
     spark = df.sparkSession
+    # A bucket is one file, so what is read is known to be in the order of the key.
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
     # Joins by the key and further columns keep the buckets too.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     mark = uuid.uuid4().hex
