@@ -55,7 +55,7 @@ def drug_rows(table: DataFrame, cohort: DataFrame, drugs: DataFrame) -> DataFram
         mine, buckets = rows_by_patient(table, cohort, [START, STOP])
         rows = known_rows(mine, "MedicationInd")
         if buckets is not None:
-            # Sorted once, in the order that the fill needs; the other steps keep it.
+            # Sorted in the order that the fill needs first; only looking backwards sorts again.
             rows = rows.sortWithinPartitions(KEY, START, *sort_columns(ROW))
         rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
         rows = attach(rows, KEY, {"ever_first_med_age": partial(x.group_min_strict, START, STOP)}, na_matches=False)
