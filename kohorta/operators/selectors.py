@@ -46,6 +46,22 @@ def across(df: DataFrame, columns: Sequence[str], fn: Callable[[Column], Column]
     return df.withColumns({c: fn(F.col(c)) for c in columns})
 
 
+def past(df: DataFrame, columns: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` on the other columns, with ``columns``, which it does not know, in one cell beside them.
+
+    The columns come back in their old places, new ones after them.
+    """
+    if not columns:
+        return step(df)
+    done = step(df.select(F.struct(*columns).alias("__past"), *rest(df, *columns)))
+    made = [c for c in done.columns if c not in df.columns and c != "__past"]
+    cells = set(columns)
+    return done.select(
+        *[F.col("__past").getField(c).alias(c) if c in cells else F.col(c) for c in df.columns if c in cells or c in done.columns],
+        *made,
+    )
+
+
 def relocate(
     df: DataFrame, columns: Sequence[str], after: str | None = None, before: str | None = None
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from kohorta.functions import clinical as c, exprs as x
 from kohorta.functions.recode import domain
 from kohorta.operators.keys import attach
-from kohorta.operators.selectors import clean_names, with_substring
+from kohorta.operators.selectors import clean_names, past, with_substring
 from kohorta.plans import endpoints as ep
 
 KEY = "avatar_key"
@@ -21,9 +21,27 @@ DRUG_TEXTS = {
 }
 
 
+# Columns that the steps read or replace, besides the regimens.
+READ = [
+    "race_eth", "bmi_cat", "clin_group_stage", "path_group_stage", "histology_behavior", "histology",
+    "grade_pathological", "age_at_last_contact", "age_at_death", "age_at_lab", "age_at_first_radiation",
+    "age_at_first_surgery", "age_at_med_start_1", "has_medication_data", "vital_status", "age_at_diagnosis",
+    "pfs_event", "pfs_age", "had_metastasis", "has_metastasis_data", "age_at_metastatic_site",
+]
+
+
 def derive_variables(wide: DataFrame) -> DataFrame:
-    """Stage, histotype, grade, last contact, first treatment, exposure, endpoints."""
+    """Stage, histotype, grade, last contact, first treatment, exposure, endpoints.
+
+    The steps read few of the columns; the others go past them in one cell, as a
+    wide row would else be copied column by column at every step.
+    """
     df = clean_names(wide)
+    read = {KEY, *READ, *with_substring(df, "regimen_")}
+    return past(df, [n for n in df.columns if n not in read], _derived)
+
+
+def _derived(df: DataFrame) -> DataFrame:
     col = F.col
     df = df.withColumns(
         {

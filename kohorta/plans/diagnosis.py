@@ -14,10 +14,11 @@ from kohorta.operators.events import (
 )
 from kohorta.operators.joins import attribute, attribute_fallback
 from kohorta.operators.selectors import across, span
-from kohorta.plans.base import KEY, ROW, SOURCE, cohort_rows, site_keys, stacked
+from kohorta.plans.base import KEY, ROW, SOURCE, cohort_rows, counted_once, site_keys, stacked
 from kohorta.operators.joins import restrict
 
 
+@counted_once
 def index_diagnosis(table: DataFrame, cohort: DataFrame) -> DataFrame:
     """First qualifying diagnosis per patient, with texts on the other ones."""
     rows = group_count(restrict(table, cohort, KEY), KEY, "number_of_dx")
@@ -74,6 +75,7 @@ def index_diagnosis(table: DataFrame, cohort: DataFrame) -> DataFrame:
     )
 
 
+@counted_once
 def outcomes(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame:
     """First progression, or last disease check without one, of the index cancer."""
     site = "OutcomesPrimaryDiagnosisSite"
@@ -100,6 +102,7 @@ def outcomes(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame
     return picked.withColumn("has_outcomes_data", F.lit("Yes"))
 
 
+@counted_once
 def metastasis(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame:
     """First metastasis record of the index cancer."""
     age, site = "AgeAtMetastaticSite", "MetsDzPrimaryDiagnosisSite"

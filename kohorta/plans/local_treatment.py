@@ -9,10 +9,11 @@ from kohorta.operators.events import fallback_first_row, group_min_where
 from kohorta.operators.joins import attribute, attribute_fallback, full_join
 from kohorta.operators.keys import attach
 from kohorta.operators.reshape import pivot_occurrence
-from kohorta.plans.base import KEY, ROW, SOURCE, cohort_rows, known_rows, site_keys, stacked
+from kohorta.plans.base import KEY, ROW, SOURCE, cohort_rows, counted_once, known_rows, site_keys, stacked
 from kohorta.plans.therapy import prior_treatment
 
 
+@counted_once
 def radiation(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame:
     """Radiation rows of the index cancer."""
     start, stop = "AgeAtRadiationStart", "AgeAtRadiationStop"
@@ -45,6 +46,7 @@ def radiation_wide(rows: DataFrame) -> DataFrame:
     )
 
 
+@counted_once
 def surgery(table: DataFrame, cohort: DataFrame, index: DataFrame) -> DataFrame:
     """Therapeutic surgeries of the index cancer, else the first other one."""
     age, therapeutic = "AgeAtSurgeryBiopsy", F.col("SiteTherapeutic")

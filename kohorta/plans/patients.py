@@ -15,7 +15,7 @@ from kohorta.operators.keys import equi_join
 from kohorta.operators.ordered import fill
 from kohorta.operators.reshape import pivot_named
 from kohorta.operators.selectors import across, of_type, rest
-from kohorta.plans.base import KEY, ROW, cohort_rows
+from kohorta.plans.base import KEY, ROW, cohort_rows, counted_once
 
 
 def _with_key(table: DataFrame) -> DataFrame:
@@ -97,6 +97,7 @@ def vital_status(table: DataFrame, cohort_: DataFrame) -> DataFrame:
     )
 
 
+@counted_once
 def exam(table: DataFrame, cohort_: DataFrame, index: DataFrame) -> DataFrame:
     """Body measures nearest to the index diagnosis, gaps filled from later exams."""
     measures = ["BodyWeight", "BodyHeight", "BMI"]
@@ -109,6 +110,7 @@ def exam(table: DataFrame, cohort_: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
+@counted_once
 def markers_long(
     table: DataFrame, flow: DataFrame, cohort_: DataFrame, lexical: bool = False
 ) -> DataFrame:

@@ -13,7 +13,8 @@ from kohorta.catalog import QUERIES, views as v  # noqa: E402
 from kohorta import session  # noqa: E402
 from kohorta.operators import events as e, joins as j, ordered as o  # noqa: E402
 from kohorta.operators.keys import keyed_join  # noqa: E402
-from kohorta.plans import medication as md  # noqa: E402
+from kohorta.operators.selectors import past  # noqa: E402
+from kohorta.plans import diagnosis as dx, medication as md  # noqa: E402
 from kohorta.sources.tables import read_table  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -121,3 +122,49 @@ def test_one_count_stands_for_the_frames_of_a_block(spark, small_tasks):
         assert session.large_groups(rows.withColumn("y", F.lit(1)), ["k"]) is None
         assert len(jobs.getJobIdsForGroup("ordinary")) > before
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_drug_rows_are_read_once_and_their_windows_share_an_order(spark, monkeypatch):
+    written, keep = [], session.bucketed
+    monkeypatch.setattr(md, "bucketed", lambda df, *at: written.append(df) or keep(df, *at))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+    cells = [
+        (1, "a", "Yes", "x Sulfate", "Unknown/Not Applicable", "5", "6"),
+        (2, "a", "Yes", "x Sulfate", "Maintenance", "5", "6"),
+        (3, "a", "Yes", "y", "Unknown/Not Reported", "5", "6"),
+        (4, "a", "Yes", "y", "Palliative", "7", None),
+        (5, "b", "Yes", "y", "Maintenance", "3", "4"),
+        (6, None, "Yes", "y", "Maintenance", "3", "4"),
+    ]
+    names = ["row_id", "AvatarKey", "MedicationInd", "Medication", "MedLineRegimen", "AgeAtMedStart", "AgeAtMedStop"]
+    table = session.durable(spark.createDataFrame(cells, "row_id bigint, " + ", ".join(f"{n} string" for n in names[1:])))
+    cohort = session.durable(spark.createDataFrame([("a",), ("b",), (None,)], "AvatarKey string"))
+    drugs = spark.createDataFrame([("X", "taxane", "chemo")], f"drug_name string, {md.NARROW} string, {md.GENERAL} string")
+    rows = md.drug_rows(table, cohort, drugs)
+    # One order for the first start and the fill, its reverse, one for the equal rows; the table is read once.
+    text = plan(written[0])
+    assert count(r"[+:\-| ]Sort \[", text) == 3 and count(r"MedLineRegimen.*FileScan|FileScan.*MedLineRegimen", text) == 1
+    got = {(r.AvatarKey, r.row_id, r.Medication, r.MedLineRegimen, r.ever_first_med_age) for r in rows.collect()}
+    assert got == {("a", 1, "x", "Maintenance", None), ("a", 3, "y", "Maintenance", None), ("a", 4, "y", "Palliative", None), ("b", 5, "y", "Maintenance", 3.0)}
+
+
+def test_a_block_counts_its_table_once(spark, small_tasks):
+    names = ["AgeAtFirstContact", "AgeAtDiagnosis", "YearOfDiagnosis", "PrimaryDiagnosisSiteCode", "PrimaryDiagnosisSite", "Histology"]
+    names += ["ClinGroupStage", "PathGroupStage", "GradeClinical", "GradePathological", "CurrentlySeenForPrimaryOrRecurr"]
+    names += ["PerformStatusAtDiagnosis", "OtherStagingSystem", "OtherStagingValue"]
+    table = spark.range(8).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("string").alias("AvatarKey"), *[F.lit("1").alias(n) for n in names])
+    table = table.withColumn("PrimaryDiagnosisSite", F.lit("Ovary"))
+    before = dict(session._FOUND)
+    with small_tasks(100):
+        index = dx.index_diagnosis(table, spark.createDataFrame([("0",), ("1",)], "AvatarKey string"))
+        assert set(session._FOUND) == set(before)
+    assert sorted((r.AvatarKey, r.number_of_dx) for r in index.collect()) == [("0", 4), ("1", 4)]
+
+
+def test_derived_variables_carry_unread_columns_in_one_cell(spark):
+    wide = spark.range(3).select("id", F.lit("u").alias("a"), F.lit("v").alias("b"), F.lit(1).alias("c"))
+    step = lambda df: df.withColumns({"b": F.concat("b", F.lit("!")), "new": F.col("c") + 1})
+    seen = []
+    out = past(wide, ["id", "a"], lambda df: seen.append(df.columns) or step(df))
+    assert seen == [["__past", "b", "c"]]
+    assert out.columns == step(wide).columns and sorted(out.collect()) == sorted(step(wide).collect())
