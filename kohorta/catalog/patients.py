@@ -406,9 +406,9 @@ def clinical_last_date(spark, d):
     return p.last_date(raw(spark, d, "raw_imaging"), raw(spark, d, "raw_labs"))
 
 
-def _medication_rows(spark, d):
+def _medication_rows(spark, d, wanted=None):
     cohort, index = _index(spark, d)
-    rows = md.drug_rows(raw(spark, d, "raw_med"), cohort, raw(spark, d, "raw_drug"))
+    rows = md.drug_rows(raw(spark, d, "raw_med"), cohort, raw(spark, d, "raw_drug"), wanted)
     return cohort, index, rows
 
 
@@ -418,7 +418,7 @@ def _medication_rows(spark, d):
        FROM c_lines""",
 )
 def clinical_therapy_lines(spark, d):
-    _, index, rows = _medication_rows(spark, d)
+    _, index, rows = _medication_rows(spark, d, md.in_index_therapy())
     return md.index_therapy(rows, index).select(
         KEY, "row_id", "MedicationInd", "Medication", "AgeAtMedStart", "AgeAtMedStop", "MedLineRegimen",
         F.col(md.NARROW).alias("narrow"), F.col("received_chemotherapy").alias("chemo"), "regimen_line",
@@ -431,7 +431,7 @@ def clinical_therapy_lines(spark, d):
        FROM c_long""",
 )
 def clinical_regimens(spark, d):
-    cohort, index, rows = _medication_rows(spark, d)
+    cohort, index, rows = _medication_rows(spark, d, md.in_index_therapy())
     long = md.regimens_long(md.index_therapy(rows, index), cohort)
     return long.select(
         KEY, "regimen_line", "AgeAtMedStart", "MedicationInd", "ever_first_med_age", "regimen_drugs",

@@ -17,7 +17,7 @@ from kohorta.functions.exprs import parse_age
 from kohorta.operators.joins import restrict
 from kohorta.operators.keys import equi_join
 from kohorta.operators.selectors import across
-from kohorta.session import durable, large_groups, ordinary, row_buckets
+from kohorta.session import durable, large_groups, ordinary, planned_broadcast, row_buckets
 
 KEY = "AvatarKey"
 ROW = "row_id"
@@ -43,15 +43,24 @@ def cohort_rows(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> Dat
 def rows_by_patient(table: DataFrame, cohort: DataFrame, ages: Sequence[str]) -> tuple[DataFrame, int | None]:
     """``cohort_rows`` dealt into a number of buckets by patient, and that number.
 
-    For blocks with many steps per patient, which then shuffle nothing more. The
-    cohort is met before the shuffle. A patient with more rows than one task
-    should take would fill a bucket, so tables with one are written as they come.
+    For blocks with many steps per patient, which then shuffle nothing more. A
+    cohort that is sent to all tasks is met before the shuffle, a larger one in the
+    buckets, where its share is small: meeting it before would take a shuffle of its
+    own. A patient with more rows than one task should take would fill a bucket, so
+    tables with one are written as they come.
     """
     if large_groups(table, [KEY]) is not None:
         return cohort_rows(table, cohort, ages), None
-    buckets = row_buckets(table)
-    mine = equi_join(table, cohort.select(KEY).distinct(), KEY, "left_semi")
-    return across(mine.repartition(buckets, KEY), ages, parse_age), buckets
+    patients = cohort.select(KEY)
+    if planned_broadcast(patients):
+        buckets = row_buckets(table)
+        mine = equi_join(table, patients.distinct(), KEY, "left_semi").repartition(buckets, KEY)
+    else:
+        buckets = max(row_buckets(table), row_buckets(cohort))
+        # Rows without a patient meet nothing, and would all come to one bucket.
+        dealt = table.filter(F.col(KEY).isNotNull()).repartition(buckets, KEY)
+        mine = equi_join(dealt, patients.repartition(buckets, KEY).distinct().hint("shuffle_hash"), KEY, "left_semi")
+    return across(mine, ages, parse_age), buckets
 
 
 def counted_once(block: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

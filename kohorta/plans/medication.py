@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kohorta.functions import clinical as c, exprs as x
 from kohorta.operators.events import ever, keep_first
 from kohorta.operators.joins import attribute, attribute_fallback, label_sequence, lookup, restrict
-from kohorta.operators.keys import attach, equi_join, sort_columns
+from kohorta.operators.keys import attach, equi_join
 from kohorta.operators.reshape import pivot_occurrence, union_by_name
+from kohorta.operators.selectors import past, rest
 from kohorta.plans import therapy
 from kohorta.plans.base import KEY, ROW, SOURCE, known_rows, rows_by_patient, site_keys, stacked
 from kohorta.session import bucketed, durable, durable_like, ordinary
@@ -49,22 +50,41 @@ def drug_dimension(table: DataFrame) -> DataFrame:
     return keep_first(lower, "drug_name", [NARROW, GENERAL])
 
 
-def drug_rows(table: DataFrame, cohort: DataFrame, drugs: DataFrame) -> DataFrame:
-    """Cohort drug rows with clean names, classes and filled line labels."""
+def in_index_therapy() -> Column:
+    """Rows that ``index_therapy`` reads: chemotherapy, and patients without any drug."""
+    return (F.col("MedicationInd") == "No") | _is_chemo()
+
+
+def _is_chemo() -> Column:
+    return (F.col("MedicationInd") == "Yes") & F.col("received_chemotherapy").isNotNull()
+
+
+def _filled(rows: DataFrame) -> DataFrame:
+    rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
+    return attach(rows, KEY, {"ever_first_med_age": partial(x.group_min_strict, START, STOP)}, na_matches=False)
+
+
+def drug_rows(
+    table: DataFrame, cohort: DataFrame, drugs: DataFrame, wanted: Column | None = None
+) -> DataFrame:
+    """Cohort drug rows with clean names, classes and filled line labels.
+
+    ``wanted`` names the rows that are needed later, where not all are: labels and
+    first ages come from all rows, only these are then grouped and written.
+    """
     with ordinary(table, KEY):
         mine, buckets = rows_by_patient(table, cohort, [START, STOP])
         rows = known_rows(mine, "MedicationInd")
-        if buckets is not None:
-            # Sorted in the order that the fill needs first; only looking backwards sorts again.
-            rows = rows.sortWithinPartitions(KEY, START, *sort_columns(ROW))
-        rows = therapy.fill_line_text(rows, KEY, START, LINE, [ROW])
-        rows = attach(rows, KEY, {"ever_first_med_age": partial(x.group_min_strict, START, STOP)}, na_matches=False)
+        # The windows copy every row several times: what they do not read is one cell.
+        rows = past(rows, rest(rows, KEY, ROW, START, STOP, LINE), _filled)
         rows = rows.withColumn("Medication", F.lower(c.drug_name(F.col("Medication"))))
         # Written, so that its size is known: the rows are not shuffled by drug for a small table.
         rows = lookup(rows, durable(drug_dimension(drugs)), {"Medication": "drug_name"})
         rows = rows.withColumn(
             "received_chemotherapy", c.chemotherapy_flag(F.col(NARROW), F.col("Medication"))
         )
+        if wanted is not None:
+            rows = rows.filter(wanted)
         # Equal rows are one record; its number is that of the first of them. The
         # hash decides nearly every comparison of the sort, and the patient comes first still.
         others = [n for n in rows.columns if n != ROW]
@@ -80,7 +100,7 @@ def index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def _index_therapy(rows: DataFrame, index: DataFrame) -> DataFrame:
-    chemo = rows.filter((F.col("MedicationInd") == "Yes") & F.col("received_chemotherapy").isNotNull())
+    chemo = rows.filter(_is_chemo())
     chemo = durable_like(therapy.rank_lines(chemo, KEY, SITE, START, LINE, "first_rank"), KEY, rows)
     on_site = attribute(chemo, index, site_keys("Med"))
     no_first = ever(on_site, KEY, F.col(LINE).isin(*FIRST_LINES), "has_first").filter(

@@ -107,6 +107,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return not plan.children().size() and size is not None and size <= limit
 
 
+def planned_broadcast(df: DataFrame) -> bool:
+    """True where Spark, by the size that it plans with, would send the frame whole to every task."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    except AttributeError:
+        return False
+
+
 _FOLDER_LOCK = threading.Lock()
 
 

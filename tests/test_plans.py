@@ -148,6 +148,43 @@ def test_drug_rows_are_read_once_and_their_windows_share_an_order(spark, monkeyp
     assert got == {("a", 1, "x", "Maintenance", None), ("a", 3, "y", "Maintenance", None), ("a", 4, "y", "Palliative", None), ("b", 5, "y", "Maintenance", 3.0)}
 
 
+def _drug_tables(spark):
+    names = ["row_id", "AvatarKey", "MedicationInd", "Medication", "MedLineRegimen", "AgeAtMedStart", "AgeAtMedStop"]
+    cells = [
+        (1, "a", "Yes", "x", "Unknown/Not Applicable", "5", "6"),
+        (2, "a", "Yes", "y", "Maintenance", "5", "4"),
+        (3, "b", "No", None, "Palliative", None, None),
+        (4, "b", "Yes", "y", "Palliative", "7", "8"),
+        (5, "c", "Yes", "x", "Palliative", "7", "8"),
+        (6, None, "Yes", "x", "Palliative", "7", "8"),
+    ]
+    table = session.durable(spark.createDataFrame(cells, "row_id bigint, " + ", ".join(f"{n} string" for n in names[1:])))
+    cohort = session.durable(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "AvatarKey string"))
+    drugs = spark.createDataFrame([("X", "taxane", "chemo")], f"drug_name string, {md.NARROW} string, {md.GENERAL} string")
+    return table, cohort, drugs
+
+
+def test_drug_rows_of_a_large_cohort_are_shuffled_once(spark):
+    table, cohort, drugs = _drug_tables(spark)
+    with_cohort = md.rows_by_patient(table, cohort, [])[0]  # broadcast joins are off
+    # One shuffle of the rows, one of the cohort, and no sort for their meeting.
+    assert count(r"Exchange hash", plan(with_cohort)) == 2 and "SortMergeJoin" not in plan(with_cohort)
+    assert sorted(r.row_id for r in with_cohort.collect()) == [1, 2, 3, 4]
+    large = sorted(tuple(r) for r in md.drug_rows(table, cohort, drugs).select("row_id", "MedLineRegimen").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+    assert large == sorted(tuple(r) for r in md.drug_rows(table, cohort, drugs).select("row_id", "MedLineRegimen").collect())
+
+
+def test_only_wanted_drug_rows_are_written(spark):
+    table, cohort, drugs = _drug_tables(spark)
+    every, some = md.drug_rows(table, cohort, drugs), md.drug_rows(table, cohort, drugs, md.in_index_therapy())
+    assert some.columns == every.columns
+    # The label and the first age of row 1 come from row 2, which is not written.
+    got = sorted((r.row_id, r.MedLineRegimen, r.ever_first_med_age) for r in some.collect())
+    assert got == [(1, "Maintenance", 4.0), (3, "Palliative", None)]
+    assert sorted(r.row_id for r in every.collect()) == [1, 2, 3, 4]
+
+
 def test_a_block_counts_its_table_once(spark, small_tasks):
     names = ["AgeAtFirstContact", "AgeAtDiagnosis", "YearOfDiagnosis", "PrimaryDiagnosisSiteCode", "PrimaryDiagnosisSite", "Histology"]
     names += ["ClinGroupStage", "PathGroupStage", "GradeClinical", "GradePathological", "CurrentlySeenForPrimaryOrRecurr"]
