@@ -270,6 +270,17 @@ _FOUND_LOCK = threading.Lock()
 _ORDINARY = threading.local()
 
 
+def _stays_small(df: DataFrame, times: int) -> bool:
+    """Whether frames with ``times`` the rows of ``df`` fit one task too.
+
+    Only of one source, as counting a join costs more than it may save.
+    """
+    if not fits_one_task(df):
+        return False
+    limit = int(df.sparkSession.conf.get(BYTES_PER_TASK, str(BYTES_PER_TASK_DEFAULT)))
+    return source_bytes(df) * times <= limit or df._jdf.queryExecution().analyzed().collectLeaves().size() > 1
+
+
 @contextmanager
 def ordinary(df: DataFrame, key: str, times: int = 4) -> Iterator[None]:
     """One count of ``df`` by ``key`` stands for those of all frames made within the block.
@@ -278,7 +289,7 @@ def ordinary(df: DataFrame, key: str, times: int = 4) -> Iterator[None]:
     has a group that could become too large for a task, every frame is counted.
     """
     held = getattr(_ORDINARY, "keys", frozenset())
-    if key not in held and not fits_one_task(df):
+    if key not in held and not _stays_small(df, times):
         most = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
         if most * times <= rows_per_task(df.sparkSession):
             _ORDINARY.keys = held | {key}

@@ -124,6 +124,19 @@ def test_one_count_stands_for_the_frames_of_a_block(spark, small_tasks):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_a_table_near_the_limit_is_counted_for_its_frames(spark):
+    rows = session.durable(spark.range(40).select((F.col("id") % 4).alias("k"), "id"))
+    twice = rows.unionByName(rows.withColumn("id", -F.col("id")))
+    spark.conf.set(session.BYTES_PER_TASK, str(session.source_bytes(rows)))
+    try:
+        session._FOUND.clear()
+        with session.ordinary(rows, "k"):
+            assert session.large_groups(twice, ["k"]) is None
+        assert not session._FOUND
+    finally:
+        spark.conf.unset(session.BYTES_PER_TASK)
+
+
 def test_drug_rows_are_read_once_and_their_windows_share_an_order(spark, monkeypatch):
     written, keep = [], session.bucketed
     monkeypatch.setattr(md, "bucketed", lambda df, *at: written.append(df) or keep(df, *at))
